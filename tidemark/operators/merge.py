@@ -65,7 +65,9 @@ class Merged:
             .when(act == "delete", F.array(row("_before", DELETE)))
             .otherwise(F.array(row("_before", UPDATE_BEFORE), row("_after", UPDATE_AFTER)))
         )
-        return self.joined.where(act.isin("insert", "delete", "update")).select(F.inline(emitted))
+        # Asking for a source row turns the full join into one that keeps source rows only.
+        hit = self.joined.where(F.col("_hit").isNotNull() & act.isin("insert", "delete", "update"))
+        return hit.select(F.inline(emitted))
 
 
 def apply_merge(
@@ -133,7 +135,10 @@ def apply_merge(
         after.append(choose(options, current).alias(field.name))
     before = F.struct(*[F.col(f"t.{c}").alias(c) for c in columns])
     keys = [F.col(f"t.{key}").alias(f"_key{i}") for i, key in enumerate(on)]
-    flat = joined.select(act.alias("_act"), before.alias("_before"), F.struct(*after).alias("_after"), *keys)
+    flat = joined.select(
+        act.alias("_act"), F.col("s._in_source").alias("_hit"),
+        before.alias("_before"), F.struct(*after).alias("_after"), *keys,
+    )
 
     if not source_unique and matched:
         _refuse_double_changes(source, flat, on)

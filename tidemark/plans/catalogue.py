@@ -22,7 +22,7 @@ from tidemark.operators.scd2 import (
     scd2_batch, scd2_history,
 )
 from tidemark.plans import marts, tables
-from tidemark.schemas import AGG_ORDERS_DAILY, CAPTURED, ORDER_ITEMS, PRODUCTS
+from tidemark.schemas import AGG_ORDERS_DAILY, CAPTURED, CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS
 from tidemark.sources import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,11 +37,11 @@ ORDER_COLUMNS = ("op", "ts_ms", "order_id", "customer_id", "order_status", "even
 # --- inputs shared by the queries --------------------------------------------
 
 def _customers(spark, sf_dir):
-    return tables.customer_events(replay.bronze(spark, sf_dir)).withColumn("batch_no", replay.batch_no())
+    return tables.customer_events(replay.bronze(spark, sf_dir, CUSTOMERS)).withColumn("batch_no", replay.batch_no())
 
 
 def _orders(spark, sf_dir):
-    return tables.order_events(replay.bronze(spark, sf_dir)).withColumn("batch_no", replay.batch_no())
+    return tables.order_events(replay.bronze(spark, sf_dir, ORDERS)).withColumn("batch_no", replay.batch_no())
 
 
 def _valid_customers(spark, sf_dir):
@@ -102,13 +102,13 @@ def parse_orders(spark, sf_dir):
 
 
 def parse_products(spark, sf_dir):
-    return tables.topic_events(replay.bronze(spark, sf_dir), PRODUCTS).select(
+    return tables.topic_events(replay.bronze(spark, sf_dir, PRODUCTS), PRODUCTS).select(
         "op", "ts_ms", *PRODUCTS.columns, "kafka_offset",
     )
 
 
 def parse_order_items(spark, sf_dir):
-    return tables.topic_events(replay.bronze(spark, sf_dir), ORDER_ITEMS).select(
+    return tables.topic_events(replay.bronze(spark, sf_dir, ORDER_ITEMS), ORDER_ITEMS).select(
         "op", "ts_ms", "order_id", "order_item_id", "product_id", "price",
         F.to_date("shipping_limit_dt").alias("shipping_limit_date"), "kafka_offset",
     )
@@ -289,7 +289,8 @@ def orders_enriched(spark, sf_dir):
     dim = _dim(spark, sf_dir)
     before = marts.enrich_orders(tables.fact_state(earlier), dim)
     now = marts.enrich_orders(_fact(spark, sf_dir), dim)
-    return marts.orders_enriched_merge(before, now).rows()
+    # The history plan leaves one current version per customer.
+    return marts.orders_enriched_merge(before, now, source_unique=True).rows()
 
 
 def mart_daily_orders_bulk(spark, sf_dir):

@@ -47,7 +47,13 @@ def enrich_orders(fact: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def orders_enriched_merge(target: DataFrame, enriched: DataFrame) -> Merged:
-    """Upsert whole rows by order. Orders that left the fact stay in the target; two
-    current versions of one customer make a clash, which raises."""
-    return apply_merge(target, enriched, ["order_id"], matched=[Update()], not_matched=[Insert()])
+def orders_enriched_merge(target: DataFrame, enriched: DataFrame, source_unique: bool = False) -> Merged:
+    """Upsert whole rows by order. Orders that left the fact stay in the target.
+
+    Two current versions of one customer fan an order out; such a clash raises,
+    unless ``source_unique`` vouches for one row per order and saves the check.
+    """
+    return apply_merge(
+        target, enriched, ["order_id"], matched=[Update()], not_matched=[Insert()],
+        source_unique=source_unique,
+    )

@@ -42,7 +42,7 @@ MART_ORDERS_BY_STATE = _struct(event_date=D, customer_state=S, orders_cnt=L)
 ORDERS_ENRICHED = T.StructType(FACT_ORDERS.fields + _struct(customer_city=S, customer_state=S).fields)
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class CdcTableSpec:
     """How the rows of one captured table are read out of its change events.
 

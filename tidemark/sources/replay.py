@@ -7,10 +7,12 @@ over the whole input tables.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS
+from tidemark.schemas import CAPTURED, CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, CdcTableSpec
 from tidemark.sources.bronze import project_bronze
 
 EVENTS_PER_BATCH = 1000
@@ -124,16 +126,21 @@ def order_items_topic(spark: SparkSession, sf_dir: str, prefix: str = "shop") ->
     )
 
 
-def kafka_log(spark: SparkSession, sf_dir: str, prefix: str = "shop") -> DataFrame:
-    """All four topics, in the row shape of a Kafka reader."""
-    log = customers_topic(spark, sf_dir, prefix)
-    for topic in (products_topic, orders_topic, order_items_topic):
-        log = log.unionByName(topic(spark, sf_dir, prefix))
-    return log
+TOPICS = {
+    CUSTOMERS: customers_topic, PRODUCTS: products_topic, ORDERS: orders_topic, ORDER_ITEMS: order_items_topic,
+}
+
+
+def kafka_log(
+    spark: SparkSession, sf_dir: str, *specs: CdcTableSpec, prefix: str = "shop",
+) -> DataFrame:
+    """The topics of the named tables (default: all four), in the row shape of a Kafka reader."""
+    logs = [TOPICS[spec](spark, sf_dir, prefix) for spec in specs or CAPTURED]
+    return reduce(DataFrame.unionByName, logs)
 
 
-def bronze(spark: SparkSession, sf_dir: str, prefix: str = "shop") -> DataFrame:
-    return project_bronze(kafka_log(spark, sf_dir, prefix))
+def bronze(spark: SparkSession, sf_dir: str, *specs: CdcTableSpec, prefix: str = "shop") -> DataFrame:
+    return project_bronze(kafka_log(spark, sf_dir, *specs, prefix=prefix))
 
 
 def bulk_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,195 @@
+"""Tables as versioned Parquet folders, rewritten one key bucket at a time.
+
+    <root>/data/version=N/bucket=B/[partition=P/]part-*.parquet
+    <root>/published/N.json          where each bucket's current rows are
+    <root>/changes/version=N/        change rows of the version, if kept
+
+A write touches only the buckets its keys fall into; the other buckets keep pointing
+at older folders, so the cost of a micro-batch follows the keys in it and not the
+size of the table. A version becomes visible when its small JSON file appears. The
+file also notes the last micro-batch each stream has put into the table, which makes
+a replayed micro-batch a no-op. One writer per table; readers may be many.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.operators.dml import insert_changes, insert_rows, update_changes, update_where
+from tidemark.sources import files
+
+
+class TableMissing(Exception):
+    """There is no table where one was expected."""
+
+    exit_code = 2
+
+
+@dataclass(frozen=True)
+class SnapshotTable:
+    """``buckets`` is fixed for the life of a table: it bounds both the folders per
+    version and the bucket list the driver handles. Size it so that a bucket holds
+    about one to a few gigabytes."""
+
+    spark: SparkSession
+    root: str
+    schema: T.StructType
+    keys: tuple[str, ...]
+    buckets: int = 16
+    partition_by: tuple[str, ...] = ()
+    keep_changes: bool = False
+
+    # --- versions -------------------------------------------------------------
+
+    def versions(self) -> list[int]:
+        names = files.list_names(self.spark, f"{self.root}/published")
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def last_version(self) -> int | None:
+        versions = self.versions()
+        return versions[-1] if versions else None
+
+    def next_version(self) -> int:
+        last = self.last_version()
+        return 0 if last is None else last + 1
+
+    def _manifest(self, version: int | None = None) -> dict:
+        version = self.last_version() if version is None else version
+        if version is None:
+            return {"buckets": {}, "applied": {}}
+        return json.loads(files.read_text(self.spark, f"{self.root}/published/{version}.json"))
+
+    def applied(self, stream: str, batch_id: int) -> bool:
+        """Whether the micro-batch of that stream is already in the table."""
+        return self._manifest()["applied"].get(stream, -1) >= batch_id
+
+    # --- reading --------------------------------------------------------------
+
+    def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows of a version (default: the last), optionally of some buckets only."""
+        placed = self._manifest(version)["buckets"]
+        wanted = [
+            f"{self.root}/data/version={placed[b]}/bucket={b}"
+            for b in sorted(placed, key=int) if buckets is None or int(b) in buckets
+        ]
+        if not wanted:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self.schema).option("basePath", f"{self.root}/data")
+        return rows.parquet(*wanted).select(*self.schema.fieldNames())
+
+    def bucket_of(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def touched_buckets(self, rows: DataFrame) -> list[int]:
+        """Buckets the rows' keys fall into: at most ``buckets`` small integers."""
+        return [r[0] for r in rows.select(self.bucket_of().alias("b")).distinct().collect()]
+
+    # --- writing --------------------------------------------------------------
+
+    def publish(
+        self, rows: DataFrame, touched: Sequence[int] | None = None,
+        changes: DataFrame | None = None, stream: str | None = None, batch_id: int | None = None,
+    ) -> int:
+        """Make ``rows`` the content of the touched buckets (None: of the whole table).
+
+        Rows are spread by bucket and partition value; AQE splits a heavy one over
+        several tasks and files and packs light ones together. A retry overwrites
+        whatever a failed attempt left of the same version.
+        """
+        version = self.next_version()
+        layout = ("bucket", *self.partition_by)
+        folder = f"{self.root}/data/version={version}"
+        (
+            rows.select(*self.schema.fieldNames(), self.bucket_of().alias("bucket"))
+            .hint("rebalance", *layout)
+            .write.mode("overwrite").partitionBy(*layout).parquet(folder)
+        )
+        if self.keep_changes and changes is not None:
+            stamped = changes.withColumn("_commit_version", F.lit(version).cast("bigint"))
+            stamped.write.mode("overwrite").parquet(f"{self.root}/staged/version={version}")
+        before = self._manifest()
+        placed = {} if touched is None else dict(before["buckets"])
+        for bucket in touched or ():
+            placed.pop(str(bucket), None)
+        for name in files.list_names(self.spark, folder):
+            if name.startswith("bucket="):
+                placed[name.split("=")[1]] = version
+        applied = dict(before["applied"])
+        if stream is not None:
+            applied[stream] = batch_id
+        manifest = json.dumps({"buckets": placed, "applied": applied})
+        files.write_text(self.spark, f"{self.root}/published/{version}.json", manifest)
+        self.release_changes()
+        return version
+
+    def insert(self, rows: DataFrame) -> int:
+        """Append rows, by name; keys are not checked for repeats."""
+        touched = self.touched_buckets(rows)
+        return self.publish(insert_rows(self.read(buckets=touched), rows), touched, insert_changes(rows))
+
+    def update(self, condition: str, assignments: dict[str, str]) -> int:
+        """Change columns of the rows that meet a SQL condition; keys must not change."""
+        now = self.read()
+        touched = self.touched_buckets(now.where(condition))
+        mine = self.read(buckets=touched)
+        return self.publish(
+            update_where(mine, condition, assignments), touched,
+            update_changes(mine, condition, assignments),
+        )
+
+    def expire(self, keep: int) -> None:
+        """Forget all but the newest ``keep`` versions and the folders only they used."""
+        versions = self.versions()
+        old, kept = versions[:-keep], versions[-keep:]
+        used = {n for v in kept for n in self._manifest(v)["buckets"].values()}
+        for version in old:
+            files.delete(self.spark, f"{self.root}/published/{version}.json")
+            if version not in used:
+                files.delete(self.spark, f"{self.root}/data/version={version}")
+
+    # --- change rows ----------------------------------------------------------
+
+    def release_changes(self) -> None:
+        """Show the staged change rows of published versions to readers, file by file.
+
+        Runs after publishing and again before the next micro-batch, so a crash in
+        between is made good; a file keeps its name and is never shown twice.
+        """
+        last = self.last_version()
+        for name in files.list_names(self.spark, f"{self.root}/staged"):
+            if last is None or int(name.split("=")[1]) > last:
+                continue
+            staged = f"{self.root}/staged/{name}"
+            for part in sorted(files.list_names(self.spark, staged)):
+                if part.endswith(".parquet") and part[0] not in "._":
+                    files.move(self.spark, f"{staged}/{part}", f"{self.root}/changes/{name}/{part}")
+            files.delete(self.spark, staged)
+
+    def change_schema(self) -> T.StructType:
+        extra = [T.StructField("_change_type", T.StringType()), T.StructField("_commit_version", T.LongType())]
+        return T.StructType(self.schema.fields + extra)
+
+    def read_changes(self, start: int = 0) -> DataFrame:
+        schema = self.change_schema()
+        paths = [
+            f"{self.root}/changes/{n}" for n in files.list_names(self.spark, f"{self.root}/changes")
+            if int(n.split("=")[1]) >= start
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.root}/changes").parquet(*paths)
+        return rows.select(*schema.fieldNames())
+
+    def stream_changes(self, start: int = 0, **options: str) -> DataFrame:
+        """Change rows as a stream, from version ``start`` on (0: everything kept)."""
+        files.make_folder(self.spark, f"{self.root}/changes")
+        schema = self.change_schema()
+        rows = self.spark.readStream.schema(schema).options(**options).parquet(f"{self.root}/changes")
+        rows = rows.select(*schema.fieldNames())
+        return rows.where(F.col("_commit_version") >= start) if start else rows
