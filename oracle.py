@@ -275,6 +275,10 @@ def _both_counts(ours: str, kept: str) -> str:
 BEFORE_LAST = "batch_no < (SELECT b FROM last)"
 NEWEST = "batch_no = (SELECT b FROM last)"
 
+# The dimension as four micro-batches leave it: the slices the streamed query lands.
+SLICED = f"""{CDC.replace("event_id // 1000 AS batch_no",
+    "event_id // (SELECT max(event_id) // 4 + 1 FROM events) AS batch_no")}, {DIM}"""
+
 ORACLE: dict[str, str] = {
     "cdc_events_by_topic": f"""
         SELECT topic, op, CAST(count(*) AS BIGINT) AS events, min(off) AS first_offset, max(off) AS last_offset
@@ -426,3 +430,11 @@ ORACLE: dict[str, str] = {
         CAST(ts - INTERVAL 5 HOUR AS DATE) AS bogota_date, CAST(ts + INTERVAL 9 HOUR AS DATE) AS tokyo_date
         FROM events""",
 }
+
+for streamed, same in {
+    "bronze_ingest": "bronze_projection", "silver_customers_stream": "silver_customers",
+    "fact_orders_stream": "fact_orders", "agg_orders_daily_stream": "agg_orders_daily",
+    "agg_orders_daily_native": "agg_orders_daily",
+}.items():
+    ORACLE[streamed] = ORACLE[same]
+ORACLE["dim_customers_stream"] = f"WITH {SLICED} SELECT {DIM_COLUMNS} FROM dim"

@@ -1,0 +1,148 @@
+"""Tables on disk, names in the catalog, and the end-to-end smoke flow."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tidemark.operators.reconcile import daily_counts, reconcile
+from tidemark.schemas import AGG_ORDERS_DAILY, FACT_ORDERS
+from tidemark.sources import files
+from tidemark.sources.catalog import create_empty, create_table, load_or_fail, overwrite_partitioned, register
+from tidemark.sources.snapshots import SnapshotTable, TableMissing
+from tidemark.streaming.jobs import Lakehouse
+
+
+def table(spark, path, **kw):
+    kw = {"buckets": 4, "partition_by": ("event_date",), "keep_changes": True, **kw}
+    return SnapshotTable(spark, str(path), FACT_ORDERS, ("order_id",), **kw)
+
+
+def orders(spark, *keys, status="created", day="2025-01-01"):
+    data = [(k, "c", status, 1, None) for k in keys]
+    return spark.createDataFrame(data, FACT_ORDERS).withColumn("event_date", F.lit(day).cast("date"))
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    t = table(spark, tmp_path)
+    assert t.read().count() == 0 and t.last_version() is None
+    keys = [f"o{i}" for i in range(40)]
+    t.publish(orders(spark, *keys))
+    before = rows(t.read())
+    assert t.read().schema == FACT_ORDERS
+    hit = orders(spark, "o7", status="shipped")
+    touched = t.touched_buckets(hit)
+    assert len(touched) == 1
+    rest = t.read(buckets=touched).where("order_id <> 'o7'")
+    t.publish(rest.unionByName(hit), touched)
+    assert sorted(os.listdir(tmp_path / "data" / "version=1")).count(f"bucket={touched[0]}") == 1
+    assert len([d for d in os.listdir(tmp_path / "data" / "version=1") if d.startswith("bucket=")]) == 1
+    assert rows(t.read().where("order_id = 'o7'"), "order_status") == [("shipped",)]
+    assert t.read().count() == 40
+    assert rows(t.read(version=0)) == before
+
+
+def test_bucket_that_runs_empty(spark, tmp_path):
+    t = table(spark, tmp_path, buckets=2)
+    t.publish(orders(spark, *[f"o{i}" for i in range(20)]))
+    t.publish(t.read(buckets=[0]).where("false"), [0])
+    assert t.read(buckets=[0]).count() == 0
+    assert t.read().count() == t.read(version=0, buckets=[1]).count() > 0
+
+
+def test_failed_attempt_leaves_nothing(spark, tmp_path):
+    """Data and staged changes of an unpublished attempt are invisible and overwritten."""
+    t = table(spark, tmp_path)
+    t.publish(orders(spark, "o1"), changes=orders(spark, "o1").withColumn("_change_type", F.lit("insert")))
+    orders(spark, "junk").withColumn("bucket", F.lit(0)).write.partitionBy("bucket", "event_date").parquet(
+        f"{tmp_path}/data/version=1")
+    orders(spark, "junk").write.parquet(f"{tmp_path}/staged/version=1")
+    t.release_changes()
+    assert rows(t.read(), "order_id") == [("o1",)]
+    assert rows(t.read_changes(), "order_id") == [("o1",)]
+    t.insert(orders(spark, "o2"))
+    assert rows(t.read(), "order_id") == [("o1",), ("o2",)]
+    assert rows(t.read_changes(), "order_id", "_commit_version") == [("o1", 0), ("o2", 1)]
+
+
+def test_changes_of_a_crash_after_publishing_are_released(spark, tmp_path, monkeypatch):
+    t = table(spark, tmp_path)
+    monkeypatch.setattr(SnapshotTable, "release_changes", lambda self: None)
+    t.insert(orders(spark, "o1"))
+    assert t.read_changes().count() == 0
+    monkeypatch.undo()
+    t.release_changes()
+    t.release_changes()
+    assert rows(t.read_changes(), "order_id") == [("o1",)]
+
+
+def test_expire_keeps_what_is_in_use(spark, tmp_path):
+    t = table(spark, tmp_path, buckets=8)
+    t.publish(orders(spark, *[f"o{i}" for i in range(30)]))
+    for i in range(3):
+        t.update(f"order_id = 'o{i}'", {"order_status": "'done'"})
+    want = rows(t.read())
+    t.expire(keep=1)
+    assert t.versions() == [3] and rows(t.read()) == want
+    assert "version=0" in os.listdir(tmp_path / "data")
+
+
+def test_null_partition_value(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.publish(orders(spark, "o1").withColumn("event_date", F.lit(None).cast("date")))
+    assert rows(t.read(), "order_id", "event_date") == [("o1", None)]
+
+
+def test_missing_table_fails_fast(spark, tmp_path):
+    with pytest.raises(TableMissing) as caught:
+        load_or_fail(spark, str(tmp_path / "nowhere"))
+    assert caught.value.exit_code == 2
+
+
+def test_names_in_the_catalog(spark, tmp_path):
+    where = str(tmp_path / "agg")
+    create_empty(spark, AGG_ORDERS_DAILY, where)
+    create_table(spark, "agg_named", AGG_ORDERS_DAILY, where)
+    create_table(spark, "agg_named", AGG_ORDERS_DAILY, where)
+    assert spark.table("agg_named").count() == 0
+    assert spark.catalog.tableExists("agg_named")
+    spark.sql("INSERT INTO agg_named SELECT DATE '2025-01-01', 'created', 3")
+    assert spark.table("agg_named").count() == 1
+    assert [t.name for t in spark.catalog.listTables(pattern="agg_nam*")] == ["agg_named"]
+    overwrite_partitioned(daily_counts(orders(spark, "a", "b")), str(tmp_path / "daily"), "event_date")
+    register(spark, "agg_named", str(tmp_path / "daily"))
+    assert rows(spark.table("agg_named"), "event_date", "order_cnt")[0][1] == 2
+    create_table(spark, "fact_named", FACT_ORDERS, str(tmp_path / "fact"), "event_date")
+    assert spark.table("fact_named").columns[-1] == "event_date"
+    for name in ("agg_named", "fact_named"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_smoke_flow(spark, tmp_path):
+    """Insert, update, insert on the fact; the streamed counts follow."""
+    house = Lakehouse(spark, str(tmp_path), buckets=2)
+
+    def keep_up():
+        query = house.start_agg(once=True)
+        query.awaitTermination()
+        assert query.exception() is None
+
+    house.fact.insert(orders(spark, "o_demo"))
+    house.fact.update("order_id = 'o_demo'", {"order_status": "'approved'"})
+    keep_up()
+    house.fact.insert(orders(spark, "o_demo_2", status="approved"))
+    keep_up()
+    assert rows(house.agg.read(), "order_status", "order_cnt") == [("approved", 2)]
+    kinds = house.fact.read_changes().groupBy("_change_type").count()
+    assert rows(kinds, "_change_type", "count") == [
+        ("insert", 2), ("update_postimage", 1), ("update_preimage", 1)]
+    assert reconcile(house.fact.read(), house.agg.read()).isEmpty()
+
+
+def test_text_files_appear_whole(spark, tmp_path):
+    path = f"{tmp_path}/a/b.json"
+    files.write_text(spark, path, "é{}")
+    assert files.read_text(spark, path) == "é{}"
+    assert files.list_names(spark, f"{tmp_path}/a") and not files.exists(spark, f"{tmp_path}/zzz")
+    assert files.list_names(spark, f"{tmp_path}/zzz") == []
