@@ -36,22 +36,19 @@ def parse_envelope(
     if mode == "from_json":
         image = "struct<" + ",".join(f"`{c}`:string" for c in spec.columns) + ">"
         fields = f"op:string,ts_ms:string,before:{image},after:{image}"
-        parsed = F.from_json("v", f"struct<payload:struct<{fields}>,{fields}>")
-        df = df.select(*keep, F.explode(F.array(parsed)).alias("_e"))
-
-        def field(path: str) -> Column:
-            return F.col(f"_e.{path}")
+        schema = f"struct<payload:struct<{fields}>,{fields}>"
+        df = df.selectExpr(*keep, f"explode(array(from_json(v, '{schema}'))) AS _e")
+        field = "_e.{}".format
     elif mode == "get_json_object":
-        def field(path: str) -> Column:
-            return F.get_json_object("v", f"$.{path}")
+        field = "get_json_object(v, '$.{}')".format
     else:
         raise ValueError(f"unknown parse mode {mode!r}")
 
-    def lookup(*paths: str) -> Column:
-        return F.coalesce(*[field(p) for path in paths for p in (f"payload.{path}", path)])
+    def lookup(*paths: str) -> str:
+        return f"coalesce({', '.join(field(p) for path in paths for p in (f'payload.{path}', path))})"
 
-    columns = [lookup("op").alias("op"), try_bigint(lookup("ts_ms")).alias("ts_ms")]
+    columns = [F.expr(lookup("op")).alias("op"), try_bigint(F.expr(lookup("ts_ms"))).alias("ts_ms")]
     for name in spec.columns:
-        sources = [f"after.{name}"] + ([f"before.{name}"] if name not in spec.attrs else [])
-        columns.append(_typed(lookup(*sources), spec.casts.get(name)).alias(name))
+        images = [f"after.{name}"] + ([f"before.{name}"] if name not in spec.attrs else [])
+        columns.append(_typed(F.expr(lookup(*images)), spec.casts.get(name)).alias(name))
     return df.select(*keep, *columns)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import change_sign, is_delete
 from tidemark.operators.merge import Insert, Merged, Update, apply_merge
-from tidemark.operators.neighbours import with_neighbours
+from tidemark.operators.neighbours import SLICE, with_neighbours
 from tidemark.schemas import DELETE, INSERT, UPDATE_AFTER, UPDATE_BEFORE
 
 GROUP = ("event_date", "order_status")
@@ -17,7 +17,7 @@ GROUP = ("event_date", "order_status")
 
 def change_history(
     winners: DataFrame, keys: Sequence[str], columns: Sequence[str], batch: str,
-    slice_width: int | None = None,
+    slice_width: int | None = SLICE,
 ) -> DataFrame:
     """All change rows that merging the batches one after another would emit.
 

@@ -92,54 +92,43 @@ def apply_merge(
     one target row.
     """
     columns = tuple(target.columns)
-    in_target, in_source = F.col("t._in_target").isNotNull(), F.col("s._in_source").isNotNull()
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     s = source.withColumn("_in_source", F.lit(True)).alias("s")
-    on_keys = F.lit(True)
-    for key in on:
-        left, right = F.col(f"t.{key}"), F.col(f"s.{key}")
-        on_keys = on_keys & (left.eqNullSafe(right) if null_safe else left == right)
-    joined = t.join(s, on_keys, "full_outer" if not_matched else "left_outer")
+    equals = "<=>" if null_safe else "="
+    on_keys = " AND ".join(f"t.`{key}` {equals} s.`{key}`" for key in on)
+    joined = t.join(s, F.expr(on_keys), "full_outer" if not_matched else "left_outer")
 
     # (condition, kind of action, new values) in the order in which clauses are tried.
-    clauses: list[tuple[Column, str, Values | None]] = []
+    clauses: list[tuple[str, str, Values]] = []
     for clause in matched:
-        when = in_target & in_source & F.expr(clause.when)
+        when = f"t._in_target AND s._in_source AND ({clause.when})"
         if isinstance(clause, Delete):
-            clauses.append((when, "delete", None))
+            clauses.append((when, "delete", {}))
         else:
             clauses.append((when, "update", _values(clause.set, columns)))
     for clause in not_matched:
-        when = in_source & ~in_target & F.expr(clause.when)
+        when = f"s._in_source AND t._in_target IS NULL AND ({clause.when})"
         clauses.append((when, "insert", _values(clause.values, columns)))
 
-    def choose(results: Sequence[Column], otherwise: Column) -> Column:
-        chosen = None
-        for (when, _, _), result in zip(clauses, results, strict=True):
-            chosen = F.when(when, result) if chosen is None else chosen.when(when, result)
-        return otherwise if chosen is None else chosen.otherwise(otherwise)
+    def case(results: Sequence[str], otherwise: str) -> str:
+        branches = " ".join(f"WHEN {c[0]} THEN {r}" for c, r in zip(clauses, results, strict=True))
+        return f"CASE {branches} ELSE {otherwise} END" if branches else otherwise
 
-    act = choose(
-        [F.lit(kind) for _, kind, _ in clauses],
-        F.when(in_target, F.lit("keep")).otherwise(F.lit("drop")),
-    )
+    act = case([f"'{kind}'" for _, kind, _ in clauses], "CASE WHEN t._in_target THEN 'keep' ELSE 'drop' END")
     after = []
     for field in target.schema.fields:
-        current = F.col(f"t.{field.name}")
-        options = []
-        for _, kind, values in clauses:
-            if values and field.name in values:
-                options.append(F.expr(values[field.name]).cast(field.dataType))
-            else:
-                options.append(F.lit(None).cast(field.dataType) if kind == "insert" else current)
-        after.append(choose(options, current).alias(field.name))
-    before = F.struct(*[F.col(f"t.{c}").alias(c) for c in columns])
-    keys = [F.col(f"t.{key}").alias(f"_key{i}") for i, key in enumerate(on)]
-    flat = joined.select(
-        act.alias("_act"), F.col("s._in_source").alias("_hit"),
-        before.alias("_before"), F.struct(*after).alias("_after"), *keys,
+        kind_of = field.dataType.simpleString()
+        given = [
+            f"cast({values.get(field.name, 'NULL' if kind == 'insert' else f't.`{field.name}`')} AS {kind_of})"
+            for _, kind, values in clauses
+        ]
+        after.append(f"{case(given, f't.`{field.name}`')} AS `{field.name}`")
+    flat = joined.selectExpr(
+        f"{act} AS _act", "s._in_source AS _hit",
+        f"struct({', '.join(f't.`{c}` AS `{c}`' for c in columns)}) AS _before",
+        f"struct({', '.join(after)}) AS _after",
+        *[f"t.`{key}` AS _key{i}" for i, key in enumerate(on)],
     )
-
     if not source_unique and matched:
         _refuse_double_changes(source, flat, on)
     return Merged(flat, columns)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SLICE = 1 << 20
+
 
 def with_neighbours(
     df: DataFrame,
@@ -14,17 +16,16 @@ def with_neighbours(
     order: str,
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
-    slice_width: int | None = None,
+    slice_width: int | None = SLICE,
 ) -> DataFrame:
     """Add columns of the previous / following row by the integer column ``order``.
 
     ``previous`` and ``following`` map a new column name to a source column; the
-    order must be unique per key. Without ``slice_width`` this is one window per
-    key: right when the rows per key are known to be few. With it, the order axis
-    is cut into slices of that width and each (key, slice) is handled on its own,
-    so at most ``slice_width`` rows of a key share a task however large the key
-    is. Only the first and last row of a slice then look across: a second window
-    sees those edges alone, two per slice.
+    order must be unique per key. The order axis is cut into slices and each (key,
+    slice) is handled on its own, so at most ``slice_width`` rows of a key share a
+    task however large the key is. Only the first and last row of a slice then look
+    across: a second window sees those edges alone, two per slice. ``None`` is one
+    plain window per key and one shuffle less: for keys known to have few rows.
     """
     previous, following = previous or {}, following or {}
 

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import attrs_differ, is_delete, is_upsert
 from tidemark.operators.dedupe import delete_wins_order, latest_per_key
 from tidemark.operators.merge import Update, apply_merge
-from tidemark.operators.neighbours import with_neighbours
+from tidemark.operators.neighbours import SLICE, with_neighbours
 from tidemark.schemas import CUSTOMERS, CdcTableSpec
 
 START, END, CURRENT = "effective_start_ts_ms", "effective_end_ts_ms", "is_current"
-ARRIVAL_SLICE = 1 << 20
 
 
 def current_versions(dim: DataFrame) -> DataFrame:
@@ -117,14 +116,14 @@ def scd2_batch(dim: DataFrame, batch: DataFrame, spec: CdcTableSpec = CUSTOMERS)
 
 def scd2_history(
     events: DataFrame, batch: str, spec: CdcTableSpec = CUSTOMERS, collapse: str = "batch",
-    slice_width: int | None = None,
+    slice_width: int | None = SLICE,
 ) -> DataFrame:
     """The dimension after all micro-batches, as one plan instead of a loop.
 
     ``collapse="batch"`` keeps one row per key and micro-batch, as the batch loop
-    does; a key then has at most as many rows as there are batches. With
-    ``collapse="none"`` every event counts, in arrival order (each event its own
-    batch); offsets are sliced so that a hot key spreads over many tasks.
+    does. With ``collapse="none"`` every event counts, in arrival order (each event
+    its own batch). Batches, or offsets, are sliced so that the history of a hot
+    key spreads over many tasks (see ``with_neighbours``).
 
     Equal to the loop when event time does not run backwards from batch to batch
     within a key; a late event would close versions before they start there.
@@ -134,7 +133,6 @@ def scd2_history(
         rows, order = latest_per_key(events, [batch, key], delete_wins_order()), batch
     elif collapse == "none":
         rows, order = events, "kafka_offset"
-        slice_width = slice_width or ARRIVAL_SLICE
     else:
         raise ValueError(f"unknown collapse mode {collapse!r}")
     rows = rows.select(key, order, "op", "ts_ms", *spec.attrs)

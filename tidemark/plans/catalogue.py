@@ -16,6 +16,7 @@ from tidemark.operators.dml import insert_rows, update_where
 from tidemark.operators.expectations import (
     agg_orders_daily_suite, fact_orders_suite, silver_customers_suite, statistics,
 )
+from tidemark.operators.neighbours import SLICE
 from tidemark.operators.reconcile import daily_counts, reconcile
 from tidemark.operators.scd2 import (
     close_set, close_versions, compare_with_current, current_versions, open_set, open_versions,
@@ -58,6 +59,17 @@ def _last_batch(spark, sf_dir):
     return events.agg(F.max(replay.batch_no())).scalar()
 
 
+def _slices(spark, sf_dir, per_row=1):
+    """Width of history slices: none while the whole log has fewer rows per key than
+    one slice may hold (a key has at most one row per batch, or per event)."""
+    top = replay.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    return None if top is None or top // per_row < SLICE else SLICE
+
+
+def _batch_slices(spark, sf_dir):
+    return _slices(spark, sf_dir, replay.EVENTS_PER_BATCH)
+
+
 def _around_last_batch(spark, sf_dir, valid):
     """(events of all earlier micro-batches, events of the newest one)."""
     last = _last_batch(spark, sf_dir)
@@ -65,7 +77,9 @@ def _around_last_batch(spark, sf_dir, valid):
 
 
 def _dim(spark, sf_dir):
-    return scd2_history(_valid_customers(spark, sf_dir), "batch_no")
+    return scd2_history(
+        _valid_customers(spark, sf_dir), "batch_no", slice_width=_batch_slices(spark, sf_dir),
+    )
 
 
 def _fact(spark, sf_dir):
@@ -182,7 +196,7 @@ def fact_orders_merge(spark, sf_dir):
 
 def _scd2_compared(spark, sf_dir):
     earlier, newest = _around_last_batch(spark, sf_dir, tables.keyed(_valid_customers(spark, sf_dir)))
-    dim = scd2_history(earlier, "batch_no")
+    dim = scd2_history(earlier, "batch_no", slice_width=_batch_slices(spark, sf_dir))
     batch = latest_per_key(newest, ["customer_id"], delete_wins_order())
     return dim, compare_with_current(dim, batch)
 
@@ -209,11 +223,13 @@ def dim_customers_scd2(spark, sf_dir):
 
 def dim_customers_scd2_merge(spark, sf_dir):
     earlier, newest = _around_last_batch(spark, sf_dir, tables.keyed(_valid_customers(spark, sf_dir)))
-    return scd2_batch(scd2_history(earlier, "batch_no"), newest)
+    return scd2_batch(scd2_history(earlier, "batch_no", slice_width=_batch_slices(spark, sf_dir)), newest)
 
 
 def dim_customers_every_change(spark, sf_dir):
-    return scd2_history(_valid_customers(spark, sf_dir), "batch_no", collapse="none")
+    return scd2_history(
+        _valid_customers(spark, sf_dir), "batch_no", collapse="none", slice_width=_slices(spark, sf_dir),
+    )
 
 
 def dim_current(spark, sf_dir):
@@ -223,7 +239,7 @@ def dim_current(spark, sf_dir):
 # --- change feed and kept counts ------------------------------------------------
 
 def change_feed(spark, sf_dir):
-    return tables.fact_changes(_valid_orders(spark, sf_dir), "batch_no")
+    return tables.fact_changes(_valid_orders(spark, sf_dir), "batch_no", _batch_slices(spark, sf_dir))
 
 
 def change_feed_merge(spark, sf_dir):

@@ -15,6 +15,7 @@ from tidemark.functions.scalars import event_date, is_delete
 from tidemark.operators.changefeed import change_history
 from tidemark.operators.dedupe import delete_wins_order, latest_per_key, stream_order
 from tidemark.operators.merge import Delete, Insert, Merged, Update, apply_merge
+from tidemark.operators.neighbours import SLICE
 from tidemark.schemas import CUSTOMERS, FACT_ORDERS, ORDERS, CdcTableSpec
 
 FACT_COLUMNS = tuple(FACT_ORDERS.fieldNames())
@@ -100,7 +101,7 @@ def fact_merge(target: DataFrame, valid: DataFrame, guard: str | None = None) ->
     )
 
 
-def fact_changes(valid: DataFrame, batch: str, slice_width: int | None = None) -> DataFrame:
+def fact_changes(valid: DataFrame, batch: str, slice_width: int | None = SLICE) -> DataFrame:
     """Change rows of all micro-batches in one plan (``_commit_version`` = batch)."""
     winners = latest_per_key(valid, [batch, "order_id"], delete_wins_order())
     winners = winners.withColumn("event_ts_ms", F.col("ts_ms")).select(batch, "op", *FACT_COLUMNS)

@@ -7,7 +7,7 @@ over the whole input tables.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,113 +17,105 @@ from tidemark.sources.bronze import project_bronze
 
 EVENTS_PER_BATCH = 1000
 
+OP = """CASE event_type WHEN 'signup' THEN 'c' WHEN 'view' THEN 'r' WHEN 'error' THEN 'd' ELSE 'u' END AS op"""
+STATUS = """CASE event_type WHEN 'signup' THEN 'created' WHEN 'click' THEN 'approved'
+    WHEN 'view' THEN 'shipped' WHEN 'purchase' THEN 'delivered' END AS order_status"""
+STATE = """CASE WHEN k % 10 = 0 THEN 'XXX'
+    ELSE substring('SPRJMGPRBA', cast(1 + 2 * (k % 5) AS int), 2) END AS customer_state"""
+
+
+@lru_cache(maxsize=64)
+def _parquet(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
-def batch_no() -> Column:
-    """Micro-batch of an event, by its position in the log."""
-    return F.floor(F.col("kafka_offset") / F.lit(EVENTS_PER_BATCH)).cast("bigint")
+@lru_cache(maxsize=64)
+def _splits(spark: SparkSession, path: str) -> int:
+    return _parquet(spark, path).rdd.getNumPartitions()
 
 
-def _op() -> Column:
-    kind = F.col("event_type")
-    return (
-        F.when(kind == "signup", "c").when(kind == "view", "r").when(kind == "error", "d").otherwise("u")
-    )
+def _spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table of a few row groups, dealt out to all cores before its rows are turned
+    into JSON. A table that has splits enough is left alone: no shuffle."""
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if _splits(spark, f"{sf_dir}/{name}.parquet") >= cores else rows.repartition(cores, key)
 
 
-def _kafka_rows(
-    df: DataFrame, topic: str, key: Column, op: Column, ts: Column,
-    before: Column, after: Column, offset: Column, partition: Column,
-) -> DataFrame:
-    """Envelopes flat at even offsets, wrapped in ``payload`` at odd ones."""
-    stamp = ts.cast("timestamp")
-    fields = F.struct(
-        op.alias("op"), F.unix_millis(stamp).alias("ts_ms"),
-        F.when(op == "d", before).alias("before"), F.when(op != "d", after).alias("after"),
+def batch_no() -> Column:
+    """Micro-batch of an event, by its position in the log."""
+    return F.expr(f"kafka_offset div {EVENTS_PER_BATCH}")
+
+
+def _kafka_rows(df: DataFrame, topic: str, key: str, before: str, after: str) -> DataFrame:
+    """Rows with op, ts, offset, partition to change events: flat envelopes at even
+    offsets, wrapped in ``payload`` at odd ones. Images are lists of columns."""
+    def image(columns: str) -> str:
+        return f"struct({columns})"
+
+    nulls = "map('ignoreNullFields', 'false')"
+    envelope = df.selectExpr(
+        f"to_json({image(key)}, {nulls}) AS k",
+        f"""to_json(struct(op, unix_millis(ts) AS ts_ms,
+            CASE WHEN op = 'd' THEN {image(before)} END AS before,
+            CASE WHEN op <> 'd' THEN {image(after)} END AS after), {nulls}) AS flat""",
+        "partition", "offset", "ts",
     )
-    keep_nulls = {"ignoreNullFields": "false"}
-    flat = F.to_json(fields, keep_nulls)
-    text = F.when(offset % 2 == 0, flat).otherwise(F.concat(F.lit('{"payload":'), flat, F.lit("}")))
-    return df.select(
-        F.to_json(key, keep_nulls).cast("binary").alias("key"),
-        text.cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        partition.cast("int").alias("partition"),
-        offset.cast("bigint").alias("offset"),
-        stamp.alias("timestamp"),
-        F.lit(0).alias("timestampType"),
+    return envelope.selectExpr(
+        "cast(k AS binary) AS key",
+        """cast(if(offset % 2 = 0, flat, concat('{"payload":', flat, '}')) AS binary) AS value""",
+        f"'{topic}' AS topic", "cast(partition AS int) AS partition",
+        "cast(offset AS bigint) AS offset", "ts AS timestamp", "0 AS timestampType",
     )
 
 
 def customers_topic(spark: SparkSession, sf_dir: str, prefix: str = "shop") -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    offset, user = F.col("event_id"), F.col("user_id")
-    customer = F.when(offset % 97 != 0, F.concat(F.lit("c_"), user))
-    key = F.struct(customer.alias("customer_id"))
-    state = F.when(k % 10 == 0, "XXX").otherwise(
-        F.substring(F.lit("SPRJMGPRBA"), (1 + 2 * (k % 5)).cast("int"), F.lit(2)),
-    )
-    after = F.struct(
-        customer.alias("customer_id"),
-        F.concat(F.lit("u_"), user).alias("customer_unique_id"),
-        F.concat(F.lit("city_"), k % 7).alias("customer_city"),
-        state.alias("customer_state"),
-    )
-    return _kafka_rows(
-        table(spark, sf_dir, "events"), CUSTOMERS.topic(prefix), key, _op(), F.col("ts"),
-        key, after, offset, user % 4,
+    rows = _spread(spark, sf_dir, "events", "event_id").selectExpr(
+        "*", "cast(get_json_object(props, '$.k') AS bigint) AS k",
+    ).selectExpr(
+        OP, "cast(ts AS timestamp) AS ts", "event_id AS offset", "user_id % 4 AS partition",
+        "CASE WHEN event_id % 97 <> 0 THEN concat('c_', user_id) END AS customer_id",
+        "concat('u_', user_id) AS customer_unique_id", "concat('city_', k % 7) AS customer_city", STATE,
     )
+    after = "customer_id, customer_unique_id, customer_city, customer_state"
+    return _kafka_rows(rows, CUSTOMERS.topic(prefix), "customer_id", "customer_id", after)
 
 
 def orders_topic(spark: SparkSession, sf_dir: str, prefix: str = "shop") -> DataFrame:
-    offset, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    order = F.concat(F.lit("o_"), offset % 2500)
-    customer = F.when(offset % 89 != 0, F.concat(F.lit("c_"), user))
-    status = (
-        F.when(kind == "signup", "created").when(kind == "click", "approved")
-        .when(kind == "view", "shipped").when(kind == "purchase", "delivered")
-    )
-    key = F.struct(order.alias("order_id"))
-    before = F.struct(order.alias("order_id"), customer.alias("customer_id"))
-    after = F.struct(
-        order.alias("order_id"), customer.alias("customer_id"), status.alias("order_status"),
-    )
-    return _kafka_rows(
-        table(spark, sf_dir, "events"), ORDERS.topic(prefix), key, _op(), F.col("ts"),
-        before, after, offset, F.lit(0),
+    rows = _spread(spark, sf_dir, "events", "event_id").selectExpr(
+        OP, "cast(ts AS timestamp) AS ts", "event_id AS offset", "0 AS partition",
+        "concat('o_', event_id % 2500) AS order_id",
+        "CASE WHEN event_id % 89 <> 0 THEN concat('c_', user_id) END AS customer_id", STATUS,
     )
+    after = "order_id, customer_id, order_status"
+    return _kafka_rows(rows, ORDERS.topic(prefix), "order_id", "order_id, customer_id", after)
 
 
 def products_topic(spark: SparkSession, sf_dir: str, prefix: str = "shop") -> DataFrame:
-    part = F.col("p_partkey")
-    key = F.struct(F.concat(F.lit("p_"), part).alias("product_id"))
-    after = F.struct(
-        F.concat(F.lit("p_"), part).alias("product_id"),
-        F.col("p_type").alias("product_category"), F.col("p_size").alias("product_weight_g"),
-    )
-    return _kafka_rows(
-        table(spark, sf_dir, "part"), PRODUCTS.topic(prefix), key, F.lit("r"),
-        F.timestamp_seconds(part), key, after, part, part % 4,
+    rows = table(spark, sf_dir, "part").selectExpr(
+        "'r' AS op", "timestamp_seconds(p_partkey) AS ts", "p_partkey AS offset", "p_partkey % 4 AS partition",
+        "concat('p_', p_partkey) AS product_id", "p_type AS product_category", "p_size AS product_weight_g",
     )
+    after = "product_id, product_category, product_weight_g"
+    return _kafka_rows(rows, PRODUCTS.topic(prefix), "product_id", "product_id", after)
 
 
 def order_items_topic(spark: SparkSession, sf_dir: str, prefix: str = "shop") -> DataFrame:
-    order, line = F.col("l_orderkey"), F.col("l_linenumber")
-    key = F.struct(F.concat(F.lit("o_"), order).alias("order_id"), line.alias("order_item_id"))
-    after = F.struct(
-        F.concat(F.lit("o_"), order).alias("order_id"), line.alias("order_item_id"),
-        F.concat(F.lit("p_"), F.col("l_partkey")).alias("product_id"),
-        F.col("l_extendedprice").cast("decimal(10,2)").cast("string").alias("price"),
-        F.unix_micros(F.col("l_shipdate").cast("timestamp")).alias("shipping_limit_dt"),
-    )
-    return _kafka_rows(
-        table(spark, sf_dir, "lineitem"), ORDER_ITEMS.topic(prefix), key, F.lit("c"),
-        F.col("l_shipdate"), key, after, order * 10 + line, order % 4,
+    rows = _spread(spark, sf_dir, "lineitem", "l_orderkey").selectExpr(
+        "'c' AS op", "cast(l_shipdate AS timestamp) AS ts", "l_orderkey * 10 + l_linenumber AS offset",
+        "l_orderkey % 4 AS partition", "concat('o_', l_orderkey) AS order_id", "l_linenumber AS order_item_id",
+        "concat('p_', l_partkey) AS product_id",
+        "cast(cast(l_extendedprice AS decimal(10,2)) AS string) AS price",
+        "unix_micros(cast(l_shipdate AS timestamp)) AS shipping_limit_dt",
     )
+    key = "order_id, order_item_id"
+    after = f"{key}, product_id, price, shipping_limit_dt"
+    return _kafka_rows(rows, ORDER_ITEMS.topic(prefix), key, key, after)
 
 
 TOPICS = {
