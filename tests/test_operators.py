@@ -41,11 +41,11 @@ def test_latest_per_key_ties(spark, method):
         ev("c", None, "n", off=9), ev("u", 1, "n", city="dated", off=1),
         ev("c", 5, "p", part=None, off=None), ev("u", 5, "p", city="placed", off=0),
     )
-    by_stream = latest_per_key(df, ["customer_id"], stream_order(), method)
+    by_stream = latest_per_key(df, ["customer_id"], stream_order(), method=method)
     assert rows(by_stream, "customer_id", "op", "customer_city") == [
         ("a", "u", "later"), ("b", "c", "x"), ("n", "u", "dated"), ("p", "u", "placed"),
     ]
-    by_delete = latest_per_key(df, ["customer_id"], delete_wins_order(), method)
+    by_delete = latest_per_key(df, ["customer_id"], delete_wins_order(), method=method)
     assert rows(by_delete.where("customer_id = 'b'"), "op") == [("d",)]
 
 
@@ -54,7 +54,7 @@ def test_latest_per_key_cuts_before_the_shuffle(spark):
     plan = latest_per_key(df, ["customer_id"], stream_order())._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_max_by") > plan.index("Exchange")  # printed top down
     plan = latest_per_key(
-        df, ["customer_id"], stream_order(), "row_number")._jdf.queryExecution().executedPlan().toString()
+        df, ["customer_id"], stream_order(), method="row_number")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
 
 

@@ -29,21 +29,23 @@ def delete_wins_order() -> list[Column]:
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], method: str = "max_by",
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column],
+    columns: Sequence[str] | None = None, method: str = "max_by",
 ) -> DataFrame:
     """One row per key: the greatest by ``order``; NULL sorts last.
 
     Both methods cut each key to one row per input partition before the shuffle
     (partial aggregate, or a partial group limit under the window), so a key that
-    holds a third of the rows never meets in one task.
+    holds a third of the rows never meets in one task. ``columns`` are the ones to
+    keep (default: all); only they and the order travel.
     """
+    columns = list(columns or df.columns)
     if method == "max_by":
-        rest = [c for c in df.columns if c not in keys]
+        rest = [c for c in columns if c not in keys]
         rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-        best = F.max_by(F.struct(*rest), rank).alias("_best")
-        flat = df.groupBy(*keys).agg(best)
-        return flat.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
+        flat = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_best"))
+        return flat.selectExpr(*[f"`{c}`" if c in keys else f"_best.`{c}`" for c in columns])
     if method == "row_number":
         window = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order])
-        return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
+        return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").select(*columns)
     raise ValueError(f"unknown dedupe method {method!r}")

@@ -1,0 +1,48 @@
+"""The same merge clauses as a MERGE statement, for table formats that have one."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+from tidemark.operators.merge import Delete, Insert, Update
+
+
+def merge_statement(
+    table: str, on: Sequence[str], matched: Sequence[Delete | Update] = (),
+    not_matched: Sequence[Insert] = (), null_safe: bool = False,
+) -> str:
+    """MERGE text with the source as the parameter ``{source}``."""
+    equals = "<=>" if null_safe else "="
+    lines = [
+        f"MERGE INTO {table} AS t USING {{source}} AS s",
+        "ON " + " AND ".join(f"t.`{k}` {equals} s.`{k}`" for k in on),
+    ]
+    for clause in matched:
+        if isinstance(clause, Delete):
+            action = "DELETE"
+        elif clause.set is None:
+            action = "UPDATE SET *"
+        else:
+            action = "UPDATE SET " + ", ".join(f"t.`{c}` = {v}" for c, v in clause.set.items())
+        lines.append(f"WHEN MATCHED AND ({clause.when}) THEN {action}")
+    for clause in not_matched:
+        if clause.values is None:
+            action = "INSERT *"
+        else:
+            names = ", ".join(f"`{c}`" for c in clause.values)
+            action = f"INSERT ({names}) VALUES ({', '.join(clause.values.values())})"
+        lines.append(f"WHEN NOT MATCHED AND ({clause.when}) THEN {action}")
+    return "\n".join(lines)
+
+
+def merge_into(
+    table: str, source: DataFrame, on: Sequence[str], matched: Sequence[Delete | Update] = (),
+    not_matched: Sequence[Insert] = (), null_safe: bool = False,
+) -> None:
+    """Merge in place into a catalog table whose format supports row-level changes.
+
+    Plain Parquet does not; ``apply_merge`` with a snapshot table is the way there.
+    """
+    source.sparkSession.sql(merge_statement(table, on, matched, not_matched, null_safe), source=source)

@@ -21,14 +21,27 @@ def current_versions(dim: DataFrame) -> DataFrame:
 def compare_with_current(dim: DataFrame, batch: DataFrame, spec: CdcTableSpec = CUSTOMERS) -> DataFrame:
     """Batch rows (one per key) beside their current version, columns prefixed ``t_``.
 
-    Adds ``has_current`` and ``differs``. An attribute that turns from NULL to the
-    empty string is no difference.
+    Adds ``has_current``, ``differs`` (an attribute that turns from NULL to the empty
+    string does not differ) and ``known``: a version starting at the row's time is
+    there already, so the event is a replay.
+
+    The dimension is first cut down to the batch's keys by an inner join, in which
+    the batch is the side Spark may broadcast; what is joined back to the batch has
+    one row per key.
     """
     key = spec.keys[0]
-    current = current_versions(dim).selectExpr(*[f"`{c}` AS t_{c}" for c in (key, *spec.attrs)])
-    beside = batch.join(current, F.col(key) == F.col(f"t_{key}"), "left")
-    return beside.withColumn("has_current", F.col(f"t_{key}").isNotNull()).withColumn(
-        "differs", attrs_differ([F.col(a) for a in spec.attrs], [F.col(f"t_{a}") for a in spec.attrs]),
+    sought = batch.select(F.col(key), F.col("ts_ms").alias("_ts"))
+    found = dim.join(sought, key).groupBy(key).agg(
+        F.max(F.when(F.col(CURRENT), F.struct(*spec.attrs))).alias("_current"),
+        F.bool_or(F.col(START) == F.col("_ts")).alias("_known"),
+    )
+    beside = batch.join(found, key, "left")
+    return beside.select(
+        *batch.columns, *[F.col(f"_current.{a}").alias(f"t_{a}") for a in spec.attrs],
+        F.col("_current").isNotNull().alias("has_current"),
+        attrs_differ([F.col(a) for a in spec.attrs], [F.col(f"_current.{a}") for a in spec.attrs])
+        .alias("differs"),
+        F.coalesce("_known", F.lit(False)).alias("known"),
     )
 
 
@@ -71,47 +84,14 @@ def open_versions(dim: DataFrame, opening: DataFrame, spec: CdcTableSpec = CUSTO
 def scd2_batch(dim: DataFrame, batch: DataFrame, spec: CdcTableSpec = CUSTOMERS) -> DataFrame:
     """The dimension after one micro-batch of valid rows.
 
-    The batch is cut to its latest row per key, deletes winning ties. Only current
-    versions are joined with it; ended versions are never compared again and pass
-    straight through. A batch that opens nothing is fine.
+    The batch is cut to its latest row per key, deletes winning ties. A batch that
+    opens nothing is fine, and replaying one adds nothing.
     """
     key = spec.keys[0]
-    latest = latest_per_key(batch, [key], delete_wins_order()).select("op", "ts_ms", key, *spec.attrs)
-    current = current_versions(dim)
-    ended = dim.where(~F.coalesce(F.col(CURRENT), F.lit(False)))
-
-    # Versions that already start at the batch row's time: a replayed event.
-    started = ended.select(key, F.col(START).alias("ts_ms"))
-    known = started.join(latest.select(key, "ts_ms"), [key, "ts_ms"], "inner").distinct()
-    latest = latest.join(known.withColumn("_known", F.lit(True)), [key, "ts_ms"], "left")
-
-    t = current.withColumn("_has", F.lit(True)).alias("t")
-    s = latest.alias("s")
-    joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    has_current = F.col("t._has").isNotNull()
-    op, ts = F.col("s.op"), F.col("s.ts_ms")
-    differs = attrs_differ([F.col(f"s.{a}") for a in spec.attrs], [F.col(f"t.{a}") for a in spec.attrs])
-    upsert = F.coalesce(is_upsert(op), F.lit(False))
-    ends = has_current & (F.coalesce(is_delete(op), F.lit(False)) | (upsert & differs))
-    begins = (
-        upsert & (~has_current | differs) & F.col("s._known").isNull()
-        & ~F.coalesce(F.col(f"t.{START}") == ts, F.lit(False))
-    )
-    old = F.struct(
-        *[F.col(f"t.{c}").alias(c) for c in (key, *spec.attrs, START)],
-        F.when(ends, ts).otherwise(F.col(f"t.{END}")).alias(END),
-        (~ends).alias(CURRENT),
-    )
-    new = F.struct(
-        *[F.col(f"s.{c}").alias(c) for c in (key, *spec.attrs)], ts.alias(START),
-        F.lit(None).cast("bigint").alias(END), F.lit(True).alias(CURRENT),
-    )
-    emitted = (
-        F.when(has_current & begins, F.array(old, new))
-        .when(has_current, F.array(old))
-        .when(begins, F.array(new))
-    )
-    return ended.unionByName(joined.select(F.inline(emitted)))
+    latest = latest_per_key(batch, [key], delete_wins_order(), ["op", "ts_ms", key, *spec.attrs])
+    compared = compare_with_current(dim, latest, spec)
+    closed = close_versions(dim, close_set(compared, spec), spec)
+    return closed.unionByName(open_set(compared.where("NOT known"), spec))
 
 
 def scd2_history(
@@ -130,7 +110,8 @@ def scd2_history(
     """
     key = spec.keys[0]
     if collapse == "batch":
-        rows, order = latest_per_key(events, [batch, key], delete_wins_order()), batch
+        kept = [key, batch, "op", "ts_ms", *spec.attrs]
+        rows, order = latest_per_key(events, [batch, key], delete_wins_order(), kept), batch
     elif collapse == "none":
         rows, order = events, "kafka_offset"
     else:

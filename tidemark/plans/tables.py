@@ -19,6 +19,8 @@ from tidemark.operators.neighbours import SLICE
 from tidemark.schemas import CUSTOMERS, FACT_ORDERS, ORDERS, CdcTableSpec
 
 FACT_COLUMNS = tuple(FACT_ORDERS.fieldNames())
+SILVER_INPUT = ("op", "ts_ms", *CUSTOMERS.columns)
+FACT_INPUT = ("op", "ts_ms", *ORDERS.columns, "event_date")
 
 
 def topic_events(
@@ -46,7 +48,7 @@ def keyed(customers: DataFrame) -> DataFrame:
 # --- silver customers -------------------------------------------------------
 
 def silver_state(valid: DataFrame) -> DataFrame:
-    latest = latest_per_key(valid, ["customer_id"], stream_order())
+    latest = latest_per_key(valid, ["customer_id"], stream_order(), SILVER_INPUT)
     live = latest.where(~is_delete(F.col("op")))
     return live.select("customer_id", *CUSTOMERS.attrs, F.col("ts_ms").alias("_last_ts_ms"))
 
@@ -63,7 +65,7 @@ def silver_merge(target: DataFrame, valid: DataFrame, guard: str | None = None)
     newer = "" if guard is None else " AND coalesce(s.ts_ms >= t._last_ts_ms, true)"
     values = {**{a: f"s.{a}" for a in CUSTOMERS.attrs}, "_last_ts_ms": "s.ts_ms"}
     return apply_merge(
-        target, latest_per_key(valid, ["customer_id"], stream_order()), ["customer_id"],
+        target, latest_per_key(valid, ["customer_id"], stream_order(), SILVER_INPUT), ["customer_id"],
         matched=[
             Delete(when=f"s.op = 'd'{newer}"),
             Update(values, when=f"s.op IN ('c', 'u', 'r'){newer}"),
@@ -76,7 +78,7 @@ def silver_merge(target: DataFrame, valid: DataFrame, guard: str | None = None)
 # --- fact orders ------------------------------------------------------------
 
 def fact_state(valid: DataFrame) -> DataFrame:
-    latest = latest_per_key(valid, ["order_id"], delete_wins_order())
+    latest = latest_per_key(valid, ["order_id"], delete_wins_order(), FACT_INPUT)
     live = latest.where(~is_delete(F.col("op")))
     return live.select(*[F.col("ts_ms").alias(c) if c == "event_ts_ms" else F.col(c) for c in FACT_COLUMNS])
 
@@ -91,7 +93,7 @@ def fact_merge(target: DataFrame, valid: DataFrame, guard: str | None = None) ->
         "event_ts_ms": "s.ts_ms", "event_date": "s.event_date",
     }
     return apply_merge(
-        target, latest_per_key(valid, ["order_id"], delete_wins_order()), ["order_id"],
+        target, latest_per_key(valid, ["order_id"], delete_wins_order(), FACT_INPUT), ["order_id"],
         matched=[
             Delete(when=f"s.op = 'd'{newer}"),
             Update(values, when=f"s.op IN ('c', 'u', 'r'){newer}"),
@@ -103,7 +105,7 @@ def fact_merge(target: DataFrame, valid: DataFrame, guard: str | None = None) ->
 
 def fact_changes(valid: DataFrame, batch: str, slice_width: int | None = SLICE) -> DataFrame:
     """Change rows of all micro-batches in one plan (``_commit_version`` = batch)."""
-    winners = latest_per_key(valid, [batch, "order_id"], delete_wins_order())
+    winners = latest_per_key(valid, [batch, "order_id"], delete_wins_order(), [batch, *FACT_INPUT])
     winners = winners.withColumn("event_ts_ms", F.col("ts_ms")).select(batch, "op", *FACT_COLUMNS)
     return change_history(winners, ["order_id"], FACT_COLUMNS, batch, slice_width)
 
