@@ -346,3 +346,12 @@ def test_dml(spark):
 def test_change_history_of_unknown_deletes_is_empty(spark):
     df = spark.createDataFrame([order("d", 1, "o", None, 1)], ORDER).withColumn("event_ts_ms", F.col("ts_ms"))
     assert change_history(df, ["order_id"], FACT_ORDERS.fieldNames(), "batch_no").count() == 0
+
+
+def test_history_slices_spread_a_hot_key(spark):
+    """The first window of a sliced history is partitioned by key and slice."""
+    df = events(spark, *random_events(60))
+    plan = scd2_history(df, "batch_no", collapse="none")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(customer_id" in plan and "_slice" in plan
+    plain = scd2_history(df, "batch_no", slice_width=None)._jdf.queryExecution().executedPlan().toString()
+    assert plain.count("Exchange hashpartitioning") == 2

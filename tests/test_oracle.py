@@ -24,3 +24,12 @@ def test_entry(spark):
     df = entry(spark)
     assert df.columns == ["event_date", "customer_state", "order_status", "order_count"]
     assert not df.isEmpty()
+
+
+@pytest.mark.parametrize("name", ["dim_customers_scd2", "dim_customers_every_change", "change_feed"])
+def test_sliced_histories(spark, con, sf_dir, name, monkeypatch):
+    """Histories longer than a slice: the same result, cut into slices of 3."""
+    from tidemark.plans import catalogue
+
+    monkeypatch.setattr(catalogue, "SLICE", 3)
+    assert compare(spark, con, name, sf_dir) == ""

@@ -18,6 +18,10 @@ def current_versions(dim: DataFrame) -> DataFrame:
     return dim.where(F.col(CURRENT))
 
 
+def ended_versions(dim: DataFrame) -> DataFrame:
+    return dim.where(~F.coalesce(F.col(CURRENT), F.lit(False)))
+
+
 def compare_with_current(dim: DataFrame, batch: DataFrame, spec: CdcTableSpec = CUSTOMERS) -> DataFrame:
     """Batch rows (one per key) beside their current version, columns prefixed ``t_``.
 
@@ -25,23 +29,27 @@ def compare_with_current(dim: DataFrame, batch: DataFrame, spec: CdcTableSpec =
     string does not differ) and ``known``: a version starting at the row's time is
     there already, so the event is a replay.
 
-    The dimension is first cut down to the batch's keys by an inner join, in which
-    the batch is the side Spark may broadcast; what is joined back to the batch has
-    one row per key.
+    The dimension is first cut down to what the batch asks for by semi-joins, in which
+    the batch is the side Spark may broadcast. Both are on keys a row has to itself
+    (current version; key and start), so the long history of one key does not meet.
     """
     key = spec.keys[0]
-    sought = batch.select(F.col(key), F.col("ts_ms").alias("_ts"))
-    found = dim.join(sought, key).groupBy(key).agg(
-        F.max(F.when(F.col(CURRENT), F.struct(*spec.attrs))).alias("_current"),
-        F.bool_or(F.col(START) == F.col("_ts")).alias("_known"),
+    sought = batch.select(F.col(key), F.col("ts_ms").alias(START))
+    found = (
+        current_versions(dim).join(sought, key, "left_semi")
+        .groupBy(key).agg(F.max(F.struct(*spec.attrs)).alias("_current"))
     )
-    beside = batch.join(found, key, "left")
+    known = (
+        dim.join(sought, [key, START], "left_semi").select(F.col(key), F.col(START).alias("ts_ms"))
+        .distinct().withColumn("_known", F.lit(True))
+    )
+    beside = batch.join(found, key, "left").join(known, [key, "ts_ms"], "left")
     return beside.select(
         *batch.columns, *[F.col(f"_current.{a}").alias(f"t_{a}") for a in spec.attrs],
         F.col("_current").isNotNull().alias("has_current"),
         attrs_differ([F.col(a) for a in spec.attrs], [F.col(f"_current.{a}") for a in spec.attrs])
         .alias("differs"),
-        F.coalesce("_known", F.lit(False)).alias("known"),
+        F.col("_known").isNotNull().alias("known"),
     )
 
 
@@ -61,12 +69,13 @@ def open_set(compared: DataFrame, spec: CdcTableSpec = CUSTOMERS) -> DataFrame:
 
 
 def close_versions(dim: DataFrame, closing: DataFrame, spec: CdcTableSpec = CUSTOMERS) -> DataFrame:
-    """End the current versions named in ``closing`` (one row per key)."""
-    key = spec.keys[0]
-    return apply_merge(
-        dim, closing, [key], source_unique=True,
-        matched=[Update({END: "s.ts_ms", CURRENT: "false"}, when=f"t.{CURRENT}")],
+    """End the current versions named in ``closing`` (one row per key). Versions that
+    have ended pass by the join."""
+    closed = apply_merge(
+        current_versions(dim), closing, spec.keys, source_unique=True,
+        matched=[Update({END: "s.ts_ms", CURRENT: "false"})],
     ).rows()
+    return ended_versions(dim).unionByName(closed)
 
 
 def open_versions(dim: DataFrame, opening: DataFrame, spec: CdcTableSpec = CUSTOMERS) -> DataFrame:

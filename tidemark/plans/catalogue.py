@@ -24,6 +24,7 @@ from tidemark.operators.scd2 import (
 )
 from tidemark.plans import marts, tables
 from tidemark.schemas import AGG_ORDERS_DAILY, CAPTURED, CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS
+from tidemark.session import shared_dir
 from tidemark.sources import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,9 +195,22 @@ def fact_orders_merge(spark, sf_dir):
 
 # --- type-2 dimension ----------------------------------------------------------
 
-def _scd2_compared(spark, sf_dir):
+def _stored(spark, df):
+    """The rows as a written table: a merge reads its target several times."""
+    path = shared_dir(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _dim_and_newest(spark, sf_dir):
+    """(the dimension before the newest micro-batch, that batch)."""
     earlier, newest = _around_last_batch(spark, sf_dir, tables.keyed(_valid_customers(spark, sf_dir)))
     dim = scd2_history(earlier, "batch_no", slice_width=_batch_slices(spark, sf_dir))
+    return _stored(spark, dim), newest
+
+
+def _scd2_compared(spark, sf_dir):
+    dim, newest = _dim_and_newest(spark, sf_dir)
     batch = latest_per_key(newest, ["customer_id"], delete_wins_order())
     return dim, compare_with_current(dim, batch)
 
@@ -222,8 +236,7 @@ def dim_customers_scd2(spark, sf_dir):
 
 
 def dim_customers_scd2_merge(spark, sf_dir):
-    earlier, newest = _around_last_batch(spark, sf_dir, tables.keyed(_valid_customers(spark, sf_dir)))
-    return scd2_batch(scd2_history(earlier, "batch_no", slice_width=_batch_slices(spark, sf_dir)), newest)
+    return scd2_batch(*_dim_and_newest(spark, sf_dir))
 
 
 def dim_customers_every_change(spark, sf_dir):
