@@ -203,8 +203,9 @@ def _breaks(kind: str, column: str, broken: str):
 
 
 def _once(kind: str, columns: str, key: str, source: str):
+    texts = ", ".join(f"CAST({k} AS VARCHAR)" for k in key.split(","))
     bad = f"""(SELECT coalesce(sum(c), 0) FROM (SELECT {key}, count(*) AS c FROM {source}
-      GROUP BY {key}) WHERE c > 1 AND coalesce({', '.join(f"CAST({k} AS VARCHAR)" for k in key.split(','))}) IS NOT NULL)"""
+      GROUP BY {key}) WHERE c > 1 AND coalesce({texts}) IS NOT NULL)"""
     missing = " AND ".join(f"{k} IS NULL" for k in key.split(","))
     return (kind, columns, "NULL", "count(*)", f"count(*) FILTER ({missing})", bad, f"{bad} = 0")
 
@@ -295,7 +296,7 @@ ORACLE: dict[str, str] = {
         FROM part""",
     "parse_order_items": """SELECT 'c' AS op, CAST(epoch_us(l_shipdate) // 1000 AS BIGINT) AS ts_ms,
         'o_' || l_orderkey AS order_id, CAST(l_linenumber AS INTEGER) AS order_item_id,
-        'p_' || l_partkey AS product_id, CAST(l_extendedprice AS DECIMAL(10,2)) AS price,
+        'p_' || l_partkey AS product_id, CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS DOUBLE) AS price,
         CAST(l_shipdate AS DATE) AS shipping_limit_date, l_orderkey * 10 + l_linenumber AS kafka_offset
         FROM lineitem""",
     "valid_customers": f"WITH {CDC} SELECT {CUSTOMER_COLUMNS} FROM valid",

@@ -146,3 +146,11 @@ def test_text_files_appear_whole(spark, tmp_path):
     assert files.read_text(spark, path) == "é{}"
     assert files.list_names(spark, f"{tmp_path}/a") and not files.exists(spark, f"{tmp_path}/zzz")
     assert files.list_names(spark, f"{tmp_path}/zzz") == []
+
+
+def test_stale_staged_changes_do_not_leak(spark, tmp_path):
+    """A crashed attempt staged changes; the version is then published without any."""
+    t = table(spark, tmp_path)
+    orders(spark, "junk").withColumn("_change_type", F.lit("insert")).write.parquet(f"{tmp_path}/staged/version=0")
+    t.publish(orders(spark, "o1"))
+    assert t.read_changes().count() == 0

@@ -21,7 +21,7 @@ def with_neighbours(
     """Add columns of the previous / following row by the integer column ``order``.
 
     ``previous`` and ``following`` map a new column name to a source column; the
-    order must be unique per key. The order axis is cut into slices and each (key,
+    order must be unique per key and never NULL. The order axis is cut into slices and each (key,
     slice) is handled on its own, so at most ``slice_width`` rows of a key share a
     task however large the key is. Only the first and last row of a slice then look
     across: a second window sees those edges alone, two per slice. ``None`` is one
@@ -46,7 +46,7 @@ def with_neighbours(
         frame = add(df, window, previous, "_prev", F.lag)
         return flatten(add(frame, window, following, "_next", F.lead))
 
-    frame = df.withColumn("_slice", F.floor(F.col(order) / F.lit(slice_width)))
+    frame = df.withColumn("_slice", F.expr(f"`{order}` div {slice_width}"))
     window = Window.partitionBy(*keys, "_slice").orderBy(order)
     frame = add(frame, window, previous, "_prev", F.lag)
     frame = add(frame, window, following, "_next", F.lead)

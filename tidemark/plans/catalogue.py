@@ -124,7 +124,7 @@ def parse_products(spark, sf_dir):
 
 def parse_order_items(spark, sf_dir):
     return tables.topic_events(replay.bronze(spark, sf_dir, ORDER_ITEMS), ORDER_ITEMS).select(
-        "op", "ts_ms", "order_id", "order_item_id", "product_id", "price",
+        "op", "ts_ms", "order_id", "order_item_id", "product_id", F.col("price").cast("double").alias("price"),
         F.to_date("shipping_limit_dt").alias("shipping_limit_date"), "kafka_offset",
     )
 

@@ -104,7 +104,7 @@ class SnapshotTable:
         """
         version = self.next_version()
         layout = ("bucket", *self.partition_by)
-        folder = f"{self.root}/data/version={version}"
+        folder, staged = f"{self.root}/data/version={version}", f"{self.root}/staged/version={version}"
         (
             rows.select(*self.schema.fieldNames(), self.bucket_of().alias("bucket"))
             .hint("rebalance", *layout)
@@ -112,7 +112,9 @@ class SnapshotTable:
         )
         if self.keep_changes and changes is not None:
             stamped = changes.withColumn("_commit_version", F.lit(version).cast("bigint"))
-            stamped.write.mode("overwrite").parquet(f"{self.root}/staged/version={version}")
+            stamped.write.mode("overwrite").parquet(staged)
+        else:
+            files.delete(self.spark, staged)
         before = self._manifest()
         placed = {} if touched is None else dict(before["buckets"])
         for bucket in touched or ():

@@ -33,11 +33,18 @@ from tidemark.sources.catalog import register
 from tidemark.sources.reports import quarantine
 from tidemark.sources.snapshots import SnapshotTable
 
+# Files one micro-batch may take, unless a job is told otherwise: a first start on a
+# long log must not become a single batch.
+FILES_PER_BATCH = "1000"
 BRONZE_INTERVAL = "15 seconds"  # fixed value: how often the log is extended
 
 Work = Callable[[DataFrame, str, int], None]
 
 
+def _paced(options: dict[str, str]) -> dict[str, str]:
+    return {"maxFilesPerTrigger": FILES_PER_BATCH, **options}
+
+
 @dataclass(frozen=True)
 class Lakehouse:
     """All tables and jobs below one absolute root folder.
@@ -129,7 +136,7 @@ class Lakehouse:
 
     def _bronze_stream(self, options: dict[str, str]) -> DataFrame:
         files.make_folder(self.spark, self.bronze_path)
-        return read_bronze_stream(self.spark, self.bronze_path, **options)
+        return read_bronze_stream(self.spark, self.bronze_path, **_paced(options))
 
     # --- jobs -------------------------------------------------------------------
 
@@ -209,7 +216,7 @@ class Lakehouse:
         ``"next"`` takes only changes still to come, for a seeded one.
         """
         table = self.agg
-        changes = self.fact.stream_changes(self._first_change("agg_orders_daily", start), **options)
+        changes = self.fact.stream_changes(self._first_change("agg_orders_daily", start), **_paced(options))
 
         def work(batch: DataFrame, stream: str, batch_id: int) -> None:
             delta = deltas(batch).persist()
@@ -228,7 +235,7 @@ class Lakehouse:
                          **options: str) -> StreamingQuery:
         """The same counts in Spark's state store: every trigger hands the groups that
         changed, with their totals so far, to ``sink``."""
-        changes = self.fact.stream_changes(**options)
+        changes = self.fact.stream_changes(**_paced(options))
         totals = changes.groupBy(*GROUP).agg(F.sum(change_sign(F.col("_change_type"))).alias("order_cnt"))
         writer = totals.writeStream.outputMode("update").foreachBatch(sink)
         return self._start(writer, "agg_orders_daily_native", once)
