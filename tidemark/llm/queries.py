@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm.cross_polytope import op4_cross_polytope
+from tidemark.llm.itq import op3_itq_near_copies
 from tidemark.llm.packing import op10_packing
 from tidemark.llm.pieces import op2_pieces
 from tidemark.llm.prefix_counts import op8_token_counts
@@ -28,6 +30,14 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_pieces(spark, table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_itq_near_copies(spark, table(spark, sf_dir, "embeddings"))
+
+
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_cross_polytope(spark, table(spark, sf_dir, "embeddings"))
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_token_counts(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -39,6 +49,8 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": _op1,
     "op2_pieces": _op2,
+    "op3_itq_near_copies": _op3,
+    "op4_cross_polytope": _op4,
     "op8_token_counts": _op8,
     "op10_packing": _op10,
 }
