@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.common import table
 from tidemark.llm.cross_polytope import op4_cross_polytope
 from tidemark.llm.itq import op3_itq_near_copies
+from tidemark.llm.language import op7_language_fusion
 from tidemark.llm.packing import op10_packing
 from tidemark.llm.pieces import op2_pieces
 from tidemark.llm.prefix_counts import op8_token_counts
+from tidemark.llm.toxicity import op6_toxicity
 from tidemark.llm.token_store import op1_token_store
+from tidemark.llm.url_lists import OP5_SQL, op5_url_lists
 
 
 def tokenizer_path(name: str) -> str:
@@ -38,6 +41,18 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_cross_polytope(spark, table(spark, sf_dir, "embeddings"))
 
 
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_url_lists(spark, table(spark, sf_dir, "pages"))
+
+
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_language_fusion(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_token_counts(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -51,8 +66,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pieces": _op2,
     "op3_itq_near_copies": _op3,
     "op4_cross_polytope": _op4,
+    "op5_url_lists": _op5,
+    "op6_toxicity": _op6,
+    "op7_language_fusion": _op7,
     "op8_token_counts": _op8,
     "op10_packing": _op10,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_url_lists": OP5_SQL}
