@@ -10,6 +10,7 @@ from tidemark.llm.common import table
 from tidemark.llm.cross_polytope import op4_cross_polytope
 from tidemark.llm.itq import op3_itq_near_copies
 from tidemark.llm.language import op7_language_fusion
+from tidemark.llm.ngram_join import op9_ngram_join
 from tidemark.llm.packing import op10_packing
 from tidemark.llm.pieces import op2_pieces
 from tidemark.llm.prefix_counts import op8_token_counts
@@ -57,6 +58,10 @@ def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_token_counts(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_ngram_join(spark, table(spark, sf_dir, "documents"))
+
+
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_packing(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": _op6,
     "op7_language_fusion": _op7,
     "op8_token_counts": _op8,
+    "op9_ngram_join": _op9,
     "op10_packing": _op10,
 }
 

@@ -39,13 +39,20 @@ LENGTHS = np.stack([(np.arange(256) >> shift & 3) + 1 for shift in (0, 2, 4, 6)]
 def encode_ids(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of a row of ranks."""
     ranks = np.ascontiguousarray(ranks, "<u4")
-    size = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    codes = np.zeros(-len(ranks) % 4 + len(ranks), np.uint8)
+    size = np.ones(len(ranks), np.int64)
+    longer = [np.flatnonzero(ranks >> np.uint32(8 * k)) for k in (1, 2, 3)]
+    for more in longer:
+        size[more] += 1
+    codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     codes[: len(ranks)] = size - 1
     four = codes.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    used = np.arange(4) < size[:, None]
-    return control.astype(np.uint8).tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    start = np.cumsum(size) - size
+    data = np.empty(int(size.sum()), np.uint8)
+    data[start] = ranks & np.uint32(0xFF)
+    for k, more in enumerate(longer, 1):
+        data[start[more] + k] = ranks[more] >> np.uint32(8 * k) & np.uint32(0xFF)
+    return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
 def decode_ids(control: bytes, data: bytes, count: int) -> np.ndarray:
@@ -129,8 +136,9 @@ def id_ranks(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for value, count in zip(batch.column("ids").to_pylist(), batch.column("n_tokens").to_pylist()):
-                seen += np.bincount(unpressed(value, count), minlength=vocabulary)
+            rows = zip(batch.column("ids").to_pylist(), batch.column("n_tokens").to_pylist())
+            if parts := [unpressed(value, count) for value, count in rows]:
+                seen += np.bincount(np.concatenate(parts), minlength=vocabulary)
         some = np.flatnonzero(seen)
         yield pa.record_batch({"id": pa.array(some, pa.int64()), "n": pa.array(seen[some], pa.int64())})
 

@@ -23,9 +23,11 @@ import numpy as np
 
 #: White space beyond tab, newline, return and space, in any of the libraries' tables.
 RARE_SPACE = r"\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
-#: A chunk known to hold one word, and perhaps one mark after it.
-ONE_WORD = re.compile("[a-zß-öø-ÿ]+([.,])?")
-LIMIT = 1_200_000
+#: Chunks of these characters are words, digits and marks that can be told apart here, by
+#: the pattern of the word tokenizer (fixed value).
+PLAIN = re.compile("[!-~ß-öø-ÿ]+")
+WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+LIMIT = 1_500_000
 
 _encoders: dict[tuple, ChunkEncoder] = {}
 
@@ -128,10 +130,10 @@ class WordEncoder(ChunkEncoder):
         plain, words, counts = [], [], []
         for chunk in chunks:
             text = chunk.decode()
-            if found := ONE_WORD.fullmatch(text):
+            if PLAIN.fullmatch(text):
                 plain.append(chunk)
                 words.append(text)
-                counts.append(2 if found[1] else 1)
+                counts.append(1 if chunk.isalpha() else len(WORDS.findall(text)))
             else:
                 self.cache[chunk] = self.library(text)
         if not plain:
