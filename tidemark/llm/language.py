@@ -136,6 +136,22 @@ def detect(documents: DataFrame, model: TrigramModel) -> DataFrame:
     return documents.select(*columns).mapInArrow(run, ", ".join(f"`{c}` {fields[c]}" for c in columns) + ", predicted_lang string, lang_prob double")
 
 
+def keep_identified(documents: DataFrame, model: TrigramModel, accept: float = ACCEPT) -> DataFrame:
+    """The rows whose text is in one of the languages with probability ``accept`` or more, all columns as they are.
+
+    Texts without letters go. A model without languages keeps everything.
+    """
+    ship_package(documents.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = [model.posterior(t or "") for t in batch.column("text").to_pylist()]
+                yield batch.filter(pa.array([p is not None and bool(p.max() >= accept) for p in found], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema) if model.languages else documents
+
+
 def markup_text(html: Column) -> Column:
     """Visible text: scripts, styles, comments and tags go."""
     bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
