@@ -57,13 +57,26 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(batch: pa.RecordBatch, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of about ``limit`` bytes, so that what is made of its texts stays small."""
+    rows = max(1, min(batch.num_rows, batch.num_rows * limit // max(1, batch.get_total_buffer_size())))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All batches in small pieces; empty ones are left out."""
+    for batch in batches:
+        yield from small_batches(batch)
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` with one output batch per input batch."""
+    """``mapInArrow`` with one output batch per small piece of an input batch."""
     ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := work(batch)) is not None:
+        for batch in small(batches):
+            if (out := work(batch)) is not None:
                 yield out
 
     return df.mapInArrow(run, schema)
