@@ -12,10 +12,12 @@ end, and ties go by a hash of the token.
 2. Prefix tokens meet (the only large shuffle). In a group each member is paired with one
    hub and with its neighbour: linear in the group, and enough to join most of what belongs
    together.
-3. Those pairs are verified, and components formed. What is left to decide are pairs across
-   components: per token, the members outside its largest component meet the others. All
-   of them that pass the size and position filters are verified, so no link is lost, but
-   a large group of near copies never lists its inner pairs.
+3. Those pairs are verified, and components formed. In further rounds each member outside
+   the largest component of its token is paired with another hub inside.
+4. What is left to decide are pairs across components: per token, the members outside its
+   largest component meet the others. All of them that pass the size and position filters
+   are verified, so no link is lost, but a large group of near copies never lists its inner
+   pairs.
 
 Verification brings the two (compressed) texts together, checks the prefixes of the other
 orders, and then intersects the sets. A token that stands out in the counts is dealt by
@@ -32,14 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship_package, stored, texts
+from tidemark.llm.common import ship_package, small, stored, texts
 from tidemark.llm.components import components
 
 WORDS, ORDERS, BUCKETS, SLICE_ROWS = 5, 3, 1 << 14, 20_000
+#: Rounds that pair what is still outside with a hub inside, before all that is left is decided.
+HUB_ROUNDS = 2
 #: Similarity as a fraction.
 NUMERATOR, DENOMINATOR = 4, 5
 #: Bytes of text whose words are hashed in one go.
-CHUNK = 2_000_000
+CHUNK = 500_000
 
 _random = np.random.default_rng(20240101)
 _BYTE = _random.integers(0, 1 << 64, 256, np.uint64)
@@ -130,7 +134,7 @@ def measured(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((ORDERS, BUCKETS), np.int64)
-        for batch in batches:
+        for batch in small(batches):
             raw, sizes, digests, held, many = [t.encode() for t in texts(batch)], [], [], [], 0
             for tokens in shingle_sets(raw):
                 sizes.append(len(tokens))
@@ -170,7 +174,7 @@ def postings(documents: DataFrame, counts: np.ndarray, ranks: np.ndarray) -> Dat
     slices = (1 + above // SLICE_ROWS).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             ids = batch.column("doc_id").to_pylist()
             token, doc, size, place, held = [], [], [], [], 0
             for i, tokens in zip(ids, shingle_sets([t.encode() for t in texts(batch)])):
@@ -217,23 +221,17 @@ def verified(pairs: DataFrame, packed: DataFrame, ranks: np.ndarray) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        unpack, last, held = zstandard.ZstdDecompressor(), None, None
-
-        def known(blob: bytes) -> tuple:
-            tokens = next(shingle_sets([unpack.decompress(blob)]))
-            return tokens, [prefix(tokens, order, ranks) for order in range(1, ORDERS)]
-
-        for batch in batches:
-            good_a, good_b = [], []
-            for a, b, one, other in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "packed_a", "packed_b"))):
-                if last != (b, other):
-                    last, held = (b, other), known(other)
-                tokens, fronts = known(one)
-                if all(len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(fronts, held[1])) and similar(tokens, held[0]):
-                    good_a.append(a)
-                    good_b.append(b)
-            if good_a:
-                yield pa.record_batch({"a": pa.array(good_a, pa.int64()), "b": pa.array(good_b, pa.int64())})
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in small(batches):
+            ones, others = batch.column("packed_a").to_pylist(), batch.column("packed_b").to_pylist()
+            blobs = list(dict.fromkeys(ones + others))
+            known = dict(zip(blobs, shingle_sets([unpack(x) for x in blobs])))
+            fronts = {x: [prefix(tokens, order, ranks) for order in range(1, ORDERS)] for x, tokens in known.items()}
+            good = [
+                all(len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(fronts[one], fronts[other])) and similar(known[one], known[other])
+                for one, other in zip(ones, others)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     left = packed.select(F.col("doc_id").alias("a"), F.col("packed").alias("packed_a"))
     right = packed.select(F.col("doc_id").alias("b"), F.col("packed").alias("packed_b"))
@@ -246,7 +244,7 @@ def packed_texts(documents: DataFrame) -> DataFrame:
         import zstandard
 
         press = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
+        for batch in small(batches):
             yield pa.record_batch([batch.column("doc_id"), pa.array([press(t.encode()) for t in texts(batch)], pa.binary())], names=["doc_id", "packed"])
 
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, packed binary")
@@ -281,23 +279,29 @@ def ngram_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     packed = stored(packed_texts(documents).join(wanted, "doc_id", "left_semi"), "packed-texts")
     links = verified(first, packed, ranks)
 
-    roots = components(links)
-    members = shared.select("token", F.col("me.doc_id").alias("doc_id"), "me.n", "me.pos").join(node_of, "doc_id").groupBy("token", "node").agg(
-        F.min(F.struct("pos", "n")).alias("at")
-    )
-    members = members.join(roots, "node", "left").select("token", F.coalesce("root", "node").alias("root"), F.struct(F.col("node").alias("doc_id"), "at.n", "at.pos").alias("me"))
-    parts = members.groupBy("token", "root").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("token").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("token", F.col("top.root").alias("top"))
-    open_ = stored(members.join(largest, "token"), "open-tokens")
-    outside = open_.where("root <> top").select("token", F.col("root").alias("root_x"), F.col("me").alias("x"))
-    inside = open_.select("token", F.col("root").alias("root_y"), "top", F.col("me").alias("y"))
-    second = outside.join(inside, "token").where(
-        "root_x <> root_y and (root_y = top or x.doc_id < y.doc_id)"
-    ).where(may_link("x", "y"))
-    second = second.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
-    second = stored(second.join(first, ["a", "b"], "left_anti"), "pairs")
-    more = verified(second, packed, ranks)
-    return rows, components(links.union(more))
+    asked = first
+    for turn in range(HUB_ROUNDS + 1):
+        members = shared.select("token", F.col("me.doc_id").alias("doc_id"), "me.n", "me.pos").join(node_of, "doc_id").groupBy("token", "node").agg(
+            F.min(F.struct("pos", "n")).alias("at")
+        )
+        members = members.join(components(links), "node", "left").select(
+            "token", F.coalesce("root", "node").alias("root"), F.struct(F.col("node").alias("doc_id"), "at.n", "at.pos").alias("me")
+        )
+        hub = F.max_by("me", F.xxhash64("token", "me.doc_id", F.lit(turn)))
+        parts = members.groupBy("token", "root").agg(F.count("*").alias("n"), hub.alias("hub"))
+        largest = parts.groupBy("token").agg(F.max(F.struct("n", "root", "hub")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+        largest = largest.select("token", F.col("top.root").alias("top"), F.col("top.hub").alias("hub"))
+        open_ = stored(members.join(largest, "token"), "open-tokens")
+        outside = open_.where("root <> top").select("token", "hub", F.col("root").alias("root_x"), F.col("me").alias("x"))
+        if turn < HUB_ROUNDS:
+            pairs = outside.withColumnRenamed("hub", "y").where(may_link("x", "y"))
+        else:  # what is left, all of it
+            inside = open_.select("token", F.col("root").alias("root_y"), "top", F.col("me").alias("y"))
+            pairs = outside.join(inside, "token").where("root_x <> root_y and (root_y = top or x.doc_id < y.doc_id)").where(may_link("x", "y"))
+        pairs = pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+        pairs = stored(pairs.join(asked, ["a", "b"], "left_anti"), "pairs")
+        links, asked = links.union(verified(pairs, packed, ranks)), asked.union(pairs)
+    return rows, components(links)
 
 
 def ngram_components(documents: DataFrame) -> DataFrame:
