@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship_package, stored
+from tidemark.llm.common import ship_package, small, stored
 from tidemark.llm.url_lists import url_host
 
 #: Documents the trigram model is fitted on at most; slots of a trigram's hash; pseudo-counts.
@@ -85,7 +85,7 @@ def fit_trigrams(documents: DataFrame, sample: int = SAMPLE) -> TrigramModel:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in small(batches):
             for language, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 held = seen.setdefault(language, np.zeros(SLOTS, np.int64))
                 held += np.bincount(trigram_slots(text), minlength=SLOTS)
@@ -109,7 +109,7 @@ def text_posteriors(rows: DataFrame, model: TrigramModel) -> DataFrame:
     ship_package(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             if batch.num_rows:
                 found = [model.log_likelihood(t or "") if model.languages else None for t in batch.column("text").to_pylist()]
                 logs = [None if s is None else np.log(np.maximum(softmax(s), 1e-12)) for s in found]
@@ -125,7 +125,7 @@ def detect(documents: DataFrame, model: TrigramModel) -> DataFrame:
     ship_package(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             if batch.num_rows:
                 found = [model.posterior(t or "") if model.languages else None for t in batch.column("text").to_pylist()]
                 yield pa.record_batch([
@@ -144,7 +144,7 @@ def keep_identified(documents: DataFrame, model: TrigramModel, accept: float = A
     ship_package(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             if batch.num_rows:
                 found = [model.posterior(t or "") for t in batch.column("text").to_pylist()]
                 yield batch.filter(pa.array([p is not None and bool(p.max() >= accept) for p in found], pa.bool_()))
