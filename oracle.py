@@ -312,6 +312,7 @@ ORACLE: dict[str, str] = {
     "dedupe_orders": f"WITH {CDC_O} {_latest(DELETE_WINS, 'valid_o', 'order_id', ORDER_COLUMNS)}",
     "silver_customers": SILVER,
     "silver_customers_merge": SILVER,
+    "silver_customers_late": SILVER,
     "silver_customers_guarded": f"""WITH {CDC},
         late AS (SELECT * FROM ({_latest(STREAM_ORDER, f'valid WHERE {BEFORE_LAST}', 'customer_id', '*')})
                  WHERE op <> 'd'),
@@ -322,6 +323,7 @@ ORACLE: dict[str, str] = {
         SELECT customer_id, customer_unique_id, customer_city, customer_state, ts_ms FROM late
         WHERE customer_id NOT IN (SELECT customer_id FROM newest)""",
     "fact_orders": f"WITH {CDC_O}, {FACT} SELECT {FACT_COLUMNS} FROM fact",
+    "fact_orders_late": f"WITH {CDC_O}, {FACT} SELECT {FACT_COLUMNS} FROM fact",
     "fact_orders_merge": f"WITH {CDC_O}, {FACT} SELECT {FACT_COLUMNS} FROM fact",
     "scd2_changes": f"WITH {COMPARED} SELECT op, ts_ms, customer_id, has_current, differs FROM cmp",
     "scd2_close": f"""WITH {COMPARED},
@@ -391,7 +393,10 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, order_status = 'P' OR event_date < DATE '1995-01-01' AS hit FROM bulk_fact)""",
     "table_row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {t}"
-        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+        for t in (
+            "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+            "pages", "benchmark", "labels", "conversations",
+        )
     ),
     "suite_silver_customers": f"WITH silver AS ({SILVER}) {SILVER_SUITE}",
     "suite_fact_orders": f"WITH {CDC_O}, {FACT} {FACT_SUITE}",
@@ -433,6 +438,7 @@ ORACLE: dict[str, str] = {
 }
 
 for streamed, same in {
+    "quarantine_stream": "quarantine_customers", "mart_by_name": "mart_daily_orders",
     "bronze_ingest": "bronze_projection", "silver_customers_stream": "silver_customers",
     "fact_orders_stream": "fact_orders", "agg_orders_daily_stream": "agg_orders_daily",
     "agg_orders_daily_native": "agg_orders_daily",

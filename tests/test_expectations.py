@@ -99,8 +99,13 @@ def test_sample_is_cut_but_values_are_whole(spark):
 
 def test_quarantine_replay_keeps_rows_once(spark, tmp_path):
     bad = spark.createDataFrame([("c", "x"), ("c", "x")], "op string, customer_id string")
-    assert not quarantine(bad.where("false"), str(tmp_path / "none"), 0)
+    assert not quarantine(bad.where("false"), str(tmp_path / "none"), "job:a", 0)
     assert not (tmp_path / "none").exists()
     for _ in range(2):
-        assert quarantine(bad, str(tmp_path / "q"), 4)
+        assert quarantine(bad, str(tmp_path / "q"), "job:a", 4)
+    assert spark.read.json(str(tmp_path / "q")).count() == 2
+    # A new checkpoint counts from 0 again: its batches are other batches.
+    assert quarantine(bad, str(tmp_path / "q"), "job:b", 4)
+    assert spark.read.json(str(tmp_path / "q")).count() == 4
+    assert not quarantine(bad.where("false"), str(tmp_path / "q"), "job:b", 4)
     assert spark.read.json(str(tmp_path / "q")).count() == 2

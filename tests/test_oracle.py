@@ -1,5 +1,7 @@
 """Every registered query against its SQL in DuckDB."""
 
+import re
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -11,11 +13,15 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
+# The training-data operators are tested beside them, most against brute force.
+OWN = sorted(n for n in queries() if not re.match(r"op\d+_|pipeline$", n))
+
+
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(OWN) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, sf_dir, name):
     assert compare(spark, con, name, sf_dir) == ""
 

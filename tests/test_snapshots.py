@@ -154,3 +154,56 @@ def test_stale_staged_changes_do_not_leak(spark, tmp_path):
     orders(spark, "junk").withColumn("_change_type", F.lit("insert")).write.parquet(f"{tmp_path}/staged/version=0")
     t.publish(orders(spark, "o1"))
     assert t.read_changes().count() == 0
+
+
+def test_a_key_update_is_refused(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.publish(orders(spark, *[f"o{i}" for i in range(40)]))
+    with pytest.raises(ValueError):
+        t.update("order_id = 'o7'", {"order_id": "'moved'"})
+    assert t.read().count() == 40 and t.last_version() == 0
+
+
+def test_rows_of_other_buckets_are_refused(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.publish(orders(spark, *[f"o{i}" for i in range(40)]))
+    touched = t.touched_buckets(orders(spark, "o7"))
+    with pytest.raises(ValueError):
+        t.publish(t.read(), touched)
+    assert t.read().count() == 40 and t.last_version() == 0
+
+
+def test_another_bucket_count_is_refused(spark, tmp_path):
+    table(spark, tmp_path).publish(orders(spark, "o1", "o2"))
+    with pytest.raises(ValueError):
+        table(spark, tmp_path, buckets=3).insert(orders(spark, "o3"))
+
+
+def test_one_key_rewrites_one_of_many_buckets_and_old_versions_go(spark, tmp_path):
+    t = table(spark, tmp_path, buckets=1000, retain=5, partition_by=())
+    t.publish(orders(spark, *[f"o{i}" for i in range(300)]))
+    for n in range(12):
+        hit = orders(spark, f"o{n}", status=f"s{n}")
+        touched = t.touched_buckets(hit)
+        t.publish(t.read(buckets=touched).where(f"order_id <> 'o{n}'").unionByName(hit), touched)
+        assert [d for d in os.listdir(tmp_path / "data" / f"version={n + 1}") if d.startswith("bucket=")] == [f"bucket={touched[0]}"]
+    assert len(t.versions()) == 5
+    assert t.read().count() == 300 and t.read().where("order_status <> 'created'").count() == 12
+
+
+def test_empty_mart_is_registered(spark, tmp_path):
+    house = Lakehouse(spark, str(tmp_path), buckets=4)
+    house.build_mart("mart_daily_orders", register_as="empty_mart")
+    assert spark.table("empty_mart").count() == 0
+    assert set(spark.table("empty_mart").columns) == {"event_date", "customer_state", "order_status", "order_count"}
+
+
+def test_seed_notes_the_version_it_counted(spark, tmp_path):
+    """A commit between seeding and the first start is counted."""
+    house = Lakehouse(spark, str(tmp_path), buckets=2)
+    house.fact.insert(orders(spark, "a"))
+    house.seed_agg()
+    house.fact.insert(orders(spark, "b", "c"))
+    query = house.start_agg(once=True, start="next")
+    query.awaitTermination()
+    assert reconcile(house.fact.read(), house.agg.read()).isEmpty()

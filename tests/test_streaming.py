@@ -220,3 +220,37 @@ def test_guard_against_late_batches(spark, tmp_path):
 def test_root_must_be_absolute(spark):
     with pytest.raises(ValueError):
         Lakehouse(spark, "data/lake")
+
+
+@pytest.mark.parametrize("files_per_batch", ["1", "1000"])
+def test_no_cut_into_batches_changes_silver_and_fact(spark, sf_dir, tmp_path, files_per_batch):
+    """Files whose offsets interleave, the newest rows first: the result is that of one plan over the log."""
+    root = str(tmp_path)
+    house = Lakehouse(spark, root, buckets=2)
+    log = replay.kafka_log(spark, sf_dir, CUSTOMERS, ORDERS).where("offset < 1500")
+    for n in (2, 0, 1):
+        log.where(f"offset % 3 = {n}").coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    run(house.start_bronze(CdcSource("files", path=f"{root}/landing"), once=True))
+    run(house.start_silver(once=True, maxFilesPerTrigger=files_per_batch))
+    run(house.start_fact(once=True, maxFilesPerTrigger=files_per_batch))
+    log = replay.bronze(spark, sf_dir, CUSTOMERS, ORDERS).where("kafka_offset < 1500")
+    customers = split_valid(tables.customer_events(log), customer_rule())[0]
+    orders = split_valid(tables.order_events(log), order_rule())[0]
+    assert rows(house.silver.read()) == rows(tables.silver_state(customers))
+    assert rows(house.fact.read()) == rows(tables.fact_state(orders))
+    assert rows(daily_counts(house.fact.read())) == rows(
+        house.fact.read_changes().groupBy("event_date", "order_status").agg(
+            F.sum(F.expr("CASE WHEN _change_type IN ('insert', 'update_postimage') THEN 1 ELSE -1 END")).alias("order_cnt"),
+        ).where("order_cnt <> 0"),
+    )
+
+
+def test_a_late_upsert_does_not_revive_a_deleted_row(spark, tmp_path):
+    root = str(tmp_path)
+    house = Lakehouse(spark, root, buckets=2)
+    source = CdcSource("files", path=f"{root}/landing")
+    for offset, value in ((5, event("d", 100, "a")), (1, event("c", 50, "a")), (9, event("c", 200, "b"))):
+        put(spark, f"{root}/landing", offset, value)
+        run(house.start_bronze(source, once=True))
+        run(house.start_silver(once=True))
+    assert rows(house.silver.read(), "customer_id") == [("b",)]

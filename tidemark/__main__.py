@@ -70,23 +70,26 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="absolute folder of the lakehouse")
     parser.add_argument("--prefix", default="shop", help="first part of the topic names")
     parser.add_argument("--tz", default="UTC", help="zone whose calendar day dates an order")
-    parser.add_argument("--buckets", type=int, default=16)
-    parser.add_argument("--guard", choices=("event_time",))
+    parser.add_argument("--buckets", type=int, default=1024)
+    parser.add_argument("--guard", choices=("order", "event_time", "none"), default="order")
     parser.add_argument("--once", action="store_true")
     parser.add_argument("--servers", help="brokers; without them --landing is read")
     parser.add_argument("--landing", help="folder of Kafka-shaped Parquet files")
     parser.add_argument("--start", choices=("snapshot", "next"), default="snapshot")
     parser.add_argument("--name", help="mart or table")
+    parser.add_argument("--register", help="name under which a mart is registered")
+    parser.add_argument("--max-offsets", default="5000000", help="Kafka offsets of one micro-batch")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> int:
     args = parse(argv)
     house = Lakehouse(
-        build_session(f"tidemark-{args.job}"), args.root, args.prefix, args.tz, args.buckets, args.guard,
+        build_session(f"tidemark-{args.job}"), args.root, args.prefix, args.tz, args.buckets, None if args.guard == "none" else args.guard,
     )
     if args.job == "bronze":
-        source = CdcSource("kafka", args.prefix, servers=args.servers) if args.servers else CdcSource(
+        paced = {"maxOffsetsPerTrigger": args.max_offsets}
+        source = CdcSource("kafka", args.prefix, servers=args.servers, options=paced) if args.servers else CdcSource(
             "files", args.prefix, path=args.landing)
         return attend(house.start_bronze(source, args.once))
     if args.job in ("silver", "dim", "fact"):
@@ -96,7 +99,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "seed":
         house.seed_agg()
     elif args.job == "mart":
-        house.build_mart(args.name or "mart_daily_orders")
+        house.build_mart(args.name or "mart_daily_orders", args.register)
     elif args.job == "enriched":
         house.backfill_enriched()
         print("rows", house.enriched.read().count())

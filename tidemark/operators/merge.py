@@ -70,6 +70,42 @@ class Merged:
         return hit.select(F.inline(emitted))
 
 
+@dataclass(frozen=True)
+class StateMerged(Merged):
+    """A merge of tombstoned state: ``rows`` has the hidden columns, ``changes`` only what readers see."""
+
+    def rows(self) -> DataFrame:
+        return self.joined.select("_state.*")
+
+
+def merge_latest(
+    state: DataFrame, latest: DataFrame, key: str, order: Sequence[Column], deleted: str, hidden: Sequence[str],
+) -> StateMerged:
+    """Per key the later of the stored row and the new one, whatever order batches come in.
+
+    Both sides have the same columns and one row per key; ``order`` (columns of either
+    side, NULL first) is a total order of a key's events. A delete stays as a row with
+    ``deleted`` set. One full join; equal rows, as in a replay, change nothing.
+    """
+    columns = tuple(state.columns)
+    visible = tuple(c for c in columns if c not in hidden)
+    stamp = F.struct(*order)
+    t = state.select(F.struct(*columns).alias("_t"), F.col(key).alias("_key"), stamp.alias("_t_order"))
+    s = latest.select(F.struct(*columns).alias("_s"), F.col(key).alias("_key"), stamp.alias("_s_order"))
+    gone = lambda side: F.coalesce(F.col(f"{side}.{deleted}"), F.lit(False))
+    newer = F.col("_s").isNotNull() & (F.col("_t").isNull() | (F.col("_s_order") > F.col("_t_order")))
+    lived, lives = F.col("_t").isNotNull() & ~gone("_t"), ~gone("_s")
+    act = (
+        F.when(newer & lived & lives, "update").when(newer & lived, "delete").when(newer & lives, "insert").otherwise("keep")
+    )
+    seen = lambda side: F.struct(*[F.col(f"{side}.{c}").alias(c) for c in visible])
+    joined = t.join(s, "_key", "full_outer").select(
+        act.alias("_act"), F.col("_s").isNotNull().alias("_found"), seen("_t").alias("_before"), seen("_s").alias("_after"),
+        F.when(newer, F.col("_s")).otherwise(F.col("_t")).alias("_state"),
+    )
+    return StateMerged(joined.withColumn("_hit", F.when(F.col("_found"), F.lit(True))).drop("_found"), visible)
+
+
 def apply_merge(
     target: DataFrame,
     source: DataFrame,

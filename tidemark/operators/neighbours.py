@@ -24,7 +24,7 @@ def with_neighbours(
     order must be unique per key and never NULL. The order axis is cut into slices and each (key,
     slice) is handled on its own, so at most ``slice_width`` rows of a key share a
     task however large the key is. Only the first and last row of a slice then look
-    across: a second window sees those edges alone, two per slice. ``None`` is one
+    across: only those edges, two per slice, go through a second shuffle and window. ``None`` is one
     plain window per key and one shuffle less: for keys known to have few rows.
     """
     previous, following = previous or {}, following or {}
@@ -61,12 +61,12 @@ def with_neighbours(
         missing = F.lead if previous else F.lag
         edge = edge | missing(F.lit(True)).over(window).isNull()
     frame = frame.withColumn("_edge", edge)
-    frame = frame.withColumn("_slice", F.when(~F.col("_edge"), F.col("_slice")))
-    across = Window.partitionBy(*keys, "_slice").orderBy(order)
+    inner, frame = frame.where("NOT _edge"), frame.where("_edge")
+    across = Window.partitionBy(*keys).orderBy(order)
     for columns, target, direction in ((previous, "_prev", F.lag), (following, "_next", F.lead)):
         if columns:
             beyond = neighbours(across, direction, columns)
             frame = frame.withColumn(
                 target + "2", F.when(F.col(target).isNull() & F.col("_edge"), beyond).otherwise(F.col(target)),
             ).drop(target).withColumnRenamed(target + "2", target)
-    return flatten(frame)
+    return flatten(inner).unionByName(flatten(frame))

@@ -23,7 +23,7 @@ from tidemark.operators.scd2 import (
     scd2_batch, scd2_history,
 )
 from tidemark.plans import marts, tables
-from tidemark.schemas import AGG_ORDERS_DAILY, CAPTURED, CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS
+from tidemark.schemas import AGG_ORDERS_DAILY, CAPTURED, CUSTOMERS, FACT_STATE, ORDER_ITEMS, ORDERS, PRODUCTS, SILVER_STATE
 from tidemark.session import shared_dir
 from tidemark.sources import replay
 
@@ -60,17 +60,6 @@ def _last_batch(spark, sf_dir):
     return events.agg(F.max(replay.batch_no())).scalar()
 
 
-def _slices(spark, sf_dir, per_row=1):
-    """Width of history slices: none while the whole log has fewer rows per key than
-    one slice may hold (a key has at most one row per batch, or per event)."""
-    top = replay.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
-    return None if top is None or top // per_row < SLICE else SLICE
-
-
-def _batch_slices(spark, sf_dir):
-    return _slices(spark, sf_dir, replay.EVENTS_PER_BATCH)
-
-
 def _around_last_batch(spark, sf_dir, valid):
     """(events of all earlier micro-batches, events of the newest one)."""
     last = _last_batch(spark, sf_dir)
@@ -78,9 +67,7 @@ def _around_last_batch(spark, sf_dir, valid):
 
 
 def _dim(spark, sf_dir):
-    return scd2_history(
-        _valid_customers(spark, sf_dir), "batch_no", slice_width=_batch_slices(spark, sf_dir),
-    )
+    return scd2_history(_valid_customers(spark, sf_dir), "batch_no", slice_width=SLICE)
 
 
 def _fact(spark, sf_dir):
@@ -184,6 +171,22 @@ def silver_customers_guarded(spark, sf_dir):
     return tables.silver_merge(tables.silver_state(newest), earlier, guard="event_time").rows()
 
 
+def silver_customers_late(spark, sf_dir):
+    """Micro-batches in reverse: the newest events come first, with their deletes, all others late."""
+    earlier, newest = _around_last_batch(spark, sf_dir, _valid_customers(spark, sf_dir))
+    empty = spark.createDataFrame([], SILVER_STATE)
+    state = tables.silver_merge_ordered(empty, newest).rows()
+    return tables.silver_merge_ordered(state, earlier).rows().where(tables.LIVE).drop(*tables.HIDDEN)
+
+
+def fact_orders_late(spark, sf_dir):
+    """The same for orders."""
+    earlier, newest = _around_last_batch(spark, sf_dir, _valid_orders(spark, sf_dir))
+    empty = spark.createDataFrame([], FACT_STATE)
+    state = tables.fact_merge_ordered(empty, newest).rows()
+    return tables.fact_merge_ordered(state, earlier).rows().where(tables.LIVE).drop(*tables.HIDDEN)
+
+
 def fact_orders(spark, sf_dir):
     return _fact(spark, sf_dir)
 
@@ -205,7 +208,7 @@ def _stored(spark, df):
 def _dim_and_newest(spark, sf_dir):
     """(the dimension before the newest micro-batch, that batch)."""
     earlier, newest = _around_last_batch(spark, sf_dir, tables.keyed(_valid_customers(spark, sf_dir)))
-    dim = scd2_history(earlier, "batch_no", slice_width=_batch_slices(spark, sf_dir))
+    dim = scd2_history(earlier, "batch_no", slice_width=SLICE)
     return _stored(spark, dim), newest
 
 
@@ -240,9 +243,7 @@ def dim_customers_scd2_merge(spark, sf_dir):
 
 
 def dim_customers_every_change(spark, sf_dir):
-    return scd2_history(
-        _valid_customers(spark, sf_dir), "batch_no", collapse="none", slice_width=_slices(spark, sf_dir),
-    )
+    return scd2_history(_valid_customers(spark, sf_dir), "batch_no", collapse="none", slice_width=SLICE)
 
 
 def dim_current(spark, sf_dir):
@@ -252,7 +253,7 @@ def dim_current(spark, sf_dir):
 # --- change feed and kept counts ------------------------------------------------
 
 def change_feed(spark, sf_dir):
-    return tables.fact_changes(_valid_orders(spark, sf_dir), "batch_no", _batch_slices(spark, sf_dir))
+    return tables.fact_changes(_valid_orders(spark, sf_dir), "batch_no", SLICE)
 
 
 def change_feed_merge(spark, sf_dir):
@@ -272,10 +273,9 @@ def agg_orders_daily(spark, sf_dir):
 
 def agg_orders_daily_next(spark, sf_dir):
     """Counts seeded before the newest micro-batch, then kept up from its changes."""
-    earlier, _ = _around_last_batch(spark, sf_dir, _valid_orders(spark, sf_dir))
-    seed = daily_counts(tables.fact_state(earlier))
-    fresh = change_feed(spark, sf_dir).where(F.col("_commit_version") >= _last_batch(spark, sf_dir))
-    return merge_deltas(seed, deltas(fresh)).rows()
+    earlier, newest = _around_last_batch(spark, sf_dir, _valid_orders(spark, sf_dir))
+    before = tables.fact_state(earlier)
+    return merge_deltas(daily_counts(before), deltas(tables.fact_merge(before, newest).changes())).rows()
 
 
 def agg_orders_daily_seed(spark, sf_dir):
@@ -355,7 +355,10 @@ def dml_update(spark, sf_dir):
     )
 
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
 
 
 def table_row_counts(spark, sf_dir):
@@ -461,7 +464,7 @@ BATCH_QUERIES: dict[str, Query] = {
         cdc_events_by_topic, bronze_projection, parse_customers, parse_orders, parse_products,
         parse_order_items, valid_customers, valid_orders, quarantine_customers, quarantine_dim,
         quarantine_orders, dedupe_stream_order, dedupe_delete_wins, dedupe_orders, silver_customers,
-        silver_customers_merge, silver_customers_guarded, fact_orders, fact_orders_merge, scd2_changes,
+        silver_customers_merge, silver_customers_guarded, silver_customers_late, fact_orders, fact_orders_late, fact_orders_merge, scd2_changes,
         scd2_close, scd2_open, dim_customers_scd2, dim_customers_scd2_merge, dim_customers_every_change,
         dim_current, change_feed, change_feed_merge, change_deltas, agg_orders_daily,
         agg_orders_daily_next, agg_orders_daily_seed, fact_daily_counts, reconcile_cdc,

@@ -7,20 +7,24 @@ rows. A batch loop over ``*_merge`` ends at what ``*_state`` gives.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import META, parse_envelope
 from tidemark.functions.scalars import event_date, is_delete
 from tidemark.operators.changefeed import change_history
 from tidemark.operators.dedupe import delete_wins_order, latest_per_key, stream_order
-from tidemark.operators.merge import Delete, Insert, Merged, Update, apply_merge
+from tidemark.operators.merge import Delete, Insert, Merged, StateMerged, Update, apply_merge, merge_latest
 from tidemark.operators.neighbours import SLICE
-from tidemark.schemas import CUSTOMERS, FACT_ORDERS, ORDERS, CdcTableSpec
+from tidemark.schemas import CUSTOMERS, DELETE_OP, FACT_ORDERS, ORDERS, POSITION, UPSERT_OPS, CdcTableSpec
 
 FACT_COLUMNS = tuple(FACT_ORDERS.fieldNames())
 SILVER_INPUT = ("op", "ts_ms", *CUSTOMERS.columns)
 FACT_INPUT = ("op", "ts_ms", *ORDERS.columns, "event_date")
+HIDDEN = tuple(POSITION.fieldNames())
+LIVE = "NOT coalesce(_deleted, false)"
+IS_DELETE = f"s.op = '{DELETE_OP}'"
+IS_UPSERT = f"s.op IN ({', '.join(repr(o) for o in UPSERT_OPS)})"
 
 
 def topic_events(
@@ -53,8 +57,39 @@ def silver_state(valid: DataFrame) -> DataFrame:
     return live.select("customer_id", *CUSTOMERS.attrs, F.col("ts_ms").alias("_last_ts_ms"))
 
 
+def _position() -> list[Column]:
+    """The hidden columns of an event."""
+    return [
+        F.col("kafka_partition").cast("int").alias("_partition"), F.col("kafka_offset").cast("bigint").alias("_offset"),
+        is_delete(F.col("op")).alias("_deleted"),
+    ]
+
+
+def _place() -> list[Column]:
+    # As in stream_order: rows without position lose against rows that have one.
+    return [F.coalesce(F.col("_partition"), F.lit(-1)), F.coalesce(F.col("_offset"), F.lit(-1))]
+
+
+def silver_merge_ordered(state: DataFrame, valid: DataFrame) -> StateMerged:
+    """Apply a micro-batch to the customers with tombstones; the latest event in stream
+    order wins, so the cut into micro-batches and their order do not matter."""
+    latest = latest_per_key(valid, ["customer_id"], stream_order(), [*SILVER_INPUT, "kafka_partition", "kafka_offset"])
+    rows = latest.select("customer_id", *CUSTOMERS.attrs, F.col("ts_ms").alias("_last_ts_ms"), *_position())
+    return merge_latest(state, rows, "customer_id", [F.col("_last_ts_ms"), *_place()], "_deleted", HIDDEN)
+
+
+def fact_merge_ordered(state: DataFrame, valid: DataFrame) -> StateMerged:
+    """The same for orders, in whose order a delete wins among events of one time."""
+    latest = latest_per_key(valid, ["order_id"], delete_wins_order(), [*FACT_INPUT, "kafka_partition", "kafka_offset"])
+    rows = latest.select(
+        *[F.col("ts_ms").alias(c) if c == "event_ts_ms" else F.col(c) for c in FACT_COLUMNS], *_position(),
+    )
+    order = [F.col("event_ts_ms"), F.coalesce(F.col("_deleted"), F.lit(False)).cast("int"), *_place()]
+    return merge_latest(state, rows, "order_id", order, "_deleted", HIDDEN)
+
+
 def silver_merge(target: DataFrame, valid: DataFrame, guard: str | None = None) -> Merged:
-    """Apply one micro-batch of valid events to the current customers.
+    """Apply one micro-batch of valid events to the current customers, without tombstones.
 
     By default the later batch wins whatever its event time (arrival order).
     ``guard="event_time"`` leaves a row alone when the event is older than it; a
@@ -67,10 +102,10 @@ def silver_merge(target: DataFrame, valid: DataFrame, guard: str | None = None)
     return apply_merge(
         target, latest_per_key(valid, ["customer_id"], stream_order(), SILVER_INPUT), ["customer_id"],
         matched=[
-            Delete(when=f"s.op = 'd'{newer}"),
-            Update(values, when=f"s.op IN ('c', 'u', 'r'){newer}"),
+            Delete(when=f"{IS_DELETE}{newer}"),
+            Update(values, when=f"{IS_UPSERT}{newer}"),
         ],
-        not_matched=[Insert({"customer_id": "s.customer_id", **values}, when="s.op IN ('c', 'u', 'r')")],
+        not_matched=[Insert({"customer_id": "s.customer_id", **values}, when=IS_UPSERT)],
         source_unique=True,
     )
 
@@ -95,10 +130,10 @@ def fact_merge(target: DataFrame, valid: DataFrame, guard: str | None = None) ->
     return apply_merge(
         target, latest_per_key(valid, ["order_id"], delete_wins_order(), FACT_INPUT), ["order_id"],
         matched=[
-            Delete(when=f"s.op = 'd'{newer}"),
-            Update(values, when=f"s.op IN ('c', 'u', 'r'){newer}"),
+            Delete(when=f"{IS_DELETE}{newer}"),
+            Update(values, when=f"{IS_UPSERT}{newer}"),
         ],
-        not_matched=[Insert({"order_id": "s.order_id", **values}, when="s.op IN ('c', 'u', 'r')")],
+        not_matched=[Insert({"order_id": "s.order_id", **values}, when=IS_UPSERT)],
         source_unique=True,
     )
 

@@ -30,11 +30,20 @@ BRONZE = _struct(topic=S, k=S, v=S, kafka_ts=T.TimestampType(), kafka_partition=
 SILVER_CUSTOMERS = _struct(
     customer_id=S, customer_unique_id=S, customer_city=S, customer_state=S, _last_ts_ms=L,
 )
+# A customer event as quarantined.
+REJECTED = _struct(
+    op=S, ts_ms=L, customer_id=S, customer_unique_id=S, customer_city=S, customer_state=S, kafka_partition=I, kafka_offset=L,
+)
 DIM_CUSTOMERS = _struct(
     customer_id=S, customer_unique_id=S, customer_city=S, customer_state=S,
     effective_start_ts_ms=L, effective_end_ts_ms=L, is_current=B,
 )
 FACT_ORDERS = _struct(order_id=S, customer_id=S, order_status=S, event_ts_ms=L, event_date=D)
+# What writers see besides: where a row's last event stands in the stream, and whether it
+# was a delete. Such tombstones keep an older upsert from reviving the row.
+POSITION = _struct(_partition=I, _offset=L, _deleted=B)
+SILVER_STATE = T.StructType(SILVER_CUSTOMERS.fields + POSITION.fields)
+FACT_STATE = T.StructType(FACT_ORDERS.fields + POSITION.fields)
 FACT_CHANGES = T.StructType(FACT_ORDERS.fields + [T.StructField("_change_type", S, True)])
 AGG_ORDERS_DAILY = _struct(event_date=D, order_status=S, order_cnt=L)
 MART_DAILY_ORDERS = _struct(event_date=D, customer_state=S, order_status=S, order_count=L)

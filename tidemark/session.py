@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,15 +25,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder every executor can reach, below ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder: on a cluster the
-    driver's disk is invisible to the executors.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        return tempfile.mkdtemp(prefix=f"tidemark-{purpose}-")
+    """A fresh folder every executor can reach: below ``spark.checkpoint.dir``, or where
+    a session sets none below the warehouse, which a cluster shares as well."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -33,10 +33,19 @@ def create_table(
     )
 
 
-def register(spark: SparkSession, name: str, location: str) -> None:
-    """Point a name at a folder, whatever it pointed at before."""
+def register(
+    spark: SparkSession, name: str, location: str, schema: T.StructType | None = None, partition_by: str | None = None,
+) -> None:
+    """Point a name at a folder, whatever it pointed at before.
+
+    With a schema the folder may be empty or not there yet: the name is an empty table then.
+    """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
+    if schema is None:
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
+    else:
+        files.make_folder(spark, location)
+        create_table(spark, name, schema, location, partition_by)
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)

@@ -34,17 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
-@lru_cache(maxsize=64)
-def _splits(spark: SparkSession, path: str) -> int:
-    return _parquet(spark, path).rdd.getNumPartitions()
-
-
 def _spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table of a few row groups, dealt out to all cores before its rows are turned
-    into JSON. A table that has splits enough is left alone: no shuffle."""
-    rows = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows if _splits(spark, f"{sf_dir}/{name}.parquet") >= cores else rows.repartition(cores, key)
+    """A table dealt out to the shuffle partitions before its rows are turned into JSON:
+    a file of one row group can't be split, and the narrow rows cost less than the JSON."""
+    many = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return table(spark, sf_dir, name).repartition(many, key)
 
 
 def batch_no() -> Column:

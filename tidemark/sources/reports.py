@@ -7,14 +7,20 @@ import time
 from pyspark.sql import DataFrame
 
 from tidemark.operators.expectations import Suite, report
+from tidemark.sources import files
 
 
-def quarantine(rejected: DataFrame, root: str, batch_id: int) -> bool:
-    """Write a batch's rejected rows to a folder of its own; a replay rewrites it, so
-    no row is kept twice. Nothing is written for a clean batch."""
+def quarantine(rejected: DataFrame, root: str, stream: str, batch_id: int) -> bool:
+    """Write a batch's rejected rows to a folder of its own.
+
+    A new checkpoint is a new stream that counts its batches from 0 again, so the folder
+    bears both names. A replay rewrites it, and a clean batch leaves none behind.
+    """
+    folder = f"{root}/stream={stream.rpartition(':')[2]}/batch_id={batch_id}"
     if rejected.isEmpty():
+        files.delete(rejected.sparkSession, folder)
         return False
-    rejected.write.mode("overwrite").json(f"{root}/batch_id={batch_id}")
+    rejected.write.mode("overwrite").json(folder)
     return True
 
 

@@ -44,6 +44,10 @@ class SnapshotTable:
     buckets: int = 16
     partition_by: tuple[str, ...] = ()
     keep_changes: bool = False
+    # Columns only writers see, and which rows readers see (tombstones are kept for writers).
+    hidden: tuple[str, ...] = ()
+    live: str | None = None
+    retain: int = 24  # versions kept; older ones go as new ones are published
 
     # --- versions -------------------------------------------------------------
 
@@ -63,16 +67,28 @@ class SnapshotTable:
         version = self.last_version() if version is None else version
         if version is None:
             return {"buckets": {}, "applied": {}}
-        return json.loads(files.read_text(self.spark, f"{self.root}/published/{version}.json"))
+        manifest = json.loads(files.read_text(self.spark, f"{self.root}/published/{version}.json"))
+        if manifest.get("bucket_count", self.buckets) != self.buckets:
+            raise ValueError(f"{self.root} has {manifest['bucket_count']} buckets, not {self.buckets}")
+        return manifest
 
     def applied(self, stream: str, batch_id: int) -> bool:
         """Whether the micro-batch of that stream is already in the table."""
         return self._manifest()["applied"].get(stream, -1) >= batch_id
 
+    def applied_up_to(self, stream: str) -> int | None:
+        """Last micro-batch of a stream that the table holds."""
+        return self._manifest()["applied"].get(stream)
+
     # --- reading --------------------------------------------------------------
 
     def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
         """Rows of a version (default: the last), optionally of some buckets only."""
+        rows = self.read_state(version, buckets)
+        return (rows.where(self.live) if self.live else rows).drop(*self.hidden)
+
+    def read_state(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The same with hidden columns and tombstones, as writers need it."""
         placed = self._manifest(version)["buckets"]
         wanted = [
             f"{self.root}/data/version={placed[b]}/bucket={b}"
@@ -106,7 +122,7 @@ class SnapshotTable:
         layout = ("bucket", *self.partition_by)
         folder, staged = f"{self.root}/data/version={version}", f"{self.root}/staged/version={version}"
         (
-            rows.select(*self.schema.fieldNames(), self.bucket_of().alias("bucket"))
+            self._complete(rows).select(*self.schema.fieldNames(), self.bucket_of().alias("bucket"))
             .hint("rebalance", *layout)
             .write.mode("overwrite").partitionBy(*layout).parquet(folder)
         )
@@ -116,44 +132,61 @@ class SnapshotTable:
         else:
             files.delete(self.spark, staged)
         before = self._manifest()
+        written = {n.split("=")[1] for n in files.list_names(self.spark, folder) if n.startswith("bucket=")}
+        if touched is not None and (foreign := written - {str(b) for b in touched}):
+            files.delete(self.spark, folder)
+            files.delete(self.spark, staged)
+            raise ValueError(f"rows of buckets that were not read: {sorted(foreign)}")
         placed = {} if touched is None else dict(before["buckets"])
         for bucket in touched or ():
             placed.pop(str(bucket), None)
-        for name in files.list_names(self.spark, folder):
-            if name.startswith("bucket="):
-                placed[name.split("=")[1]] = version
+        placed.update(dict.fromkeys(written, version))
         applied = dict(before["applied"])
         if stream is not None:
             applied[stream] = batch_id
-        manifest = json.dumps({"buckets": placed, "applied": applied})
+        manifest = json.dumps({"buckets": placed, "applied": applied, "bucket_count": self.buckets})
         files.write_text(self.spark, f"{self.root}/published/{version}.json", manifest)
         self.release_changes()
+        self.expire(self.retain)
         return version
 
+    def _complete(self, rows: DataFrame) -> DataFrame:
+        """Rows of readers have no hidden columns: null there is a live row of unknown order."""
+        return rows.withColumns({
+            f.name: F.lit(None).cast(f.dataType) for f in self.schema.fields if f.name in self.hidden and f.name not in rows.columns
+        })
+
     def insert(self, rows: DataFrame) -> int:
         """Append rows, by name; keys are not checked for repeats."""
         touched = self.touched_buckets(rows)
-        return self.publish(insert_rows(self.read(buckets=touched), rows), touched, insert_changes(rows))
+        return self.publish(insert_rows(self.read_state(buckets=touched), self._complete(rows)), touched, insert_changes(rows))
 
     def update(self, condition: str, assignments: dict[str, str]) -> int:
         """Change columns of the rows that meet a SQL condition; keys must not change."""
-        now = self.read()
-        touched = self.touched_buckets(now.where(condition))
-        mine = self.read(buckets=touched)
+        if moved := set(assignments) & set(self.keys):
+            raise ValueError(f"an update can't change key columns: {sorted(moved)}")
+        touched = self.touched_buckets(self.read().where(condition))
+        mine = self.read_state(buckets=touched)
+        met = f"({condition}) AND ({self.live})" if self.live else condition
         return self.publish(
-            update_where(mine, condition, assignments), touched,
-            update_changes(mine, condition, assignments),
+            update_where(mine, met, assignments), touched,
+            update_changes(self.read(buckets=touched), condition, assignments),
         )
 
     def expire(self, keep: int) -> None:
         """Forget all but the newest ``keep`` versions and the folders only they used."""
         versions = self.versions()
         old, kept = versions[:-keep], versions[-keep:]
-        used = {n for v in kept for n in self._manifest(v)["buckets"].values()}
+        if not old:
+            return
+        # Later versions use what the oldest kept one uses, and what was written since.
+        used = set(self._manifest(kept[0])["buckets"].values())
         for version in old:
             files.delete(self.spark, f"{self.root}/published/{version}.json")
-            if version not in used:
-                files.delete(self.spark, f"{self.root}/data/version={version}")
+        for name in files.list_names(self.spark, f"{self.root}/data"):
+            version = int(name.split("=")[1])
+            if version < kept[0] and version not in used:
+                files.delete(self.spark, f"{self.root}/data/{name}")
 
     # --- change rows ----------------------------------------------------------
 
@@ -175,7 +208,7 @@ class SnapshotTable:
 
     def change_schema(self) -> T.StructType:
         extra = [T.StructField("_change_type", T.StringType()), T.StructField("_commit_version", T.LongType())]
-        return T.StructType(self.schema.fields + extra)
+        return T.StructType([f for f in self.schema.fields if f.name not in self.hidden] + extra)
 
     def read_changes(self, start: int = 0) -> DataFrame:
         schema = self.change_schema()

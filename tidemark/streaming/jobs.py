@@ -24,8 +24,8 @@ from tidemark.operators.reconcile import daily_counts
 from tidemark.operators.scd2 import scd2_batch
 from tidemark.plans import marts, tables
 from tidemark.schemas import (
-    AGG_ORDERS_DAILY, BRONZE, DIM_CUSTOMERS, FACT_ORDERS, MART_DAILY_ORDERS, MART_ORDERS_BY_STATE,
-    ORDERS_ENRICHED, SILVER_CUSTOMERS,
+    AGG_ORDERS_DAILY, BRONZE, DIM_CUSTOMERS, FACT_STATE, MART_DAILY_ORDERS, MART_ORDERS_BY_STATE,
+    ORDERS_ENRICHED, SILVER_STATE,
 )
 from tidemark.sources import files
 from tidemark.sources.bronze import CdcSource, project_bronze, read_bronze, read_bronze_stream, read_cdc_stream
@@ -34,7 +34,8 @@ from tidemark.sources.reports import quarantine
 from tidemark.sources.snapshots import SnapshotTable
 
 # Files one micro-batch may take, unless a job is told otherwise: a first start on a
-# long log must not become a single batch.
+# long log must not become a single batch. Only jobs whose result does not depend on the
+# cut are paced; a history has one version per key and micro-batch, so it takes what is there.
 FILES_PER_BATCH = "1000"
 BRONZE_INTERVAL = "15 seconds"  # fixed value: how often the log is extended
 
@@ -49,8 +50,11 @@ def _paced(options: dict[str, str]) -> dict[str, str]:
 class Lakehouse:
     """All tables and jobs below one absolute root folder.
 
-    ``tz`` is the zone whose calendar day dates an order. ``guard="event_time"``
-    keeps older events of later micro-batches from overwriting newer rows.
+    ``tz`` is the zone whose calendar day dates an order. With the default guard the
+    latest event in stream order wins, however files are cut into micro-batches and in
+    whatever order they come; deletes are kept as tombstones for that.
+    ``guard="event_time"`` compares event times only and keeps no tombstones, ``None``
+    lets the later micro-batch win; both need files in order.
     ``once=True`` on a job works off what is there and stops; otherwise the job
     runs until it is stopped.
     """
@@ -59,8 +63,8 @@ class Lakehouse:
     root: str
     prefix: str = "shop"
     tz: str | None = "UTC"
-    buckets: int = 16
-    guard: str | None = None
+    buckets: int = 1024
+    guard: str | None = "order"
 
     def __post_init__(self) -> None:
         if not (self.root.startswith("/") or "://" in self.root or ":/" in self.root):
@@ -77,7 +81,7 @@ class Lakehouse:
 
     @property
     def silver(self) -> SnapshotTable:
-        return self._table("silver_customers", SILVER_CUSTOMERS, "customer_id")
+        return self._table("silver_customers", SILVER_STATE, "customer_id", hidden=tables.HIDDEN, live=tables.LIVE)
 
     @property
     def dim(self) -> SnapshotTable:
@@ -86,7 +90,8 @@ class Lakehouse:
     @property
     def fact(self) -> SnapshotTable:
         return self._table(
-            "fact_orders", FACT_ORDERS, "order_id", partition_by=("event_date",), keep_changes=True,
+            "fact_orders", FACT_STATE, "order_id", partition_by=("event_date",), keep_changes=True,
+            hidden=tables.HIDDEN, live=tables.LIVE,
         )
 
     @property
@@ -134,9 +139,9 @@ class Lakehouse:
 
         return run
 
-    def _bronze_stream(self, options: dict[str, str]) -> DataFrame:
+    def _bronze_stream(self, options: dict[str, str], paced: bool = True) -> DataFrame:
         files.make_folder(self.spark, self.bronze_path)
-        return read_bronze_stream(self.spark, self.bronze_path, **_paced(options))
+        return read_bronze_stream(self.spark, self.bronze_path, **(_paced(options) if paced else options))
 
     # --- jobs -------------------------------------------------------------------
 
@@ -159,10 +164,13 @@ class Lakehouse:
 
         def work(batch: DataFrame, stream: str, batch_id: int) -> None:
             valid, rejected = split_valid(batch, customer_rule())
-            quarantine(rejected, f"{self.root}/quarantine/customers", batch_id)
+            quarantine(rejected, f"{self.root}/quarantine/customers", stream, batch_id)
             touched = table.touched_buckets(valid)
             if touched:
-                merged = tables.silver_merge(table.read(buckets=touched), valid, self.guard)
+                if self.guard == "order":
+                    merged = tables.silver_merge_ordered(table.read_state(buckets=touched), valid)
+                else:
+                    merged = tables.silver_merge(table.read(buckets=touched), valid, self.guard)
                 table.publish(merged.rows(), touched, stream=stream, batch_id=batch_id)
 
         events = tables.customer_events(self._bronze_stream(options), self.prefix)
@@ -174,13 +182,13 @@ class Lakehouse:
 
         def work(batch: DataFrame, stream: str, batch_id: int) -> None:
             valid, rejected = split_valid(batch, customer_rule())
-            quarantine(rejected, f"{self.root}/quarantine/dim_customers", batch_id)
+            quarantine(rejected, f"{self.root}/quarantine/dim_customers", stream, batch_id)
             touched = table.touched_buckets(valid)
             if touched:
                 rows = scd2_batch(table.read(buckets=touched), valid)
                 table.publish(rows, touched, stream=stream, batch_id=batch_id)
 
-        events = tables.keyed(tables.customer_events(self._bronze_stream(options), self.prefix))
+        events = tables.keyed(tables.customer_events(self._bronze_stream(options, paced=False), self.prefix))
         writer = events.writeStream.foreachBatch(self._each_batch("dim_customers", table, work))
         return self._start(writer, "dim_customers", once)
 
@@ -189,10 +197,13 @@ class Lakehouse:
 
         def work(batch: DataFrame, stream: str, batch_id: int) -> None:
             valid, rejected = split_valid(batch, order_rule())
-            quarantine(rejected, f"{self.root}/quarantine/fact_orders", batch_id)
+            quarantine(rejected, f"{self.root}/quarantine/fact_orders", stream, batch_id)
             touched = table.touched_buckets(valid)
             if touched:
-                merged = tables.fact_merge(table.read(buckets=touched), valid, self.guard)
+                if self.guard == "order":
+                    merged = tables.fact_merge_ordered(table.read_state(buckets=touched), valid)
+                else:
+                    merged = tables.fact_merge(table.read(buckets=touched), valid, self.guard)
                 table.publish(merged.rows(), touched, merged.changes(), stream, batch_id)
 
         events = tables.order_events(self._bronze_stream(options), self.prefix, self.tz)
@@ -205,7 +216,8 @@ class Lakehouse:
             raise ValueError(f"unknown start {start!r}")
         note = f"{self.root}/checkpoints/{job}.start"
         if not files.exists(self.spark, note):
-            first = 0 if start == "snapshot" else self.fact.next_version()
+            seeded = self.agg.applied_up_to("seed")
+            first = 0 if start == "snapshot" else self.fact.next_version() if seeded is None else seeded + 1
             files.write_text(self.spark, note, str(first))
         return int(files.read_text(self.spark, note))
 
@@ -213,7 +225,7 @@ class Lakehouse:
         """Keep the daily counts up from the fact's change rows.
 
         ``start="snapshot"`` takes all changes kept, for an empty table;
-        ``"next"`` takes only changes still to come, for a seeded one.
+        ``"next"`` takes only changes after the version it was seeded from.
         """
         table = self.agg
         changes = self.fact.stream_changes(self._first_change("agg_orders_daily", start), **_paced(options))
@@ -243,15 +255,19 @@ class Lakehouse:
     # --- batch refreshes ----------------------------------------------------------
 
     def seed_agg(self) -> int:
-        """Recount the fact into the daily counts (for ``start_agg(start="next")``)."""
-        return self.agg.publish(daily_counts(self.fact.read()))
+        """Recount the fact into the daily counts (for ``start_agg(start="next")``), noting its version."""
+        version = self.fact.last_version()
+        return self.agg.publish(
+            daily_counts(self.fact.read(version)), stream="seed", batch_id=-1 if version is None else version,
+        )
 
     def build_mart(self, name: str = "mart_daily_orders", register_as: str | None = None) -> int:
         """Full refresh of a mart; readers of the old version are not disturbed."""
         table = self.mart(name)
         version = table.publish(getattr(marts, name)(self.fact.read(), self.dim.read()))
         if register_as:
-            register(self.spark, register_as, f"{table.root}/data/version={version}/bucket=0")
+            folder = f"{table.root}/data/version={version}/bucket=0"
+            register(self.spark, register_as, folder, table.schema, "event_date")
         return version
 
     def backfill_enriched(self) -> int:
