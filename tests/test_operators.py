@@ -11,7 +11,7 @@ from tidemark.operators.merge import Delete, Insert, MergeConflict, Update, appl
 from tidemark.operators.neighbours import with_neighbours
 from tidemark.operators.reconcile import daily_counts, reconcile
 from tidemark.operators.scd2 import (
-    close_set, close_versions, compare_with_current, open_set, open_versions, scd2_batch, scd2_history,
+    close_set, close_versions, compare_with_current, open_versions, scd2_batch, scd2_history,
 )
 from tidemark.plans import marts, tables
 from tidemark.schemas import AGG_ORDERS_DAILY, DIM_CUSTOMERS, FACT_ORDERS, ORDERS_ENRICHED
@@ -166,7 +166,7 @@ def test_scd2_batch_cases(spark):
     assert dim_rows(after) == want
     # The same in separate steps.
     compared = compare_with_current(dim, latest_per_key(batch, ["customer_id"], delete_wins_order()))
-    assert dim_rows(open_versions(close_versions(dim, close_set(compared)), open_set(compared))) == want
+    assert dim_rows(open_versions(close_versions(dim, close_set(compared)), compared)) == want
     # Replaying the batch adds no version (an open version starts at the event's time).
     replayed = scd2_batch(after, batch)
     assert replayed.count() == after.count()
@@ -355,3 +355,14 @@ def test_history_slices_spread_a_hot_key(spark):
     assert "hashpartitioning(customer_id" in plan and "_slice" in plan
     plain = scd2_history(df, "batch_no", slice_width=None)._jdf.queryExecution().executedPlan().toString()
     assert plain.count("Exchange hashpartitioning") == 2
+
+
+def test_two_current_versions_of_a_key_raise(spark):
+    schema = "customer_id string, customer_unique_id string, customer_city string, customer_state string, effective_start_ts_ms long, effective_end_ts_ms long, is_current boolean"
+    dim = spark.createDataFrame([("a", "u", "x", "SP", 1, None, True), ("a", "u", "y", "SP", 2, None, True)], schema)
+    batch = spark.createDataFrame(
+        [("u", 5, "a", "u", "z", "SP", 0, 1)],
+        "op string, ts_ms long, customer_id string, customer_unique_id string, customer_city string, customer_state string, kafka_partition int, kafka_offset long",
+    )
+    with pytest.raises(Exception, match="several current versions"):
+        scd2_batch(dim, batch).collect()

@@ -18,10 +18,6 @@ def current_versions(dim: DataFrame) -> DataFrame:
     return dim.where(F.col(CURRENT))
 
 
-def ended_versions(dim: DataFrame) -> DataFrame:
-    return dim.where(~F.coalesce(F.col(CURRENT), F.lit(False)))
-
-
 def compare_with_current(dim: DataFrame, batch: DataFrame, spec: CdcTableSpec = CUSTOMERS) -> DataFrame:
     """Batch rows (one per key) beside their current version, columns prefixed ``t_``.
 
@@ -29,27 +25,24 @@ def compare_with_current(dim: DataFrame, batch: DataFrame, spec: CdcTableSpec =
     string does not differ) and ``known``: a version starting at the row's time is
     there already, so the event is a replay.
 
-    The dimension is first cut down to what the batch asks for by semi-joins, in which
-    the batch is the side Spark may broadcast. Both are on keys a row has to itself
-    (current version; key and start), so the long history of one key does not meet.
+    The dimension is read once and joined to the batch, the side Spark may broadcast. Only
+    a key's current version and the one that starts at the row's time pass the join, so
+    the long history of one key does not meet. Two current versions of a key raise.
     """
     key = spec.keys[0]
-    sought = batch.select(F.col(key), F.col("ts_ms").alias(START))
-    found = (
-        current_versions(dim).join(sought, key, "left_semi")
-        .groupBy(key).agg(F.max(F.struct(*spec.attrs)).alias("_current"))
-    )
-    known = (
-        dim.join(sought, [key, START], "left_semi").select(F.col(key), F.col(START).alias("ts_ms"))
-        .distinct().withColumn("_known", F.lit(True))
+    sought = batch.select(F.col(key), F.col("ts_ms").alias("_at"))
+    current, starts = F.coalesce(F.col(CURRENT), F.lit(False)), F.col(START).eqNullSafe(F.col("_at"))
+    seen = dim.join(sought, key).where(current | starts).groupBy(key).agg(
+        F.max(F.when(current, F.struct(*spec.attrs))).alias("_current"), F.max(starts).alias("_known"), F.count_if(current).alias("_many"),
     )
-    beside = batch.join(found, key, "left").join(known, [key, "ts_ms"], "left")
+    beside = batch.join(seen, key, "left")
+    two = F.raise_error(F.concat(F.lit("several current versions of "), F.col(key).cast("string")))
     return beside.select(
         *batch.columns, *[F.col(f"_current.{a}").alias(f"t_{a}") for a in spec.attrs],
-        F.col("_current").isNotNull().alias("has_current"),
+        F.when(F.col("_many") > 1, two.cast("boolean")).otherwise(F.col("_current").isNotNull()).alias("has_current"),
         attrs_differ([F.col(a) for a in spec.attrs], [F.col(f"_current.{a}") for a in spec.attrs])
         .alias("differs"),
-        F.col("_known").isNotNull().alias("known"),
+        F.coalesce(F.col("_known"), F.lit(False)).alias("known"),
     )
 
 
@@ -69,25 +62,16 @@ def open_set(compared: DataFrame, spec: CdcTableSpec = CUSTOMERS) -> DataFrame:
 
 
 def close_versions(dim: DataFrame, closing: DataFrame, spec: CdcTableSpec = CUSTOMERS) -> DataFrame:
-    """End the current versions named in ``closing`` (one row per key). Versions that
-    have ended pass by the join."""
-    closed = apply_merge(
-        current_versions(dim), closing, spec.keys, source_unique=True,
-        matched=[Update({END: "s.ts_ms", CURRENT: "false"})],
+    """End the current versions named in ``closing`` (one row per key); one join."""
+    return apply_merge(
+        dim, closing, spec.keys, source_unique=True,
+        matched=[Update({END: "s.ts_ms", CURRENT: "false"}, when=f"t.{CURRENT}")],
     ).rows()
-    return ended_versions(dim).unionByName(closed)
 
 
-def open_versions(dim: DataFrame, opening: DataFrame, spec: CdcTableSpec = CUSTOMERS) -> DataFrame:
-    """Add versions whose (key, start) is not there yet, so a replay adds nothing.
-
-    The batch side is the small one: joining it to the dimension by an inner join
-    lets Spark broadcast it once its size is known; only the hits go on to the
-    anti-join.
-    """
-    identity = [spec.keys[0], START]
-    known = dim.select(*identity).join(opening.select(*identity), identity, "inner").distinct()
-    return dim.unionByName(opening.join(known, identity, "left_anti"))
+def open_versions(dim: DataFrame, compared: DataFrame, spec: CdcTableSpec = CUSTOMERS) -> DataFrame:
+    """Add the new versions whose (key, start) is not there yet, so a replay adds nothing."""
+    return dim.unionByName(open_set(compared.where("NOT known"), spec))
 
 
 def scd2_batch(dim: DataFrame, batch: DataFrame, spec: CdcTableSpec = CUSTOMERS) -> DataFrame:
@@ -99,8 +83,7 @@ def scd2_batch(dim: DataFrame, batch: DataFrame, spec: CdcTableSpec = CUSTOMERS)
     key = spec.keys[0]
     latest = latest_per_key(batch, [key], delete_wins_order(), ["op", "ts_ms", key, *spec.attrs])
     compared = compare_with_current(dim, latest, spec)
-    closed = close_versions(dim, close_set(compared, spec), spec)
-    return closed.unionByName(open_set(compared.where("NOT known"), spec))
+    return open_versions(close_versions(dim, close_set(compared, spec), spec), compared, spec)
 
 
 def scd2_history(

@@ -19,7 +19,7 @@ from tidemark.operators.expectations import (
 from tidemark.operators.neighbours import SLICE
 from tidemark.operators.reconcile import daily_counts, reconcile
 from tidemark.operators.scd2 import (
-    close_set, close_versions, compare_with_current, current_versions, open_set, open_versions,
+    close_set, close_versions, compare_with_current, current_versions, open_versions,
     scd2_batch, scd2_history,
 )
 from tidemark.plans import marts, tables
@@ -231,7 +231,7 @@ def scd2_close(spark, sf_dir):
 
 def scd2_open(spark, sf_dir):
     dim, compared = _scd2_compared(spark, sf_dir)
-    return open_versions(dim, open_set(compared))
+    return open_versions(dim, compared)
 
 
 def dim_customers_scd2(spark, sf_dir):
