@@ -27,7 +27,7 @@ RARE_SPACE = r"\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u2
 #: the pattern of the word tokenizer (fixed value).
 PLAIN = re.compile("[!-~ß-öø-ÿ]+")
 WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-LIMIT = 1_500_000
+LIMIT = 600_000
 
 _encoders: dict[tuple, ChunkEncoder] = {}
 
