@@ -23,7 +23,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts that no language claims: without letters, or none reaches even odds."""
+    """Drops texts in none of the languages: without letters, unlike all texts of the language
+    that text, declared language and source speak for, or with less than even odds for it."""
     return keep_identified(docs, fit_trigrams(docs))
 
 

@@ -1,9 +1,13 @@
+import random
+
 import duckdb
+import numpy as np
 import pytest
-from cases import documents, prose
+from cases import SCHEMA, documents, prose
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from tidemark.llm import language
 from tidemark.llm.queries import QUERIES
 
 
@@ -49,6 +53,46 @@ def test_stages_take_effect_and_keep_the_columns(spark, corpus):
     assert left["ngram_jaccard"] == [*clean, None]
 
 
+LETTERS = {"en": "thewandrgis", "de": "chunderigtsz", "fr": "leauxqitnrpo", "left out": "kovamyjzspd"}
+
+
+def tongue(name, seed, words=120):
+    """Words of two to four syllables over the letters of a made-up language."""
+    rng, own = random.Random(f"{name} {seed}"), random.Random(name)
+    syllables = ["".join(own.choice(LETTERS[name]) for _ in range(3)) for _ in range(40)]
+    return " ".join("".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(words))
+
+
+def gibberish(seed, words=120):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(words))
+
+
+def test_language_stage_rejects_gibberish_and_languages_it_does_not_know(spark, sf_dir):
+    good = [(i, tongue(k, i), k if i % 5 else None) for k, at in (("en", 0), ("de", 100), ("fr", 200)) for i in range(at, at + 60)]
+    odd = [(500 + i, gibberish(i), "en" if i % 2 else None) for i in range(20)] + [(600 + i, tongue("left out", i), None) for i in range(20)]
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, documents(spark, good + odd), "").collect()}
+    assert kept == {i for i, *_ in good}
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    planted = spark.createDataFrame([(10**9 + i, gibberish(i), None, "src0", 1) for i in range(50)], given.schema)
+    kept = corpus_pipeline.language(spark, given.union(planted), "")
+    assert kept.where(f"doc_id >= {10**9}").count() == 0 and kept.count() > 0.98 * given.count()
+
+
+def test_language_stage_fuses_source_and_declared_language(spark):
+    """Texts that read alike in three languages are kept where source or markup tells which."""
+    weights = np.full((3, language.SLOTS), -np.log(language.SLOTS))
+    slots = {k: np.unique(language.trigram_slots(k)) for k in ("wabo", "zeti", "muku")}
+    for line, at in zip(weights, slots.values()):
+        line[at] += 30
+    model = language.TrigramModel(["a", "b", "c"], weights, np.array([[-20.0, 1.0, 1.0]] * 3))
+    full = [(i, "wabo", "a", "only a", 4, "x", "y", 1, 2, "z") for i in range(50)]
+    full += [(900 + i, "pilu", claim, source, 4, "x", "y", 1, 2, "z") for i, (claim, source) in enumerate([(None, "only a"), ("b", None), (None, None), ("b", "only a")])]
+    full += [(i, k, k, "mixed", 4, "x", "y", 1, 2, "z") for i, k in [(500 + i, k) for i in range(50) for k in ("zeti", "muku")]]
+    kept = {r["doc_id"] for r in language.keep_identified(spark.createDataFrame(full, SCHEMA), model).collect()}
+    assert {900, 901} <= kept and 902 not in kept
+
+
 def test_run_packs_what_is_left(spark, corpus):
     rows = corpus_pipeline.run(spark, corpus).collect()
     assert {r["doc_id"] for r in rows} == {i for i in range(160) if i % 4} | {None}

@@ -10,7 +10,9 @@ Four kinds of evidence meet as log probabilities over the languages of the model
   shares are pulled to its domain's, those to the suffix's, those to all pages', each by
   ``STRENGTH`` pages. The sums per level are grouped aggregations of the text posteriors.
 
-A text alone is the case without the other three.
+A text alone is the case without the other three. The languages of the model are a closed
+set in which one always looks best, so a text also has to fit its language: its mean log
+likelihood per trigram may not lie below a floor, fitted per language on texts held out.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ SAMPLE, SLOTS, SMOOTHING = 5_000, 1 << 14, 0.5
 TEMPER, TRUST, STRENGTH = 0.25, 0.9, 10.0
 #: A text is rejected if no language reaches this probability, or if it has no letters.
 ACCEPT = 0.5
+#: Standard deviations that a text's mean log likelihood may lie below the median of its language.
+SLACK = 10.0
 #: Country codes whose pages are mostly in one language (fixed values).
 SUFFIX_LANGUAGE = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "uk": "en", "us": "en", "au": "en"}
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -53,6 +57,8 @@ def trigram_slots(text: str) -> np.ndarray:
 class TrigramModel:
     languages: list[str]
     weights: np.ndarray  # log likelihood, languages x slots
+    # Mean log likelihood per trigram of held-out texts: median, variance between texts, variance within
+    usual: np.ndarray = field(default_factory=lambda: np.zeros((0, 3)))
 
     def log_likelihood(self, text: str) -> np.ndarray | None:
         """Tempered log likelihood of a text in each language; None without letters."""
@@ -61,6 +67,11 @@ class TrigramModel:
             return None
         return TEMPER * (self.weights @ np.bincount(slots, minlength=SLOTS))
 
+    def fits(self, score: np.ndarray, trigrams: int) -> np.ndarray:
+        """Whether a text of so many trigrams and this ``log_likelihood`` reads like texts of each language."""
+        median, between, within = self.usual.T
+        return score / TEMPER / trigrams >= median - SLACK * np.sqrt(between + within / trigrams)
+
     def posterior(self, text: str, log_prior: np.ndarray | None = None) -> np.ndarray | None:
         score = self.log_likelihood(text)
         if score is None:
@@ -77,34 +88,74 @@ def fit_trigrams(documents: DataFrame, sample: int = SAMPLE) -> TrigramModel:
     """Fit on at most ``sample`` labelled documents (text, lang), picked by a hash of their id.
 
     Counting runs where the documents are; the driver gets one row per language. Documents
-    without language or text teach nothing; without any, the model knows no language.
+    without language or text teach nothing; without any, the model knows no language. What is
+    usual in a language is measured on each half of its documents with the counts of the other.
     """
     ship_package(documents.sparkSession)
     some = documents.where("lang is not null and text is not null").select("doc_id", "lang", "text")
     picked = some.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, np.ndarray] = {}
+        seen: dict[tuple[str, int], np.ndarray] = {}
         for batch in small(batches):
-            for language, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                held = seen.setdefault(language, np.zeros(SLOTS, np.int64))
+            for language, half, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "half", "text"))):
+                held = seen.setdefault((language, half), np.zeros(SLOTS, np.int64))
                 held += np.bincount(trigram_slots(text), minlength=SLOTS)
-        for language, held in seen.items():
+        for (language, half), held in seen.items():
             at = np.flatnonzero(held)
-            yield pa.record_batch({"lang": pa.array([language] * len(at)), "slot": pa.array(at, pa.int64()), "n": pa.array(held[at], pa.int64())})
+            yield pa.record_batch({"lang": pa.array([language] * len(at)), "slot": pa.array(half * SLOTS + at, pa.int64()), "n": pa.array(held[at], pa.int64())})
 
-    counted = some.join(picked.distinct(), "doc_id", "left_semi").mapInArrow(count, "lang string, slot long, n long")
+    half = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int")
+    taught = stored(some.join(picked.distinct(), "doc_id", "left_semi").select("lang", half.alias("half"), "text"), "language-sample")
+    counted = taught.mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     rows = counted.groupBy("lang").agg(F.collect_list(F.struct("slot", "n")).alias("c")).orderBy("lang").collect()
-    table = np.full((len(rows), SLOTS), SMOOTHING)
+    table = np.zeros((len(rows), 2 * SLOTS))
     for line, row in zip(table, rows):
         pairs = np.array([(c["slot"], c["n"]) for c in row["c"]], np.int64).reshape(-1, 2)
         np.add.at(line, pairs[:, 0], pairs[:, 1])
-    return TrigramModel([r["lang"] for r in rows], np.log(table / table.sum(axis=1, keepdims=True)))
+    halves = table.reshape(-1, 2, SLOTS)
+    languages = [r["lang"] for r in rows]
+    return TrigramModel(languages, log_shares(halves.sum(axis=1)), usual_likelihood(taught, languages, log_shares(halves[:, ::-1])))
+
+
+def log_shares(counts: np.ndarray) -> np.ndarray:
+    smooth = counts + SMOOTHING
+    return np.log(smooth / smooth.sum(axis=-1, keepdims=True))
+
 
+def usual_likelihood(taught: DataFrame, languages: list[str], held_out: np.ndarray) -> np.ndarray:
+    """A row per language: median, variance between and within texts of the mean log likelihood per trigram.
 
-def text_posteriors(rows: DataFrame, model: TrigramModel) -> DataFrame:
-    """``rows`` (any columns, ``text``) with ``text_log``: log posterior by text alone, null without letters."""
-    fields = [f for f in rows.schema.fields if f.name != "text"]
+    ``held_out`` (languages x 2 x slots) has for each half of ``taught`` (lang, half, text) the
+    weights of the other. A language with texts in one half only has even weights for them.
+    The variance between texts comes from the quartiles, which odd texts do not move.
+    """
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {x: i for i, x in enumerate(languages)}
+        for batch in small(batches):
+            found = []
+            for language, half, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "half", "text"))):
+                slots = trigram_slots(text)
+                if language in place and len(slots):
+                    each = held_out[place[language], half][slots]
+                    found.append((language, float(each.mean()), float(each.var())))
+            if found:
+                yield pa.record_batch([pa.array(c) for c in zip(*found)], names=["lang", "mean", "variance"])
+
+    measured = taught.mapInArrow(measure, "lang string, mean double, variance double").groupBy("lang").agg(
+        F.percentile_approx("mean", [0.25, 0.5, 0.75]).alias("q"), F.avg("variance").alias("within")
+    )
+    usual = {r["lang"]: (r["q"][1], ((r["q"][2] - r["q"][0]) / 1.349) ** 2, r["within"]) for r in measured.collect()}
+    return np.array([usual.get(x, (-math.log(SLOTS), 0.0, 0.0)) for x in languages]).reshape(-1, 3)
+
+
+def text_posteriors(rows: DataFrame, model: TrigramModel, whole: bool = False) -> DataFrame:
+    """``rows`` (any columns, ``text``) with ``text_log``: log posterior by text alone, null without letters.
+
+    With ``whole``, ``text`` stays, and ``text_fits`` says for each language whether the text reads like one of its texts.
+    """
+    fields = [f for f in rows.schema.fields if whole or f.name != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     ship_package(rows.sparkSession)
 
@@ -113,9 +164,14 @@ def text_posteriors(rows: DataFrame, model: TrigramModel) -> DataFrame:
             if batch.num_rows:
                 found = [model.log_likelihood(t or "") if model.languages else None for t in batch.column("text").to_pylist()]
                 logs = [None if s is None else np.log(np.maximum(softmax(s), 1e-12)) for s in found]
-                yield pa.record_batch([*(batch.column(f.name) for f in fields), pa.array(logs, pa.list_(pa.float64()))], names=[*(f.name for f in fields), "text_log"])
+                columns = {f.name: batch.column(f.name) for f in fields} | {"text_log": pa.array(logs, pa.list_(pa.float64()))}
+                if whole:
+                    long = [len(trigram_slots(t or "")) for t in batch.column("text").to_pylist()]
+                    columns["text_fits"] = pa.array([None if s is None else model.fits(s, n).tolist() for s, n in zip(found, long)], pa.list_(pa.bool_()))
+                yield pa.record_batch(columns)
 
-    return rows.select(*(f.name for f in fields), "text").mapInArrow(run, f"{schema}, text_log array<double>")
+    wanted = [f"`{f.name}`" for f in fields] + ([] if whole else ["text"])
+    return rows.select(*wanted).mapInArrow(run, f"{schema}, text_log array<double>" + (", text_fits array<boolean>" if whole else ""))
 
 
 def detect(documents: DataFrame, model: TrigramModel) -> DataFrame:
@@ -139,17 +195,52 @@ def detect(documents: DataFrame, model: TrigramModel) -> DataFrame:
 def keep_identified(documents: DataFrame, model: TrigramModel, accept: float = ACCEPT) -> DataFrame:
     """The rows whose text is in one of the languages with probability ``accept`` or more, all columns as they are.
 
-    Texts without letters go. A model without languages keeps everything.
+    The probability fuses the text, the declared ``lang`` and a prior of the ``source``, how
+    its texts read, pulled to that of all by ``STRENGTH`` texts; either column may be missing.
+    Texts without letters go, and texts that do not fit the language found, whatever is
+    declared. Texts that fit no language count for no source. A model without languages keeps
+    everything.
     """
-    ship_package(documents.sparkSession)
+    n = len(model.languages)
+    if not n:
+        return documents
+    columns = documents.columns
+    source = F.col("source").cast("string") if "source" in columns else F.lit(None).cast("string")
+    claims = [F.col("lang")] if "lang" in columns else []
+    read = text_posteriors(documents.select(source.alias("of"), "text"), model, whole=True).where("exists(text_fits, x -> x)")
+    levels = stored(read.groupBy("of").agg(*[F.sum(F.exp(F.col("text_log")[i])).alias(f"h{i}") for i in range(n)]), "source-shares")
+    even = even_shares(levels, n)
+    prior = F.array(*smoothed([F.col(f"h{i}") for i in range(n)], [F.lit(e) for e in even]))
+    priors = levels.where("of is not null").select("of", prior.alias("of_prior"))
+    rows = text_posteriors(documents, model, whole=True).withColumn("of", source).join(priors, "of", "left")
+    score = fused(F.coalesce("of_prior", F.array(*map(F.lit, even))), F.col("text_log"), claims, model.languages)
+    best = F.array_max("fused_score")
+    fits = F.element_at("text_fits", F.array_position("fused_score", best).cast("int"))
+    sure = 1 / F.aggregate("fused_score", F.lit(0.0), lambda a, s: a + F.exp(s - best)) >= accept
+    return rows.where("text_log is not null").withColumn("fused_score", score).where(sure & fits).select(*(f"`{c}`" for c in columns))
+
+
+def smoothed(sums: list[Column], parent: list[Column]) -> list[Column]:
+    """Shares of a level, pulled to its parent's by ``STRENGTH`` texts."""
+    whole = sum(sums[1:], sums[0])
+    return [(s + STRENGTH * p) / (whole + STRENGTH) for s, p in zip(sums, parent)]
+
+
+def even_shares(levels: DataFrame, n: int) -> list[float]:
+    """Shares of all texts by the sums h0, h1... of ``levels``, with one more text per language."""
+    total = levels.agg(*[F.coalesce(F.sum(f"h{i}"), F.lit(0.0)).alias(f"g{i}") for i in range(n)]).first()
+    return [(total[i] + 1.0) / (sum(total) + n) for i in range(n)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            if batch.num_rows:
-                found = [model.posterior(t or "") for t in batch.column("text").to_pylist()]
-                yield batch.filter(pa.array([p is not None and bool(p.max() >= accept) for p in found], pa.bool_()))
 
-    return documents.mapInArrow(run, documents.schema) if model.languages else documents
+def fused(prior: Column, text_log: Column, claims: list[Column], languages: list[str]) -> Column:
+    """Log probabilities, not yet summing to one, by a prior, the text and any claims; what is null is missing."""
+
+    def named(claim: Column, language: str) -> Column:
+        """Log probability of a claim if the page is in ``language``; 0 without a claim the model knows."""
+        right, wrong = math.log(TRUST), math.log((1 - TRUST) / max(1, len(languages) - 1))
+        return F.when(claim.isin(languages), F.when(claim == language, right).otherwise(wrong)).otherwise(0.0)
+
+    return F.array(*[sum((named(c, x) for c in claims), F.log(prior[i]) + F.coalesce(text_log[i], F.lit(0.0))) for i, x in enumerate(languages)])
 
 
 def markup_text(html: Column) -> Column:
@@ -183,13 +274,7 @@ def fuse(pages: DataFrame, model: TrigramModel) -> DataFrame:
     shares = [F.exp(F.col("text_log")[i]) for i in range(n)]
     levels = rows.where("text_log is not null and host is not null").groupBy("suffix", "domain", "host").agg(*[F.sum(s).alias(f"h{i}") for i, s in enumerate(shares)])
     levels = stored(levels, "host-shares")
-    total = levels.agg(*[F.coalesce(F.sum(f"h{i}"), F.lit(0.0)).alias(f"g{i}") for i in range(n)]).first()
-    even = [(total[i] + 1.0) / (sum(total) + n) for i in range(n)]
-
-    def smoothed(sums: list[Column], parent: list[Column]) -> list[Column]:
-        whole = sum(sums[1:], sums[0])
-        return [(s + STRENGTH * p) / (whole + STRENGTH) for s, p in zip(sums, parent)]
-
+    even = even_shares(levels, n)
     by_suffix = levels.groupBy("suffix").agg(*[F.sum(f"h{i}").alias(f"s{i}") for i in range(n)])
     by_domain = levels.groupBy("suffix", "domain").agg(*[F.sum(f"h{i}").alias(f"d{i}") for i in range(n)])
     of_suffix = by_suffix.select("suffix", *[c.alias(f"ps{i}") for i, c in enumerate(smoothed([F.col(f"s{i}") for i in range(n)], [F.lit(e) for e in even]))])
@@ -197,16 +282,7 @@ def fuse(pages: DataFrame, model: TrigramModel) -> DataFrame:
     of_host = levels.join(of_domain, ["suffix", "domain"]).select("host", F.array(*smoothed([F.col(f"h{i}") for i in range(n)], [F.col(f"pd{i}") for i in range(n)])).alias("prior"))
     prior = F.coalesce("prior", F.array(*map(F.lit, even)))
     nation = F.create_map(*[F.lit(x) for pair in SUFFIX_LANGUAGE.items() for x in pair])[F.col("suffix")]
-
-    def named(claim: Column, language: str) -> Column:
-        """Log probability of a claim if the page is in ``language``; 0 without a claim the model knows."""
-        right, wrong = math.log(TRUST), math.log((1 - TRUST) / max(1, n - 1))
-        return F.when(claim.isin(model.languages), F.when(claim == language, right).otherwise(wrong)).otherwise(0.0)
-
-    score = F.array(*[
-        F.log(F.col("prior")[i]) + F.coalesce(F.col("text_log")[i], F.lit(0.0)) + named(F.col("declared"), x) + named(F.col("nation"), x)
-        for i, x in enumerate(model.languages)
-    ])
+    score = fused(F.col("prior"), F.col("text_log"), [F.col("declared"), F.col("nation")], model.languages)
     best = F.array_max("score")
     place = F.array_position("score", best).cast("int")
     name = F.array(*map(F.lit, model.languages))
