@@ -116,6 +116,25 @@ def test_fewer_candidates_than_asked_for(spark):
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in got] == [(0, 1, 1), (0, 2, 2)]
 
 
+@pytest.mark.parametrize("scale", ["one long", "spread"])
+def test_neighbours_of_lengths_that_differ(spark, scale):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if scale == "one long":
+        x[5] *= 10
+    else:
+        x *= np.exp(0.3 * rng.standard_normal((len(x), 1)))
+    x = x.astype(np.float32)
+    got = {}
+    for r in cross_polytope.op4_cross_polytope(spark, frame(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    scores = x.astype(float) @ x.astype(float).T
+    np.fill_diagonal(scores, -np.inf)
+    assert sorted(got) == list(range(0, 3000, 20)) and {len(v) for v in got.values()} == {20}
+    assert sum(len(got[q] & set(np.argsort(-scores[q])[:20].tolist())) for q in got) >= 0.95 * 20 * len(got)
+
+
 def test_empty_tables(spark):
     assert itq.op3_itq_near_copies(spark, frame(spark, [])).count() == 0
     assert cross_polytope.op4_cross_polytope(spark, frame(spark, [])).count() == 0

@@ -8,9 +8,9 @@ original vectors in double precision, bucket by bucket, and only the best of eac
 leave it. A bucket of more than BLOCK vectors is cut into blocks; a query goes to all of
 them, so nothing is capped.
 
-Vectors whose lengths differ are lifted by one coordinate, so that all have the same
-length and the largest inner product is the smallest angle; vectors of one length need
-no lift.
+Directions are hashed, as a bucket can tell angles only. A long vector reaches a large inner
+product at a wide angle, so vectors longer than LONGER times the median take no hash: every
+query meets them all, in blocks. So does it with the others while they are FEW.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from tidemark.llm.common import ship_package, stored
 from tidemark.llm.vectors import common_length, matrix, usable
 
 TABLES, PROBES, BLOCK, SEED = 8, 16, 16_384, 11
-#: Lengths that differ by less are taken as one.
-SAME_LENGTH = 1e-3
+#: Coordinates for which PROBES holds (more have as many more); length over the median that takes no hash; vectors too few to hash.
+PROBED_SIZE, LONGER, FEW = 64, 1.05, 1_024
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -41,18 +41,15 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 class Rotations:
-    """The pseudo-rotations of all tables; a vector may be lifted to ``radius``."""
+    """The pseudo-rotations of all tables."""
 
-    def __init__(self, width: int, radius: float | None, tables: int = TABLES, seed: int = SEED):
-        self.radius = radius
-        self.size = 1 << max(1, int(np.ceil(np.log2(width + (radius is not None)))))
+    def __init__(self, width: int, tables: int = TABLES, seed: int = SEED):
+        self.size = 1 << max(1, int(np.ceil(np.log2(width))))
         self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, 3, self.size))
 
-    def turned(self, x: np.ndarray, query: bool) -> Iterator[np.ndarray]:
+    def turned(self, x: np.ndarray) -> Iterator[np.ndarray]:
         padded = np.zeros((len(x), self.size))
         padded[:, : x.shape[1]] = x
-        if self.radius is not None and not query:
-            padded[:, x.shape[1]] = np.sqrt(np.maximum(self.radius**2 - (x**2).sum(axis=1), 0))
         for rounds in self.signs:
             y = padded
             for signs in rounds:
@@ -62,7 +59,7 @@ class Rotations:
     def buckets(self, x: np.ndarray) -> np.ndarray:
         """Nearest signed axis of each row in each table."""
         out = []
-        for y in self.turned(x, query=False):
+        for y in self.turned(x):
             axis = np.abs(y).argmax(axis=1)
             out.append(2 * axis + (y[np.arange(len(y)), axis] < 0))
         return np.stack(out, axis=1)
@@ -70,7 +67,7 @@ class Rotations:
     def probes(self, x: np.ndarray, many: int) -> np.ndarray:
         """The ``many`` signed axes each row is nearest to, in each table."""
         out = []
-        for y in self.turned(x, query=True):
+        for y in self.turned(x):
             both = np.stack([y, -y], axis=2).reshape(len(y), -1)
             out.append(np.argsort(-both, axis=1, kind="stable")[:, :many])
         return np.stack(out, axis=1)
@@ -125,33 +122,37 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
     width = common_length(base)
     base = base.where(F.size("embedding") == width)
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    low, high = base.agg(F.min(length), F.max(length)).first()
-    turn = Rotations(max(width, 1), None if not low or high - low <= SAME_LENGTH * high else high, tables)
+    median = base.agg(F.percentile_approx(length, 0.5)).first()[0]
+    hashes = length <= F.lit(LONGER * (median or 0.0))
+    few = base.where(hashes).limit(FEW + 1).count() <= FEW
+    turn = Rotations(max(width, 1), tables)
+    many = -(-probes * max(turn.size, PROBED_SIZE) // PROBED_SIZE)
     kind = dict(base.dtypes)["embedding"]
     is_query = F.pmod("vec_id", F.lit(every)) == 0
+    everything = F.lit(-1).alias("key")  # the key without a hash
 
     def hashed(df: DataFrame, query: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
                     x = matrix(batch.column("embedding"), width)
-                    got = turn.probes(x, probes) if query else turn.buckets(x)[:, :, None]
+                    got = turn.probes(x, many) if query else turn.buckets(x)[:, :, None]
                     keys = (np.arange(tables)[None, :, None] * 2 * turn.size + got).reshape(len(x), -1)
                     yield pa.record_batch([*batch.columns, pa.array(list(keys.astype(np.int32)), pa.list_(pa.int32()))], names=["vec_id", "embedding", "keys"])
 
         ship_package(spark)
         return df.mapInArrow(run, f"vec_id long, embedding {kind}, keys array<int>").select("vec_id", "embedding", F.explode("keys").alias("key"))
 
-    members = hashed(base, query=False)
-    # At most tables * 2 * size counts, however many vectors there are.
-    counts = {r["key"]: r["n"] for r in members.groupBy("key").agg(F.count("*").alias("n")).collect()}
-    blocks = F.coalesce(F.create_map(*[F.lit(x) for key, n in counts.items() if n > BLOCK for x in (key, -(-n // BLOCK))])[F.col("key")], F.lit(1)) if any(
-        n > BLOCK for n in counts.values()
-    ) else F.lit(1)
-    members = members.select("key", F.pmod(F.xxhash64("vec_id"), blocks).cast("int").alias("block"), F.lit(False).alias("query"), "vec_id", "embedding")
-    queries = hashed(base.where(is_query), query=True).select(
-        "key", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("block"), F.lit(True).alias("query"), "vec_id", "embedding"
-    )
+    def met(members: DataFrame, queries: DataFrame) -> DataFrame:
+        """(query_id, vec_id, score): the best of each task, of the members and queries (vec_id, embedding, key) of one key."""
+        # At most tables * 2 * size counts and one more, however many vectors there are.
+        counts = {r["key"]: r["n"] for r in members.groupBy("key").agg(F.count("*").alias("n")).collect()}
+        cut = [F.lit(x) for key, n in counts.items() if n > BLOCK for x in (key, -(-n // BLOCK))]
+        blocks = F.coalesce(F.create_map(*cut)[F.col("key")], F.lit(1)) if cut else F.lit(1)
+        members = members.select("key", F.pmod(F.xxhash64("vec_id"), blocks).cast("int").alias("block"), F.lit(False).alias("query"), "vec_id", "embedding")
+        queries = queries.select("key", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("block"), F.lit(True).alias("query"), "vec_id", "embedding")
+        dealt = members.union(queries).repartition("key", "block").sortWithinPartitions("key", "block", "query")
+        return dealt.mapInArrow(search, "query_id long, vec_id long, score double")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, now, ids, rows = Best(k), None, [], []
@@ -177,12 +178,18 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
                         best.offer(vec[at:end], data[at:end], ids[0], x)
         yield from best.batches()
 
-    found = (
-        members.union(queries).repartition("key", "block").sortWithinPartitions("key", "block", "query")
-        .mapInArrow(search, "query_id long, vec_id long, score double")
-    )
-    best = F.slice(F.sort_array(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
-    return found.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best").alias("p", "b")).select(
+    def top(found: DataFrame) -> DataFrame:
+        best = F.slice(F.sort_array(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
+        return found.groupBy("query_id").agg(best.alias("best"))
+
+    asking = base.where(is_query)
+    whole, whole_queries = base.select("vec_id", "embedding", everything), asking.select("vec_id", "embedding", everything)
+    if few:
+        best = top(met(whole, whole_queries))
+    else:
+        members = hashed(base.where(hashes), query=False).union(whole.where(~hashes))
+        best = top(met(members, hashed(asking, query=True).union(whole_queries)))
+    return best.select("query_id", F.posexplode("best").alias("p", "b")).select(
         "query_id", (F.col("p") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score")
     )
 
