@@ -135,6 +135,20 @@ def test_neighbours_of_lengths_that_differ(spark, scale):
     assert sum(len(got[q] & set(np.argsort(-scores[q])[:20].tolist())) for q in got) >= 0.95 * 20 * len(got)
 
 
+@pytest.mark.parametrize("few", [cross_polytope.FEW, 0])
+@pytest.mark.parametrize("n", [10, 20, 25])
+def test_no_query_loses_rows_of_a_small_table(spark, monkeypatch, n, few):
+    """With ``few`` 0 the vectors are hashed, and the queries that found too few are asked again."""
+    monkeypatch.setattr(cross_polytope, "FEW", few)
+    monkeypatch.setattr(cross_polytope, "BLOCK", 7)
+    x = np.random.default_rng(n).standard_normal((n, 64))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    got = cross_polytope.op4_cross_polytope(spark, frame(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])).collect()
+    for q in range(0, n, 20):
+        assert sorted(r["rank"] for r in got if r["query_id"] == q) == list(range(1, min(20, n - 1) + 1))
+        assert len({r["vec_id"] for r in got if r["query_id"] == q} - {q}) == min(20, n - 1)
+
+
 def test_empty_tables(spark):
     assert itq.op3_itq_near_copies(spark, frame(spark, [])).count() == 0
     assert cross_polytope.op4_cross_polytope(spark, frame(spark, [])).count() == 0

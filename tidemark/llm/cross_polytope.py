@@ -10,7 +10,8 @@ them, so nothing is capped.
 
 Directions are hashed, as a bucket can tell angles only. A long vector reaches a large inner
 product at a wide angle, so vectors longer than LONGER times the median take no hash: every
-query meets them all, in blocks. So does it with the others while they are FEW.
+query meets them all, in blocks. So does it with the others while they are FEW. A query that
+found fewer than it should is compared with every vector.
 """
 
 from __future__ import annotations
@@ -113,8 +114,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
     """(query_id, rank, vec_id, score): for each vec_id divisible by ``every`` its ``k`` best others found.
 
     Null, zero and not finite vectors, those of an uncommon length and rows without vec_id
-    take no part. Rows that repeat a vec_id count once (the smallest vector stays). With
-    fewer than ``k`` others all found are returned.
+    take no part. Rows that repeat a vec_id count once (the smallest vector stays). Only if
+    there are fewer than ``k`` others does a query get fewer rows.
     """
     spark = vectors.sparkSession
     base = vectors.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & usable("embedding"))
@@ -122,7 +123,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
     width = common_length(base)
     base = base.where(F.size("embedding") == width)
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    median = base.agg(F.percentile_approx(length, 0.5)).first()[0]
+    total, median = base.agg(F.count("*"), F.percentile_approx(length, 0.5)).first()
     hashes = length <= F.lit(LONGER * (median or 0.0))
     few = base.where(hashes).limit(FEW + 1).count() <= FEW
     turn = Rotations(max(width, 1), tables)
@@ -188,7 +189,11 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
         best = top(met(whole, whole_queries))
     else:
         members = hashed(base.where(hashes), query=False).union(whole.where(~hashes))
-        best = top(met(members, hashed(asking, query=True).union(whole_queries)))
+        best = stored(top(met(members, hashed(asking, query=True).union(whole_queries))), "search-best")
+        enough = best.where(F.size("best") >= min(k, total - 1))
+        short = stored(whole_queries.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti"), "search-short")
+        if not short.isEmpty():
+            best = enough.union(top(met(whole, short)))
     return best.select("query_id", F.posexplode("best").alias("p", "b")).select(
         "query_id", (F.col("p") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score")
     )
