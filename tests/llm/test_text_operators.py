@@ -244,6 +244,12 @@ def test_model_without_languages(spark, edge, nothing):
     assert language.keep_identified(edge, blank).count() == edge.count()
 
 
+def test_rare_languages_are_in_the_sample(spark):
+    rare = [(1000 + i, f"{w} {w}", w[:2]) for i, w in enumerate(("zuvo", "kyme", "xape", "qiro", "jadu"))]
+    docs = documents(spark, [(i, f"the house and the river {'abcdefgh'[i % 8]}{'ijklmnop'[i // 8 % 8]}", "en") for i in range(400)] + rare)
+    assert language.fit_trigrams(docs, sample=20).languages == sorted(["en", *(k for _, _, k in rare)])
+
+
 def test_held_out_languages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     right = language.detect(docs, language.fit_trigrams(docs.where("doc_id % 2 = 0"))).where("doc_id % 2 = 1")

@@ -24,13 +24,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ship_package, small, stored
 from tidemark.llm.url_lists import url_host
 
-#: Documents the trigram model is fitted on at most; slots of a trigram's hash; pseudo-counts.
+#: Documents of each language the trigram model is fitted on at most; slots of a trigram's hash; pseudo-counts.
 SAMPLE, SLOTS, SMOOTHING = 5_000, 1 << 14, 0.5
 #: Share of a trigram's evidence that counts; trust in the markup; pages a parent level weighs.
 TEMPER, TRUST, STRENGTH = 0.25, 0.9, 10.0
@@ -85,7 +85,7 @@ def softmax(score: np.ndarray) -> np.ndarray:
 
 
 def fit_trigrams(documents: DataFrame, sample: int = SAMPLE) -> TrigramModel:
-    """Fit on at most ``sample`` labelled documents (text, lang), picked by a hash of their id.
+    """Fit on at most ``sample`` labelled documents (text, lang) of each language, picked by a hash.
 
     Counting runs where the documents are; the driver gets one row per language. Documents
     without language or text teach nothing; without any, the model knows no language. What is
@@ -93,7 +93,15 @@ def fit_trigrams(documents: DataFrame, sample: int = SAMPLE) -> TrigramModel:
     """
     ship_package(documents.sparkSession)
     some = documents.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    picked = some.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # Of a language with many documents twice the sample goes on, so that no task ranks more.
+    large = some.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") > 2 * sample).collect()
+    spread = F.pmod(F.col("hash"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    some = some.withColumn("hash", F.xxhash64("doc_id", "text"))
+    if large:
+        share = F.create_map(*[F.lit(x) for r in large for x in (r["lang"], 2.0 * sample / r["n"])])[F.col("lang")]
+        some = some.where(spread <= F.coalesce(share, F.lit(1.0)))
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id", "text")
+    picked = some.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[str, int], np.ndarray] = {}
@@ -105,8 +113,8 @@ def fit_trigrams(documents: DataFrame, sample: int = SAMPLE) -> TrigramModel:
             at = np.flatnonzero(held)
             yield pa.record_batch({"lang": pa.array([language] * len(at)), "slot": pa.array(half * SLOTS + at, pa.int64()), "n": pa.array(held[at], pa.int64())})
 
-    half = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int")
-    taught = stored(some.join(picked.distinct(), "doc_id", "left_semi").select("lang", half.alias("half"), "text"), "language-sample")
+    half = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(2)).cast("int")  # copies of a text stay together
+    taught = stored(picked.select("lang", half.alias("half"), "text"), "language-sample")
     counted = taught.mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     rows = counted.groupBy("lang").agg(F.collect_list(F.struct("slot", "n")).alias("c")).orderBy("lang").collect()
     table = np.zeros((len(rows), 2 * SLOTS))
