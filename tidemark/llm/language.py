@@ -70,7 +70,9 @@ class TrigramModel:
     def fits(self, score: np.ndarray, trigrams: int) -> np.ndarray:
         """Whether a text of so many trigrams and this ``log_likelihood`` reads like texts of each language."""
         median, between, within = self.usual.T
-        return score / TEMPER / trigrams >= median - SLACK * np.sqrt(between + within / trigrams)
+        # Halfway to even slots at least, so that long texts with foreign passages stay.
+        floor = np.minimum(median - SLACK * np.sqrt(between + within / trigrams), (median - math.log(SLOTS)) / 2)
+        return score / TEMPER / trigrams >= floor
 
     def posterior(self, text: str, log_prior: np.ndarray | None = None) -> np.ndarray | None:
         score = self.log_likelihood(text)
