@@ -29,9 +29,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF
-
-
-def rows(df, *columns):
-    """The rows as a sorted list of tuples, NULLs included."""
-    picked = df.select(*columns) if columns else df.select(*sorted(df.columns))
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

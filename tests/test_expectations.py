@@ -1,6 +1,6 @@
 import json
 
-from conftest import rows
+from helpers import rows
 from tidemark.operators import expectations as E
 from tidemark.schemas import AGG_ORDERS_DAILY, FACT_ORDERS, SILVER_CUSTOMERS
 from tidemark.sources.reports import exit_code, quarantine, write_report

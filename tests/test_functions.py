@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tidemark.functions.envelope import parse_envelope
 from tidemark.functions.rules import customer_rule, order_rule, split_valid
 from tidemark.functions.scalars import event_date, try_bigint

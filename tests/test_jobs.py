@@ -1,7 +1,7 @@
 import pytest
 from pyspark.errors import PySparkException
 
-from conftest import rows
+from helpers import rows
 from test_streaming import event, put
 from tidemark import __main__ as cli
 from tidemark.operators.merge import Delete, Insert, Update

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tidemark.operators.changefeed import change_history, deltas, merge_deltas
 from tidemark.operators.dedupe import delete_wins_order, latest_per_key, stream_order
 from tidemark.operators.dml import insert_rows, update_changes, update_where

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tidemark.operators.reconcile import daily_counts, reconcile
 from tidemark.schemas import AGG_ORDERS_DAILY, FACT_ORDERS
 from tidemark.sources import files

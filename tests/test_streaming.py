@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from helpers import rows
 from tidemark.functions.rules import customer_rule, order_rule, split_valid
 from tidemark.operators.reconcile import daily_counts, reconcile
 from tidemark.operators.scd2 import scd2_history
