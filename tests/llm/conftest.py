@@ -1,5 +1,5 @@
 import pytest
-from cases import EDGE, documents
+from llm_cases import EDGE, documents
 
 
 @pytest.fixture(scope="session")

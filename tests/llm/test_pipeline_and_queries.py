@@ -3,7 +3,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
-from cases import SCHEMA, documents, prose
+from llm_cases import SCHEMA, documents, prose
 
 import __spark_entry__ as entry
 import corpus_pipeline

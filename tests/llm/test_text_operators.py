@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import pytest
-from cases import EDGE, documents, prose
+from llm_cases import EDGE, documents, prose
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, ngram_join, toxicity, url_lists

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import sentencepiece
-from cases import EDGE, prose
+from llm_cases import EDGE, prose
 from tokenizers import Tokenizer
 
 from tidemark.llm import packing, pieces, prefix_counts, token_store
