@@ -57,6 +57,39 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The intermediate tables of one job: below one folder that all executors reach, deleted with it.
+
+    What a job returns has to be ``stored`` outside before the folder goes.
+    """
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.root, self.count = spark, shared_path(spark, purpose), 0
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.delete(self.root)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` written once and read again."""
+        self.count += 1
+        path = f"{self.root}/{self.count}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self, *tables: DataFrame) -> None:
+        """Deletes kept tables nothing reads any more, and lets Spark drop the shuffle files of finished jobs."""
+        for path in {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()}:
+            self.delete(path)
+        self.spark.sparkContext._jvm.System.gc()
+
+    def delete(self, folder: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(batch: pa.RecordBatch, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` in pieces of about ``limit`` bytes, so that what is made of its texts stays small."""
     rows = max(1, min(batch.num_rows, batch.num_rows * limit // max(1, batch.get_total_buffer_size())))

@@ -10,10 +10,13 @@ from tidemark.llm.common import table
 from tidemark.llm.cross_polytope import op4_cross_polytope
 from tidemark.llm.itq import op3_itq_near_copies
 from tidemark.llm.language import op7_language_fusion
+from tidemark.llm.merkle import OP11_SQL, op11_merkle
 from tidemark.llm.ngram_join import op9_ngram_join
 from tidemark.llm.packing import op10_packing
 from tidemark.llm.pieces import op2_pieces
 from tidemark.llm.prefix_counts import op8_token_counts
+from tidemark.llm.ranked_search import OP13_SQL, op13_search
+from tidemark.llm.repeats import OP12_SQL, op12_repeats
 from tidemark.llm.toxicity import op6_toxicity
 from tidemark.llm.token_store import op1_token_store
 from tidemark.llm.url_lists import OP5_SQL, op5_url_lists
@@ -66,6 +69,18 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_packing(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_merkle(spark, table(spark, sf_dir, "documents"))
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_repeats(spark, table(spark, sf_dir, "documents"))
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": _op1,
     "op2_pieces": _op2,
@@ -77,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": _op8,
     "op9_ngram_join": _op9,
     "op10_packing": _op10,
+    "op11_merkle": _op11,
+    "op12_repeats": _op12,
+    "op13_search": _op13,
 }
 
-ORACLE: dict[str, str] = {"op5_url_lists": OP5_SQL}
+ORACLE: dict[str, str] = {"op5_url_lists": OP5_SQL, "op11_merkle": OP11_SQL, "op12_repeats": OP12_SQL, "op13_search": OP13_SQL}
