@@ -341,6 +341,8 @@ ORACLE: dict[str, str] = {
     "dim_customers_scd2_merge": f"WITH {CDC}, {DIM} SELECT {DIM_COLUMNS} FROM dim",
     "dim_customers_every_change": f"""WITH {CDC}, dim_b AS (SELECT * FROM valid),
         {_turns('dim', 'kafka_offset')} SELECT {DIM_COLUMNS} FROM dim""",
+    "dim_customers_late": f"""WITH {CDC}, dim_b AS (SELECT * FROM valid),
+        {_turns('dim', "ts_ms, CASE WHEN op = 'd' THEN 1 ELSE 0 END, kafka_partition, kafka_offset")} SELECT {DIM_COLUMNS} FROM dim""",
     "dim_current": f"WITH {CDC}, {DIM} SELECT {DIM_COLUMNS} FROM dim WHERE is_current",
     "change_feed": f"""WITH {CDC_O}, {FEED} SELECT {FACT_COLUMNS}, _change_type, _commit_version FROM feed""",
     "change_feed_merge": f"""WITH {CDC}, {CDC_O}, {FEED} SELECT {FACT_COLUMNS}, _change_type FROM feed
@@ -441,7 +443,8 @@ for streamed, same in {
     "quarantine_stream": "quarantine_customers", "mart_by_name": "mart_daily_orders",
     "bronze_ingest": "bronze_projection", "silver_customers_stream": "silver_customers",
     "fact_orders_stream": "fact_orders", "agg_orders_daily_stream": "agg_orders_daily",
-    "agg_orders_daily_native": "agg_orders_daily",
+    "agg_orders_daily_native": "agg_orders_daily", "agg_orders_daily_snapshot": "agg_orders_daily",
+    "customer_history_stream": "dim_customers_late",
 }.items():
     ORACLE[streamed] = ORACLE[same]
 ORACLE["dim_customers_stream"] = f"WITH {SLICED} SELECT {DIM_COLUMNS} FROM dim"

@@ -1,14 +1,9 @@
 import pytest
-from pyspark.errors import PySparkException
 
 from helpers import rows
 from test_streaming import event, put
 from tidemark import __main__ as cli
-from tidemark.operators.merge import Delete, Insert, Update
-from tidemark.operators.native_merge import merge_into, merge_statement
-from tidemark.schemas import AGG_ORDERS_DAILY
 from tidemark.sources.bronze import CdcSource, read_cdc_stream
-from tidemark.sources.catalog import create_table
 from tidemark.streaming.jobs import Lakehouse
 
 
@@ -21,7 +16,7 @@ def test_command_line(spark, tmp_path, capsys):
 
     assert run("validate", "--name", "silver_customers") == 2
     assert run("bronze", "--landing", f"{root}/landing", "--once") == 0
-    assert run("silver", "--once") == 0 and run("dim", "--once") == 0 and run("fact", "--once") == 0
+    assert run("silver", "--once") == 0 and run("dim", "--once") == 0 and run("history", "--once") == 0 and run("fact", "--once") == 0
     assert run("validate", "--name", "silver_customers") == 0
     house = Lakehouse(spark, root, buckets=2)
     assert rows(house.silver.read(), "customer_id") == [("a",), ("b",)]
@@ -49,24 +44,3 @@ def test_topics_by_name_and_by_prefix(spark, tmp_path):
         assert sum(seen) == expected
     with pytest.raises(ValueError):
         read_cdc_stream(spark, CdcSource("socket"))
-
-
-def test_merge_statement(spark, tmp_path):
-    clauses = dict(
-        matched=[Delete(when="s.op = 'd'"), Update({"order_cnt": "t.order_cnt + s.n"})],
-        not_matched=[Insert({"event_date": "s.event_date", "order_cnt": "s.n"})],
-    )
-    assert merge_statement("agg", ["event_date"], null_safe=True, **clauses) == (
-        "MERGE INTO agg AS t USING {source} AS s\n"
-        "ON t.`event_date` <=> s.`event_date`\n"
-        "WHEN MATCHED AND (s.op = 'd') THEN DELETE\n"
-        "WHEN MATCHED AND (true) THEN UPDATE SET t.`order_cnt` = t.order_cnt + s.n\n"
-        "WHEN NOT MATCHED AND (true) THEN INSERT (`event_date`, `order_cnt`) VALUES (s.event_date, s.n)"
-    )
-    assert "UPDATE SET *" in merge_statement("x", ["k"], [Update()], [Insert()])
-    # The statement parses and binds; only the plain Parquet table cannot do it.
-    create_table(spark, "agg_plain", AGG_ORDERS_DAILY, str(tmp_path / "agg"))
-    source = spark.sql("SELECT DATE '2025-01-01' AS event_date, 'u' AS op, 1L AS n")
-    with pytest.raises(PySparkException, match="MERGE INTO"):
-        merge_into("agg_plain", source, ["event_date"], **clauses)
-    spark.sql("DROP TABLE agg_plain")

@@ -11,10 +11,10 @@ from tidemark.operators.merge import Delete, Insert, MergeConflict, Update, appl
 from tidemark.operators.neighbours import with_neighbours
 from tidemark.operators.reconcile import daily_counts, reconcile
 from tidemark.operators.scd2 import (
-    close_set, close_versions, compare_with_current, open_versions, scd2_batch, scd2_history,
+    close_set, close_versions, compare_with_current, history_merge, open_versions, scd2_batch, scd2_history,
 )
 from tidemark.plans import marts, tables
-from tidemark.schemas import AGG_ORDERS_DAILY, DIM_CUSTOMERS, FACT_ORDERS, ORDERS_ENRICHED
+from tidemark.schemas import AGG_ORDERS_DAILY, DIM_CUSTOMERS, FACT_ORDERS, HISTORY_STATE, ORDERS_ENRICHED
 
 EVENT = """op string, ts_ms bigint, customer_id string, customer_unique_id string, customer_city string,
     customer_state string, kafka_partition int, kafka_offset bigint, batch_no bigint"""
@@ -366,3 +366,81 @@ def test_two_current_versions_of_a_key_raise(spark):
     )
     with pytest.raises(Exception, match="several current versions"):
         scd2_batch(dim, batch).collect()
+
+
+# --- history that takes late events ------------------------------------------------------
+
+def mixed_events(seed, keys, many):
+    rng = random.Random(seed)
+    rows_ = []
+    for offset in range(many):
+        kind = rng.choice("cuuud")
+        city = None if kind == "d" else rng.choice(("x", "y", None, ""))
+        ts = None if rng.random() < 0.02 else rng.randrange(30) << 30
+        rows_.append((kind, ts, f"k{rng.randrange(keys)}", None if kind == "d" else "u", city, None if kind == "d" else "SP", rng.choice((0, 1, None)), offset))
+    return rows_
+
+
+EVENTS = "op string, ts_ms bigint, customer_id string, customer_unique_id string, customer_city string, customer_state string, kafka_partition int, kafka_offset bigint"
+
+
+def plain_history(events):
+    """Versions per key over the events in order, one after another."""
+    out = []
+    for key in {e[2] for e in events}:
+        mine = sorted((e for e in events if e[2] == key), key=lambda e: (e[1] is not None, e[1] or 0, e[0] == "d", -1 if e[6] is None else e[6], e[7]))
+        live, started = None, None
+        for e in mine:
+            attrs = tuple(a or "" for a in e[3:6])
+            if e[0] == "d" and live is not None:
+                out.append((key, *live[1], started, e[1], False))
+                live = None
+            elif e[0] != "d" and (live is None or live[0] != attrs):
+                if live is not None:
+                    out.append((key, *live[1], started, e[1], False))
+                live, started = (attrs, e[3:6]), e[1]
+        if live is not None:
+            out.append((key, *live[1], started, None, True))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_history_does_not_depend_on_how_events_come(spark, seed):
+    """Batches in any order, some events twice: the versions of all events in event order."""
+    events = mixed_events(seed, 6, 150)
+    rng = random.Random(seed + 100)
+    mixed = events if seed == 0 else rng.sample(events, len(events))
+    cuts = [mixed[:70], mixed[70:80], mixed[60:75], mixed[80:]]
+    state = spark.createDataFrame([], HISTORY_STATE)
+    for cut in cuts:
+        state = history_merge(state, spark.createDataFrame(cut, EVENTS), slice_ms=rng.choice((1 << 30, 1 << 32, None)))
+        state = spark.createDataFrame(state.collect(), HISTORY_STATE)
+    assert state.count() == len(events)
+    assert rows(state.where("_opens"), *DIM_CUSTOMERS.fieldNames()) == plain_history(events)
+
+
+def test_a_late_event_cuts_a_version_and_drops_a_boundary(spark):
+    def step(state, *events):
+        batch = spark.createDataFrame([(op, ts, "a", "u", city, "SP", 0, n) for n, (op, ts, city) in enumerate(events)], EVENTS)
+        return history_merge(state, batch)
+
+    def seen(state):
+        return rows(state.where("_opens"), "customer_city", "effective_start_ts_ms", "effective_end_ts_ms")
+
+    state = step(spark.createDataFrame([], HISTORY_STATE), ("c", 10, "x"), ("u", 30, "y"))
+    assert seen(state) == [("x", 10, 30), ("y", 30, None)]
+    state = step(state, ("u", 20, "y"))
+    assert seen(state) == [("x", 10, 20), ("y", 20, None)]
+    state = step(state, ("d", 25, None))  # the boundary at 30 comes back
+    assert seen(state) == [("x", 10, 20), ("y", 20, 25), ("y", 30, None)]
+
+
+def test_events_in_order_leave_closed_versions_alone(spark):
+    """A long history is not sorted again: only the current version meets the batch."""
+    old = [("u", t, "a", "u", f"c{t}", "SP", 0, t) for t in range(200)]
+    state = history_merge(spark.createDataFrame([], HISTORY_STATE), spark.createDataFrame(old, EVENTS))
+    state = spark.createDataFrame(state.collect(), HISTORY_STATE)
+    plan = history_merge(state, spark.createDataFrame([("u", 500, "a", "u", "new", "SP", 0, 500)], EVENTS))
+    assert plan.where("_opens").count() == 201
+    kept = state.where("NOT is_current").drop("_partition", "_offset").exceptAll(plan.drop("_partition", "_offset"))
+    assert kept.isEmpty()

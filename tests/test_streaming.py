@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from helpers import rows
 from tidemark.functions.rules import customer_rule, order_rule, split_valid
 from tidemark.operators.reconcile import daily_counts, reconcile
-from tidemark.operators.scd2 import scd2_history
+from tidemark.operators.scd2 import history_state, scd2_history
 from tidemark.plans import tables
 from tidemark.schemas import CUSTOMERS, KAFKA, ORDERS
 from tidemark.sources import replay
@@ -34,7 +34,7 @@ def run(query):
 
 def run_all(house, source, start="snapshot"):
     run(house.start_bronze(source, once=True))
-    for job in (house.start_silver, house.start_dim, house.start_fact):
+    for job in (house.start_silver, house.start_dim, house.start_history, house.start_fact):
         run(job(once=True, maxFilesPerTrigger="1"))
     run(house.start_agg(once=True, start=start, maxFilesPerTrigger="1"))
 
@@ -82,12 +82,19 @@ def test_dim_equals_set_wise(spark, sf_dir, house):
     assert rows(house.dim.read()) == rows(scd2_history(batched, "batch_no"))
 
 
+def test_history_equals_every_event_in_order(spark, sf_dir, house):
+    (valid, _), _ = expected(spark, sf_dir)
+    fresh = valid.withColumns({"_partition": F.col("kafka_partition"), "_offset": F.col("kafka_offset")})
+    want = history_state(fresh, slice_ms=None).where("_opens").select(house.history.read().columns)
+    assert rows(house.history.read()) == rows(want)
+
+
 def test_fact_and_changes_equal_set_wise(spark, sf_dir, house):
     _, (valid, _) = expected(spark, sf_dir)
     assert rows(house.fact.read()) == rows(tables.fact_state(valid))
     history = tables.fact_changes(valid.withColumn("batch_no", replay.batch_no()), "batch_no")
-    # Versions count published batches, batch numbers the fixture's; both start at 0 here.
-    assert rows(house.fact.read_changes()) == rows(history)
+    # Commits count written batches, batch numbers the fixture's; both start at 0 here.
+    assert rows(house.fact.log.read()) == rows(history)
 
 
 def test_counts_reconcile(spark, house):
@@ -96,17 +103,21 @@ def test_counts_reconcile(spark, house):
 
 
 def test_restart_without_news_changes_nothing(house):
-    before = [t.last_version() for t in (house.silver, house.dim, house.fact, house.agg)]
-    for job in (house.start_silver, house.start_dim, house.start_fact, house.start_agg):
+    def seen():
+        every = (house.silver, house.dim, house.history, house.fact, house.agg)
+        return [rows(t.everything()) for t in every], [sorted(t.everything().inputFiles()) for t in every]
+
+    before = seen()
+    for job in (house.start_silver, house.start_dim, house.start_history, house.start_fact, house.start_agg):
         run(job(once=True))
-    assert before == [t.last_version() for t in (house.silver, house.dim, house.fact, house.agg)]
+    assert before == seen()
 
 
 def test_lost_commit_is_replayed_as_a_no_op(spark, house):
     """The stream forgets its last commits (crash after publishing): same tables."""
     import os
 
-    before = rows(house.agg.read()), rows(house.fact.read_changes())
+    before = rows(house.agg.read()), rows(house.fact.log.read())
     for job, start in (("fact_orders", house.start_fact), ("agg_orders_daily", house.start_agg)):
         commits = f"{house.root}/checkpoints/{job}/commits"
         last = max(int(n) for n in os.listdir(commits) if n.isdigit())
@@ -115,7 +126,7 @@ def test_lost_commit_is_replayed_as_a_no_op(spark, house):
         if os.path.exists(crc):
             os.remove(crc)
         run(start(once=True))
-    assert before == (rows(house.agg.read()), rows(house.fact.read_changes()))
+    assert before == (rows(house.agg.read()), rows(house.fact.log.read()))
 
 
 def test_native_counts_equal(spark, house):
@@ -134,7 +145,7 @@ def test_native_counts_equal(spark, house):
 def test_marts_and_enriched(spark, house):
     house.build_mart("mart_daily_orders")
     house.build_mart("mart_orders_by_state", register_as="by_state")
-    daily, by_state = house.mart("mart_daily_orders").read(), house.mart("mart_orders_by_state").read()
+    daily, by_state = house.mart("mart_daily_orders"), house.mart("mart_orders_by_state")
     total = house.fact.read().count()
     assert daily.agg(F.sum("order_count")).first()[0] == total
     assert by_state.agg(F.sum("orders_cnt")).first()[0] == total
@@ -160,7 +171,7 @@ def test_seeded_counts_take_only_later_changes(spark, sf_dir, tmp_path):
     run(house.start_bronze(source, once=True))
     run(house.start_fact(once=True))
     run(house.start_agg(once=True, start="next"))
-    assert house.fact.last_version() == 1
+    assert house.fact.log.last_commit() == 1
     assert reconcile(house.fact.read(), house.agg.read()).isEmpty()
 
 
@@ -239,7 +250,7 @@ def test_no_cut_into_batches_changes_silver_and_fact(spark, sf_dir, tmp_path, fi
     assert rows(house.silver.read()) == rows(tables.silver_state(customers))
     assert rows(house.fact.read()) == rows(tables.fact_state(orders))
     assert rows(daily_counts(house.fact.read())) == rows(
-        house.fact.read_changes().groupBy("event_date", "order_status").agg(
+        house.fact.log.read().groupBy("event_date", "order_status").agg(
             F.sum(F.expr("CASE WHEN _change_type IN ('insert', 'update_postimage') THEN 1 ELSE -1 END")).alias("order_cnt"),
         ).where("order_cnt <> 0"),
     )

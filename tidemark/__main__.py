@@ -1,7 +1,7 @@
 """Run one job of a lakehouse folder.
 
     python -m tidemark bronze    --root /lake --servers broker:9092 --prefix shop
-    python -m tidemark silver    --root /lake            (dim, fact, agg likewise)
+    python -m tidemark silver    --root /lake            (dim, history, fact, agg likewise)
     python -m tidemark agg       --root /lake --start next
     python -m tidemark mart      --root /lake --name mart_daily_orders
     python -m tidemark enriched  --root /lake
@@ -24,7 +24,7 @@ from tidemark.operators.reconcile import daily_counts, reconcile
 from tidemark.session import build_session
 from tidemark.sources.bronze import CdcSource
 from tidemark.sources.reports import exit_code, write_report
-from tidemark.sources.snapshots import TableMissing
+from tidemark.sources.state import TableMissing
 from tidemark.streaming.jobs import Lakehouse
 
 SUITES = {
@@ -46,7 +46,7 @@ def attend(query: StreamingQuery) -> int:
 def validate(house: Lakehouse, name: str) -> int:
     attribute, suite = SUITES[name]
     table = getattr(house, attribute)
-    if table.last_version() is None:
+    if not table.exists():
         raise TableMissing(table.root)
     success, folder = write_report(suite(), table.read(), f"{house.root}/quality")
     print(f"{name}: {'passed' if success else 'failed'}, report in {folder}")
@@ -65,7 +65,7 @@ def show_reconciliation(house: Lakehouse) -> int:
 def parse(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser("tidemark")
     parser.add_argument("job", choices=(
-        "bronze", "silver", "dim", "fact", "agg", "seed", "mart", "enriched", "reconcile", "validate",
+        "bronze", "silver", "dim", "history", "fact", "agg", "seed", "mart", "enriched", "reconcile", "validate",
     ))
     parser.add_argument("--root", required=True, help="absolute folder of the lakehouse")
     parser.add_argument("--prefix", default="shop", help="first part of the topic names")
@@ -92,7 +92,7 @@ def main(argv: list[str] | None = None) -> int:
         source = CdcSource("kafka", args.prefix, servers=args.servers, options=paced) if args.servers else CdcSource(
             "files", args.prefix, path=args.landing)
         return attend(house.start_bronze(source, args.once))
-    if args.job in ("silver", "dim", "fact"):
+    if args.job in ("silver", "dim", "history", "fact"):
         return attend(getattr(house, f"start_{args.job}")(args.once))
     if args.job == "agg":
         return attend(house.start_agg(args.once, args.start))

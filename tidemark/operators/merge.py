@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,10 @@ class Merged:
     joined: DataFrame
     columns: tuple[str, ...]
 
+    def persist(self) -> Merged:
+        """Join once for rows and changes; ``joined.unpersist()`` when both are written."""
+        return replace(self, joined=self.joined.persist(StorageLevel.MEMORY_AND_DISK))
+
     def rows(self) -> DataFrame:
         """The target after the merge."""
         kept = self.joined.where(F.col("_act").isin("keep", "update", "insert"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = 1 << 20
@@ -13,60 +13,74 @@ SLICE = 1 << 20
 def with_neighbours(
     df: DataFrame,
     keys: Sequence[str],
-    order: str,
+    order: str | Sequence[Column],
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
     slice_width: int | None = SLICE,
+    among: Column | None = None,
+    axis: Column | None = None,
 ) -> DataFrame:
-    """Add columns of the previous / following row by the integer column ``order``.
+    """Add columns of the previous / following row by ``order``, unique per key.
 
-    ``previous`` and ``following`` map a new column name to a source column; the
-    order must be unique per key and never NULL. The order axis is cut into slices and each (key,
-    slice) is handled on its own, so at most ``slice_width`` rows of a key share a
-    task however large the key is. Only the first and last row of a slice then look
-    across: only those edges, two per slice, go through a second shuffle and window. ``None`` is one
-    plain window per key and one shuffle less: for keys known to have few rows.
+    ``previous`` and ``following`` map a new column name to a source column. With ``among``
+    (over the columns of ``df`` and the previous ones) the following row is the next one that
+    meets it, and ``_among`` says which rows do. Keys are never NULL.
+
+    The integer ``axis`` (default: ``order``, an integer column then) is cut into slices of
+    ``slice_width``, and a task holds a slice of a key at most, however large the key is. One
+    shuffle by (key, slice) serves both readings of the rows: an aggregate sums a slice up
+    (its first and last row, and its first row inside that meets ``among``), a window over
+    those summaries tells each slice what lies before and after it, and the rows look across
+    by one join on (key, slice). ``None`` is one plain window per key.
     """
     previous, following = previous or {}, following or {}
+    by = [F.col(order)] if isinstance(order, str) else list(order)
+    back = F.struct(*[F.col(src).alias(name) for name, src in previous.items()]) if previous else F.lit(None)
+    ahead = F.struct(*[F.col(src).alias(name) for name, src in following.items()]) if following else F.lit(None)
+    meets = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
 
-    def neighbours(window, direction, columns):
-        return direction(F.struct(*[F.col(src).alias(name) for name, src in columns.items()])).over(window)
+    def flat(frame: DataFrame, struct: str, names: dict[str, str]) -> DataFrame:
+        return frame.withColumns({name: F.col(f"{struct}.{name}") for name in names}) if names else frame
 
-    def flatten(frame):
-        out = [F.col(c) for c in df.columns]
-        out += [F.col(f"_prev.{name}").alias(name) for name in previous]
-        out += [F.col(f"_next.{name}").alias(name) for name in following]
-        return frame.select(*out)
+    def next_met(frame: DataFrame, value: str, window: str) -> Column:
+        # The next row with a value; reads each row once, unlike a frame that looks ahead.
+        return F.expr(f"lead(`{value}`) IGNORE NULLS OVER ({window})")
 
-    def add(frame, window, columns, target, direction):
-        return frame.withColumn(target, neighbours(window, direction, columns)) if columns else frame
+    def finish(frame: DataFrame) -> DataFrame:
+        shown = [F.col(c) for c in (*df.columns, *previous)] + [F.col(f"_next.{name}").alias(name) for name in following]
+        return frame.select(*shown, *([F.col("_among")] if among is not None else []))
 
+    quoted = ", ".join(f"`{k}`" for k in keys)
     if slice_width is None:
-        window = Window.partitionBy(*keys).orderBy(order)
-        frame = add(df, window, previous, "_prev", F.lag)
-        return flatten(add(frame, window, following, "_next", F.lead))
+        frame = df.withColumn("_rank", F.struct(*by)).withColumn("_prev", F.lag(back).over(Window.partitionBy(*keys).orderBy("_rank")))
+        frame = flat(frame, "_prev", previous).withColumn("_among", meets)
+        frame = frame.withColumn("_met", F.when(F.col("_among"), ahead))
+        return finish(frame.withColumn("_next", next_met(frame, "_met", f"PARTITION BY {quoted} ORDER BY `_rank`")))
+
+    position = F.col(order) if axis is None else axis
+    sliced = df.withColumn("_rank", F.struct(*by)).withColumn("_slice", F.call_function("div", position, F.lit(slice_width).cast("bigint")))
+    inside = Window.partitionBy(*keys, "_slice").orderBy("_rank")
+    # Named once, so that both readings are of the same shuffle.
+    frame = sliced.repartition(*keys, "_slice").withColumn("_prev", F.lag(back).over(inside))
+    frame = frame.withColumn("_head", F.row_number().over(inside) == 1)
+    frame = flat(frame, "_prev", previous).withColumn("_met", F.when(~F.col("_head") & meets, ahead))
+
+    row = F.struct(*[F.col(c) for c in df.columns])
+    summary = frame.groupBy(*keys, "_slice").agg(
+        F.min_by(row, "_rank").alias("_first"), F.max_by(back, "_rank").alias("_last"),
+        F.min_by("_met", F.when(F.col("_met").isNotNull(), F.col("_rank"))).alias("_inner"),
+    )
+    slices = Window.partitionBy(*keys).orderBy("_slice")
+    summary = summary.withColumn("_before", F.lag("_last").over(slices))
+    first = summary.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_slice", "_before", "_inner", "_first")
+    first = flat(first.select("*", *[F.col(f"_first.{c}").alias(c) for c in df.columns]), "_before", previous)
+    first = first.withColumn("_onset", F.coalesce(F.when(meets, ahead), F.col("_inner")))
+    names = ", ".join(f"`_key{i}`" for i in range(len(keys)))
+    first = first.withColumn("_after", next_met(first, "_onset", f"PARTITION BY {names} ORDER BY `_slice`"))
+    first = first.select(*[F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)], "_slice", "_before", "_after")
 
-    frame = df.withColumn("_slice", F.expr(f"`{order}` div {slice_width}"))
-    window = Window.partitionBy(*keys, "_slice").orderBy(order)
-    frame = add(frame, window, previous, "_prev", F.lag)
-    frame = add(frame, window, following, "_next", F.lead)
-    edge = F.lit(False)
-    if previous:
-        edge = edge | F.col("_prev").isNull()
-    if following:
-        edge = edge | F.col("_next").isNull()
-    # Both ends of a slice must take part: the last row of one slice is what the
-    # first row of the next one looks back at.
-    if not (previous and following):
-        missing = F.lead if previous else F.lag
-        edge = edge | missing(F.lit(True)).over(window).isNull()
-    frame = frame.withColumn("_edge", edge)
-    inner, frame = frame.where("NOT _edge"), frame.where("_edge")
-    across = Window.partitionBy(*keys).orderBy(order)
-    for columns, target, direction in ((previous, "_prev", F.lag), (following, "_next", F.lead)):
-        if columns:
-            beyond = neighbours(across, direction, columns)
-            frame = frame.withColumn(
-                target + "2", F.when(F.col(target).isNull() & F.col("_edge"), beyond).otherwise(F.col(target)),
-            ).drop(target).withColumnRenamed(target + "2", target)
-    return flatten(inner).unionByName(flatten(frame))
+    within = f"PARTITION BY {quoted}, `_slice` ORDER BY `_rank`"
+    frame = frame.withColumn("_next_in", next_met(frame, "_met", within)).join(first, [*keys, "_slice"], "left")
+    frame = frame.withColumn("_prev", F.when(F.col("_head"), F.col("_before")).otherwise(F.col("_prev")))
+    frame = flat(frame, "_prev", previous).withColumn("_among", meets)
+    return finish(frame.withColumn("_next", F.coalesce("_next_in", "_after")))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import attrs_differ, is_delete, is_upsert
 from tidemark.operators.dedupe import delete_wins_order, latest_per_key
 from tidemark.operators.merge import Update, apply_merge
 from tidemark.operators.neighbours import SLICE, with_neighbours
-from tidemark.schemas import CUSTOMERS, CdcTableSpec
+from tidemark.schemas import CUSTOMERS, DELETE_OP, UPSERT_OPS, CdcTableSpec
 
 START, END, CURRENT = "effective_start_ts_ms", "effective_end_ts_ms", "is_current"
 
@@ -109,21 +111,85 @@ def scd2_history(
     else:
         raise ValueError(f"unknown collapse mode {collapse!r}")
     rows = rows.select(key, order, "op", "ts_ms", *spec.attrs)
-    beside = with_neighbours(
-        rows, [key], order, slice_width=slice_width,
-        previous={"_old_op": "op", **{f"_old_{a}": a for a in spec.attrs}},
+    return versions(rows, spec, order, slice_width)
+
+
+def versions(
+    rows: DataFrame, spec: CdcTableSpec, order: str | Sequence[Column], slice_width: int | None, axis: Column | None = None,
+) -> DataFrame:
+    """The versions that (key, op, ts_ms, attributes) in this order make, in one pass over the rows."""
+    key = spec.keys[0]
+    turns = with_neighbours(
+        rows, [key], order, slice_width=slice_width, among=boundary(spec), axis=axis,
+        previous={"_old_op": "op", **{f"_old_{a}": a for a in spec.attrs}}, following={"_next_ts": "ts_ms", "_next_op": "op"},
+    )
+    return turns.where(F.col("_among") & ~is_delete(F.col("op"))).select(
+        key, *spec.attrs, F.col("ts_ms").alias(START), F.col("_next_ts").alias(END), F.col("_next_op").isNull().alias(CURRENT),
     )
-    # A no-change upsert leaves equal attributes, so the previous row stands for
-    # the live version.
+
+
+def boundary(spec: CdcTableSpec) -> Column:
+    """Whether a row starts or ends a version, beside the previous row (``_old_op``, ``_old_<attribute>``).
+
+    A no-change upsert leaves equal attributes, so the previous row stands for the live version.
+    """
     lived = F.coalesce(~is_delete(F.col("_old_op")), F.lit(False))
     differs = attrs_differ([F.col(a) for a in spec.attrs], [F.col(f"_old_{a}") for a in spec.attrs])
-    boundary = F.when(is_delete(F.col("op")), lived).otherwise(~lived | differs)
-    turns = with_neighbours(
-        beside.where(boundary).select(*rows.columns), [key], order, slice_width=slice_width,
-        following={"_next_ts": "ts_ms", "_next_op": "op"},
+    return F.when(is_delete(F.col("op")), lived).otherwise(~lived | differs)
+
+
+# --- history that takes late events -----------------------------------------------
+
+#: A state row is an event; ``_opens`` says whether it starts a version readers see.
+OPENS = "_opens"
+_EARLIEST = -(1 << 63)
+#: Milliseconds of event time that one task takes of a key: fifty days.
+TIME_SLICE = 1 << 32
+
+
+def _event_order() -> list[Column]:
+    """Event time, deletes last among equal times, then arrival: ``delete_wins_order`` read forwards."""
+    return [F.col("ts_ms"), is_delete(F.col("op")).cast("int"), F.coalesce("_partition", F.lit(-1)), F.coalesce("_offset", F.lit(-1))]
+
+
+def history_state(events: DataFrame, spec: CdcTableSpec = CUSTOMERS, slice_ms: int | None = TIME_SLICE) -> DataFrame:
+    """Every event of (key, attributes, op, ts_ms, _partition, _offset) as a state row, in event order.
+
+    Repeated events count once. Events that change nothing are kept, unseen: an event that
+    comes in before one of them can make it a boundary.
+    """
+    key = spec.keys[0]
+    events = events.groupBy(key, "op", "ts_ms", "_partition", "_offset").agg(F.max(F.struct(*spec.attrs)).alias("_row"))
+    events = events.select(key, "op", "ts_ms", "_partition", "_offset", *[F.col(f"_row.{a}").alias(a) for a in spec.attrs])
+    rows = with_neighbours(
+        events, [key], _event_order(), slice_width=slice_ms, among=boundary(spec), axis=F.coalesce("ts_ms", F.lit(_EARLIEST)),
+        previous={"_old_op": "op", **{f"_old_{a}": a for a in spec.attrs}}, following={"_next_ts": "ts_ms", "_next_op": "op"},
     )
-    return turns.where(~is_delete(F.col("op"))).select(
-        key, *spec.attrs, F.col("ts_ms").alias(START), F.col("_next_ts").alias(END),
-        F.col("_next_op").isNull().alias(CURRENT),
+    opens = F.col("_among") & ~is_delete(F.col("op"))
+    return rows.select(
+        key, *spec.attrs, F.col("ts_ms").alias(START), F.when(opens, F.col("_next_ts")).alias(END), (opens & F.col("_next_op").isNull()).alias(CURRENT),
+        "_partition", "_offset", is_delete(F.col("op")).alias("_deleted"), opens.alias(OPENS),
     )
 
+
+def history_merge(state: DataFrame, batch: DataFrame, spec: CdcTableSpec = CUSTOMERS, slice_ms: int | None = TIME_SLICE) -> DataFrame:
+    """The state after a batch of valid events, whatever order batches come in.
+
+    A late event cuts the version it falls into; versions that come to start with no change
+    go, and ends move. Only what a key has from the version around its earliest new event on
+    is worked out again: events in order touch current versions only, however long a history is.
+    Any cut of a log into batches, in any order and with repeats, ends at ``history_state`` of the log.
+    """
+    key = spec.keys[0]
+    columns = [key, *spec.attrs, "op", "ts_ms", "_partition", "_offset"]
+    fresh = batch.withColumns({"_partition": F.col("kafka_partition").cast("int"), "_offset": F.col("kafka_offset").cast("bigint")}).select(*columns)
+    since = fresh.groupBy(key).agg(F.min(F.coalesce("ts_ms", F.lit(_EARLIEST))).alias("_since"))
+    at = lambda c: F.coalesce(F.col(c), F.lit(_EARLIEST))
+    # The version around the earliest new event, all that starts later, and unseen events from then on.
+    open_ = F.when(F.col(OPENS), F.col(CURRENT) | (at(END) >= F.col("_since"))).otherwise(at(START) >= F.col("_since"))
+    beside = state.join(since, key, "left").withColumn("_again", F.col("_since").isNotNull() & open_)
+    again = beside.where("_again").withColumns({"op": F.when(F.col("_deleted"), DELETE_OP).otherwise(UPSERT_OPS[1]), "ts_ms": F.col(START)})
+    # The kind of upsert plays no part in a history.
+    fresh = fresh.withColumn("op", F.when(is_delete(F.col("op")), F.col("op")).otherwise(UPSERT_OPS[1]))
+    redone = history_state(again.select(*columns).unionByName(fresh), spec, slice_ms)
+    return beside.where("NOT _again").select(*state.columns).unionByName(redone.select(*state.columns))

@@ -19,11 +19,13 @@ from tidemark.operators.expectations import (
 from tidemark.operators.neighbours import SLICE
 from tidemark.operators.reconcile import daily_counts, reconcile
 from tidemark.operators.scd2 import (
-    close_set, close_versions, compare_with_current, current_versions, open_versions,
-    scd2_batch, scd2_history,
+    OPENS, close_set, close_versions, compare_with_current, current_versions, history_merge,
+    open_versions, scd2_batch, scd2_history,
 )
 from tidemark.plans import marts, tables
-from tidemark.schemas import AGG_ORDERS_DAILY, CAPTURED, CUSTOMERS, FACT_STATE, ORDER_ITEMS, ORDERS, PRODUCTS, SILVER_STATE
+from tidemark.schemas import (
+    AGG_ORDERS_DAILY, CAPTURED, CUSTOMERS, DIM_CUSTOMERS, FACT_STATE, HISTORY_STATE, ORDER_ITEMS, ORDERS, PRODUCTS, SILVER_STATE,
+)
 from tidemark.session import shared_dir
 from tidemark.sources import replay
 
@@ -246,6 +248,16 @@ def dim_customers_every_change(spark, sf_dir):
     return scd2_history(_valid_customers(spark, sf_dir), "batch_no", collapse="none", slice_width=SLICE)
 
 
+def dim_customers_late(spark, sf_dir):
+    """Every change, with micro-batches in reverse: the newest first, then the later and the earlier half of all others."""
+    valid, last = _valid_customers(spark, sf_dir), _last_batch(spark, sf_dir)
+    half = F.expr("batch_no * 2") >= last
+    state = spark.createDataFrame([], HISTORY_STATE)
+    for part in (F.col("batch_no") == last, (F.col("batch_no") < last) & half, (F.col("batch_no") < last) & ~half):
+        state = _stored(spark, history_merge(state, valid.where(part)))
+    return state.where(OPENS).select(*DIM_CUSTOMERS.fieldNames())
+
+
 def dim_current(spark, sf_dir):
     return current_versions(_dim(spark, sf_dir))
 
@@ -466,7 +478,7 @@ BATCH_QUERIES: dict[str, Query] = {
         quarantine_orders, dedupe_stream_order, dedupe_delete_wins, dedupe_orders, silver_customers,
         silver_customers_merge, silver_customers_guarded, silver_customers_late, fact_orders, fact_orders_late, fact_orders_merge, scd2_changes,
         scd2_close, scd2_open, dim_customers_scd2, dim_customers_scd2_merge, dim_customers_every_change,
-        dim_current, change_feed, change_feed_merge, change_deltas, agg_orders_daily,
+        dim_customers_late, dim_current, change_feed, change_feed_merge, change_deltas, agg_orders_daily,
         agg_orders_daily_next, agg_orders_daily_seed, fact_daily_counts, reconcile_cdc,
         mart_daily_orders, mart_orders_by_state, orders_enriched, mart_daily_orders_bulk,
         mart_orders_by_state_bulk, orders_enriched_bulk, dml_insert, dml_update, table_row_counts,

@@ -41,12 +41,12 @@ def _ingest(house: Lakehouse, log: DataFrame) -> None:
     _finish(house.start_bronze(CdcSource("files", path=landing), once=True))
 
 
-def _slices(house: Lakehouse, sf_dir: str, spec: CdcTableSpec) -> Iterator[int]:
-    """Take the whole topic into bronze, in offset order, a slice at a time."""
+def _slices(house: Lakehouse, sf_dir: str, spec: CdcTableSpec, backwards: bool = False) -> Iterator[int]:
+    """Take the whole topic into bronze, in offset order or from its end, a slice at a time."""
     log = replay.kafka_log(house.spark, sf_dir, spec)
     last = replay.table(house.spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
     width = last // SLICES + 1
-    for n in range(SLICES):
+    for n in reversed(range(SLICES)) if backwards else range(SLICES):
         _ingest(house, log.where(F.expr(f"offset div {width} = {n}")))
         yield n
 
@@ -94,6 +94,14 @@ def dim_customers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return house.dim.read()
 
 
+def customer_history_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change by event time, the log landed from its end."""
+    house = _lakehouse(spark)
+    for _ in _slices(house, sf_dir, CUSTOMERS, backwards=True):
+        _finish(house.start_history(once=True))
+    return house.history.read()
+
+
 def fact_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     house = _lakehouse(spark)
     for _ in _slices(house, sf_dir, ORDERS):
@@ -109,6 +117,19 @@ def agg_orders_daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return house.agg.read().where("order_cnt <> 0")
 
 
+def agg_orders_daily_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts started late, when all but the newest change rows of the fact are gone."""
+    house = _lakehouse(spark)
+    for n in _slices(house, sf_dir, ORDERS):
+        _finish(house.start_fact(once=True))
+        if n == SLICES // 2:
+            for name in sorted(files.list_names(spark, house.fact.log.path))[:-1]:
+                files.delete(spark, f"{house.fact.log.path}/{name}")
+        if n >= SLICES // 2:
+            _finish(house.start_agg(once=True, start="snapshot"))
+    return house.agg.read().where("order_cnt <> 0")
+
+
 def agg_orders_daily_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts out of Spark's state store: the last total each group was given."""
     house, totals = _lakehouse(spark), shared_dir(spark, "totals")
@@ -128,7 +149,7 @@ def agg_orders_daily_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAM_QUERIES = {
     f.__name__: f for f in (
-        bronze_ingest, silver_customers_stream, quarantine_stream, mart_by_name, dim_customers_stream, fact_orders_stream,
-        agg_orders_daily_stream, agg_orders_daily_native,
+        bronze_ingest, silver_customers_stream, quarantine_stream, mart_by_name, dim_customers_stream, customer_history_stream, fact_orders_stream,
+        agg_orders_daily_stream, agg_orders_daily_snapshot, agg_orders_daily_native,
     )
 }

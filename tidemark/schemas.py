@@ -44,6 +44,7 @@ FACT_ORDERS = _struct(order_id=S, customer_id=S, order_status=S, event_ts_ms=L,
 POSITION = _struct(_partition=I, _offset=L, _deleted=B)
 SILVER_STATE = T.StructType(SILVER_CUSTOMERS.fields + POSITION.fields)
 FACT_STATE = T.StructType(FACT_ORDERS.fields + POSITION.fields)
+HISTORY_STATE = T.StructType(DIM_CUSTOMERS.fields + POSITION.fields + _struct(_opens=B).fields)
 FACT_CHANGES = T.StructType(FACT_ORDERS.fields + [T.StructField("_change_type", S, True)])
 AGG_ORDERS_DAILY = _struct(event_date=D, order_status=S, order_cnt=L)
 MART_DAILY_ORDERS = _struct(event_date=D, customer_state=S, order_status=S, order_count=L)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources import files
-from tidemark.sources.snapshots import TableMissing
+from tidemark.sources.state import TableMissing
 
 
 def load_or_fail(spark: SparkSession, path: str) -> DataFrame:
@@ -54,3 +57,43 @@ def register(
 def overwrite_partitioned(df: DataFrame, location: str, by: str) -> None:
     """Full refresh of a folder partitioned by ``by``; a heavy value gets several files."""
     df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(location)
+
+
+def overwrite_partitions(df: DataFrame, location: str, by: str) -> None:
+    """Full refresh of a folder partitioned by ``by``, one value after another.
+
+    Values that are still there are replaced, the folders of those that are not go afterwards:
+    readers of the folder, by path or by name, never find it empty in between.
+    """
+    spark = df.sparkSession
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    before = []
+    if files.list_names(spark, location):
+        # One row per value: a date, a country.
+        before = spark.read.schema(df.schema).parquet(location).select(by, folder.alias("folder")).distinct().collect()
+    seen = Observation()
+    df = df.observe(seen, F.collect_set(by).alias("values"), F.max(F.col(by).isNull()).alias("null"))
+    df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(location)
+    written = {*seen.get["values"], *([None] if seen.get["null"] else [])}
+    for row in before:
+        if row[by] not in written:
+            files.delete(spark, f"{location}/{row['folder']}")
+
+
+def synchronise(spark: SparkSession, names: Iterable[str]) -> None:
+    """Let the catalog find the partitions that came and went below the names' folders."""
+    for name in names:
+        if spark.catalog.tableExists(name):
+            refresh(spark, name)
+
+
+def list_tables(spark: SparkSession, pattern: str = "*") -> list[str]:
+    """Names in the current database that match a pattern such as ``mart_*``."""
+    return sorted(t.name for t in spark.catalog.listTables(pattern=pattern) if not t.isTemporary)
+
+
+def refresh(spark: SparkSession, name: str) -> None:
+    """Have a name's files, and partitions, listed anew."""
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)

@@ -1,9 +1,9 @@
 """The streaming jobs of a lakehouse folder.
 
-Each job is a thin shell: read a stream, hand every micro-batch to the batch
-operators, publish the result. Replays and restarts are safe for all of them, the
-additive daily counts included, because a table knows which micro-batch of which
-stream it holds.
+Each job is a thin shell: read a stream, hand every micro-batch to the batch operators,
+write the buckets it touched. Replays and restarts are safe for all of them: merges
+end at the same rows, change rows are there already, and the buckets of the additive
+daily counts know which micro-batch they hold.
 """
 
 from __future__ import annotations
@@ -21,25 +21,27 @@ from tidemark.functions.rules import customer_rule, order_rule, split_valid
 from tidemark.functions.scalars import change_sign
 from tidemark.operators.changefeed import GROUP, deltas, merge_deltas
 from tidemark.operators.reconcile import daily_counts
-from tidemark.operators.scd2 import scd2_batch
+from tidemark.operators.merge import Merged
+from tidemark.operators.scd2 import OPENS, history_merge, scd2_batch
 from tidemark.plans import marts, tables
 from tidemark.schemas import (
-    AGG_ORDERS_DAILY, BRONZE, DIM_CUSTOMERS, FACT_STATE, MART_DAILY_ORDERS, MART_ORDERS_BY_STATE,
-    ORDERS_ENRICHED, SILVER_STATE,
+    AGG_ORDERS_DAILY, BRONZE, DIM_CUSTOMERS, FACT_STATE, HISTORY_STATE, MART_DAILY_ORDERS, MART_ORDERS_BY_STATE,
+    ORDERS_ENRICHED, POSITION, SILVER_STATE,
 )
 from tidemark.sources import files
 from tidemark.sources.bronze import CdcSource, project_bronze, read_bronze, read_bronze_stream, read_cdc_stream
-from tidemark.sources.catalog import register
+from tidemark.sources.catalog import overwrite_partitions, register, synchronise
 from tidemark.sources.reports import quarantine
-from tidemark.sources.snapshots import SnapshotTable
+from tidemark.sources.state import COMMIT, StateTable
 
 # Files one micro-batch may take, unless a job is told otherwise: a first start on a
 # long log must not become a single batch. Only jobs whose result does not depend on the
-# cut are paced; a history has one version per key and micro-batch, so it takes what is there.
+# cut are paced; a dimension with one version per key and micro-batch takes what is there.
 FILES_PER_BATCH = "1000"
 BRONZE_INTERVAL = "15 seconds"  # fixed value: how often the log is extended
 
 Work = Callable[[DataFrame, str, int], None]
+MARTS = {"mart_daily_orders": MART_DAILY_ORDERS, "mart_orders_by_state": MART_ORDERS_BY_STATE}
 
 
 def _paced(options: dict[str, str]) -> dict[str, str]:
@@ -76,35 +78,40 @@ class Lakehouse:
     def bronze_path(self) -> str:
         return f"{self.root}/bronze"
 
-    def _table(self, name: str, schema, *keys: str, **kw) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/{name}", schema, keys, kw.pop("buckets", self.buckets), **kw)
+    def _table(self, name: str, schema, *keys: str, **kw) -> StateTable:
+        return StateTable(self.spark, f"{self.root}/{name}", schema, keys, self.buckets, **kw)
 
     @property
-    def silver(self) -> SnapshotTable:
+    def silver(self) -> StateTable:
         return self._table("silver_customers", SILVER_STATE, "customer_id", hidden=tables.HIDDEN, live=tables.LIVE)
 
     @property
-    def dim(self) -> SnapshotTable:
+    def dim(self) -> StateTable:
         return self._table("dim_customers", DIM_CUSTOMERS, "customer_id")
 
     @property
-    def fact(self) -> SnapshotTable:
-        return self._table(
-            "fact_orders", FACT_STATE, "order_id", partition_by=("event_date",), keep_changes=True,
-            hidden=tables.HIDDEN, live=tables.LIVE,
-        )
+    def history(self) -> StateTable:
+        """The dimension with every change, kept by event time."""
+        return self._table("customer_history", HISTORY_STATE, "customer_id", hidden=(*POSITION.fieldNames(), OPENS), live=OPENS)
+
+    @property
+    def fact(self) -> StateTable:
+        return self._table("fact_orders", FACT_STATE, "order_id", sort_by=("event_date",), hidden=tables.HIDDEN, live=tables.LIVE)
 
     @property
-    def agg(self) -> SnapshotTable:
+    def agg(self) -> StateTable:
         return self._table("agg_orders_daily", AGG_ORDERS_DAILY, "event_date", "order_status")
 
     @property
-    def enriched(self) -> SnapshotTable:
+    def enriched(self) -> StateTable:
         return self._table("orders_enriched", ORDERS_ENRICHED, "order_id")
 
-    def mart(self, name: str) -> SnapshotTable:
-        schema = {"mart_daily_orders": MART_DAILY_ORDERS, "mart_orders_by_state": MART_ORDERS_BY_STATE}[name]
-        return self._table(name, schema, "event_date", buckets=1, partition_by=("event_date",))
+    def mart(self, name: str) -> DataFrame:
+        """A mart's rows as last built."""
+        folder = f"{self.root}/{name}"
+        if not files.list_names(self.spark, folder):
+            return self.spark.createDataFrame([], MARTS[name])
+        return self.spark.read.schema(MARTS[name]).parquet(folder).select(*MARTS[name].fieldNames())
 
     # --- plumbing ---------------------------------------------------------------
 
@@ -124,16 +131,12 @@ class Lakehouse:
         metadata = files.read_text(self.spark, f"{self._checkpoint(job)}/metadata")
         return f"{job}:{json.loads(metadata)['id']}"
 
-    def _each_batch(self, job: str, table: SnapshotTable, work: Work) -> Callable[[DataFrame, int], None]:
+    def _each_batch(self, job: str, work: Work) -> Callable[[DataFrame, int], None]:
         def run(batch: DataFrame, batch_id: int) -> None:
-            table.release_changes()
-            stream = self._stream_id(job)
-            if table.applied(stream, batch_id):
-                return
             # Several actions read the batch; parse it once. Lost blocks are recomputed.
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                work(batch, stream, batch_id)
+                work(batch, self._stream_id(job), batch_id)
             finally:
                 batch.unpersist()
 
@@ -168,29 +171,33 @@ class Lakehouse:
             touched = table.touched_buckets(valid)
             if touched:
                 if self.guard == "order":
-                    merged = tables.silver_merge_ordered(table.read_state(buckets=touched), valid)
+                    merged = tables.silver_merge_ordered(table.read_state(touched), valid)
                 else:
-                    merged = tables.silver_merge(table.read(buckets=touched), valid, self.guard)
-                table.publish(merged.rows(), touched, stream=stream, batch_id=batch_id)
+                    merged = tables.silver_merge(table.read(touched), valid, self.guard)
+                table.write(merged.rows(), touched, stream, batch_id)
 
         events = tables.customer_events(self._bronze_stream(options), self.prefix)
-        writer = events.writeStream.foreachBatch(self._each_batch("silver_customers", table, work))
+        writer = events.writeStream.foreachBatch(self._each_batch("silver_customers", work))
         return self._start(writer, "silver_customers", once)
 
-    def start_dim(self, once: bool = False, **options: str) -> StreamingQuery:
-        table = self.dim
-
+    def _start_versions(self, job: str, table: StateTable, merge: Callable[[DataFrame, DataFrame], DataFrame], once: bool, rows: DataFrame) -> StreamingQuery:
         def work(batch: DataFrame, stream: str, batch_id: int) -> None:
             valid, rejected = split_valid(batch, customer_rule())
-            quarantine(rejected, f"{self.root}/quarantine/dim_customers", stream, batch_id)
+            quarantine(rejected, f"{self.root}/quarantine/{job}", stream, batch_id)
             touched = table.touched_buckets(valid)
             if touched:
-                rows = scd2_batch(table.read(buckets=touched), valid)
-                table.publish(rows, touched, stream=stream, batch_id=batch_id)
+                table.write(merge(table.read_state(touched), valid), touched, stream, batch_id)
+
+        events = tables.keyed(tables.customer_events(rows, self.prefix))
+        return self._start(events.writeStream.foreachBatch(self._each_batch(job, work)), job, once)
+
+    def start_dim(self, once: bool = False, **options: str) -> StreamingQuery:
+        """One version per key and micro-batch, in the order in which micro-batches come."""
+        return self._start_versions("dim_customers", self.dim, scd2_batch, once, self._bronze_stream(options, paced=False))
 
-        events = tables.keyed(tables.customer_events(self._bronze_stream(options, paced=False), self.prefix))
-        writer = events.writeStream.foreachBatch(self._each_batch("dim_customers", table, work))
-        return self._start(writer, "dim_customers", once)
+    def start_history(self, once: bool = False, **options: str) -> StreamingQuery:
+        """Every change by event time: late events find their place, and no cut into micro-batches shows."""
+        return self._start_versions("customer_history", self.history, history_merge, once, self._bronze_stream(options))
 
     def start_fact(self, once: bool = False, **options: str) -> StreamingQuery:
         table = self.fact
@@ -201,78 +208,102 @@ class Lakehouse:
             touched = table.touched_buckets(valid)
             if touched:
                 if self.guard == "order":
-                    merged = tables.fact_merge_ordered(table.read_state(buckets=touched), valid)
+                    merged = tables.fact_merge_ordered(table.read_state(touched), valid)
                 else:
-                    merged = tables.fact_merge(table.read(buckets=touched), valid, self.guard)
-                table.publish(merged.rows(), touched, merged.changes(), stream, batch_id)
+                    merged = tables.fact_merge(table.read(touched), valid, self.guard)
+                self._write_with_changes(table, merged, touched, stream, batch_id)
 
         events = tables.order_events(self._bronze_stream(options), self.prefix, self.tz)
-        writer = events.writeStream.foreachBatch(self._each_batch("fact_orders", table, work))
+        writer = events.writeStream.foreachBatch(self._each_batch("fact_orders", work))
         return self._start(writer, "fact_orders", once)
 
-    def _first_change(self, job: str, start: str) -> int:
-        """Version the count job starts at; kept, so a restart does not move it."""
+    def _write_with_changes(self, table: StateTable, merged: Merged, touched: list[int], stream: str, batch_id: int) -> None:
+        """Change rows first, then the buckets, which note their number; one join gives both."""
+        merged = merged.persist()
+        try:
+            commit = table.log.append(merged.changes(), stream, batch_id)
+            table.write(merged.rows(), touched, COMMIT, commit)
+        finally:
+            merged.joined.unpersist()
+
+    # --- daily counts -----------------------------------------------------------
+
+    def _count_fact(self) -> dict[int, int]:
+        """Recount the fact into the daily counts; gives up to which change rows each bucket was counted.
+
+        Rows and notes come from the same files, so a writer at work meanwhile does no harm.
+        """
+        fact, state = self.fact, self.fact.everything()
+        self.agg.write(daily_counts(fact.visible(state)), stream="seed")
+        return {r["bucket"]: r["_batch"] for r in fact.notes(state).where(F.col("_stream") == COMMIT).collect()}
+
+    def _first_changes(self, job: str, start: str) -> dict[int, int]:
+        """Per bucket of the fact the last change rows the count job leaves out; kept, so a restart does not move it."""
         if start not in ("snapshot", "next"):
             raise ValueError(f"unknown start {start!r}")
         note = f"{self.root}/checkpoints/{job}.start"
         if not files.exists(self.spark, note):
-            seeded = self.agg.applied_up_to("seed")
-            first = 0 if start == "snapshot" else self.fact.next_version() if seeded is None else seeded + 1
-            files.write_text(self.spark, note, str(first))
-        return int(files.read_text(self.spark, note))
+            seen = self._count_fact() if start == "snapshot" else dict.fromkeys(range(self.buckets), self.fact.log.last_commit())
+            files.write_text(self.spark, note, json.dumps(seen))
+        return {int(b): c for b, c in json.loads(files.read_text(self.spark, note)).items()}
+
+    def seed_agg(self) -> None:
+        """Recount the fact into the daily counts; ``start_agg`` goes on from there at its first start."""
+        files.write_text(self.spark, f"{self.root}/checkpoints/agg_orders_daily.start", json.dumps(self._count_fact()))
 
     def start_agg(self, once: bool = False, start: str = "snapshot", **options: str) -> StreamingQuery:
         """Keep the daily counts up from the fact's change rows.
 
-        ``start="snapshot"`` takes all changes kept, for an empty table;
-        ``"next"`` takes only changes after the version it was seeded from.
+        The first start with ``start="snapshot"`` counts the fact's current rows, whether or
+        not change rows are kept of them, and then takes what changed after; ``"next"`` takes
+        only what changes from now on (or since ``seed_agg``).
         """
-        table = self.agg
-        changes = self.fact.stream_changes(self._first_change("agg_orders_daily", start), **_paced(options))
+        table, job = self.agg, "agg_orders_daily"
+        seen = self._first_changes(job, start)
+        changes = self.fact.log.stream(**_paced(options))
+        if seen:
+            counted = F.create_map(*[F.lit(x).cast("bigint") for pair in seen.items() for x in pair])
+            last = F.try_element_at(counted, self.fact.bucket_of().cast("bigint"))
+            changes = changes.where(F.col("_commit_version") > F.coalesce(last, F.lit(-1)))
 
         def work(batch: DataFrame, stream: str, batch_id: int) -> None:
-            delta = deltas(batch).persist()
+            delta = table.pending(deltas(batch), stream, batch_id).persist()
             try:
                 touched = table.touched_buckets(delta)
                 if touched:
-                    merged = merge_deltas(table.read(buckets=touched), delta)
-                    table.publish(merged.rows(), touched, stream=stream, batch_id=batch_id)
+                    table.write(merge_deltas(table.read(touched), delta).rows(), touched, stream, batch_id)
             finally:
                 delta.unpersist()
 
-        writer = changes.writeStream.foreachBatch(self._each_batch("agg_orders_daily", table, work))
-        return self._start(writer, "agg_orders_daily", once)
+        writer = changes.writeStream.foreachBatch(self._each_batch(job, work))
+        return self._start(writer, job, once)
 
     def start_agg_native(self, sink: Callable[[DataFrame, int], None], once: bool = False,
                          **options: str) -> StreamingQuery:
-        """The same counts in Spark's state store: every trigger hands the groups that
-        changed, with their totals so far, to ``sink``."""
-        changes = self.fact.stream_changes(**_paced(options))
+        """The same counts in Spark's state store, from the first change row on: every trigger hands
+        the groups that changed, with their totals so far, to ``sink``."""
+        changes = self.fact.log.stream(**_paced(options))
         totals = changes.groupBy(*GROUP).agg(F.sum(change_sign(F.col("_change_type"))).alias("order_cnt"))
         writer = totals.writeStream.outputMode("update").foreachBatch(sink)
         return self._start(writer, "agg_orders_daily_native", once)
 
     # --- batch refreshes ----------------------------------------------------------
 
-    def seed_agg(self) -> int:
-        """Recount the fact into the daily counts (for ``start_agg(start="next")``), noting its version."""
-        version = self.fact.last_version()
-        return self.agg.publish(
-            daily_counts(self.fact.read(version)), stream="seed", batch_id=-1 if version is None else version,
-        )
-
-    def build_mart(self, name: str = "mart_daily_orders", register_as: str | None = None) -> int:
-        """Full refresh of a mart; readers of the old version are not disturbed."""
-        table = self.mart(name)
-        version = table.publish(getattr(marts, name)(self.fact.read(), self.dim.read()))
+    def build_mart(self, name: str = "mart_daily_orders", register_as: str | None = None) -> None:
+        """Full refresh of a mart, date by date, in one folder; names it was given keep up with it."""
+        folder, schema = f"{self.root}/{name}", MARTS[name]
+        rows = getattr(marts, name)(self.fact.read(), self.dim.read())
+        overwrite_partitions(rows.select(*schema.fieldNames()), folder, "event_date")
+        note = f"{self.root}/{name}.names"
+        names = json.loads(files.read_text(self.spark, note)) if files.exists(self.spark, note) else []
         if register_as:
-            folder = f"{table.root}/data/version={version}/bucket=0"
-            register(self.spark, register_as, folder, table.schema, "event_date")
-        return version
+            register(self.spark, register_as, folder, schema, "event_date")
+            files.write_text(self.spark, note, json.dumps(sorted({*names, register_as})))
+        synchronise(self.spark, names)
 
-    def backfill_enriched(self) -> int:
+    def backfill_enriched(self) -> None:
         """Upsert every order of the fact with its customer's current place."""
         merged = marts.orders_enriched_merge(
             self.enriched.read(), marts.enrich_orders(self.fact.read(), self.dim.read()),
         )
-        return self.enriched.publish(merged.rows())
+        self.enriched.write(merged.rows())
