@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ def with_neighbours(
 
     ``previous`` and ``following`` map a new column name to a source column. With ``among``
     (over the columns of ``df`` and the previous ones) the following row is the next one that
-    meets it, and ``_among`` says which rows do. Keys are never NULL.
+    meets it, and ``_among`` says which rows do. Rows with a NULL key are left out.
 
     The integer ``axis`` (default: ``order``, an integer column then) is cut into slices of
     ``slice_width``, and a task holds a slice of a key at most, however large the key is. One
@@ -58,14 +59,18 @@ def with_neighbours(
         return finish(frame.withColumn("_next", next_met(frame, "_met", f"PARTITION BY {quoted} ORDER BY `_rank`")))
 
     position = F.col(order) if axis is None else axis
-    sliced = df.withColumn("_rank", F.struct(*by)).withColumn("_slice", F.call_function("div", position, F.lit(slice_width).cast("bigint")))
+    nothing = F.lit(-1 << 62)
+    slice_ = F.coalesce(F.call_function("div", position, F.lit(slice_width).cast("bigint")), nothing)
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    sliced = df.where(known).withColumns({"_rank": F.struct(*by), "_slice": slice_})
     inside = Window.partitionBy(*keys, "_slice").orderBy("_rank")
-    # Named once, so that both readings are of the same shuffle.
+    # Both readings need the same rows and columns of it, or Spark would shuffle twice.
     frame = sliced.repartition(*keys, "_slice").withColumn("_prev", F.lag(back).over(inside))
     frame = frame.withColumn("_head", F.row_number().over(inside) == 1)
     frame = flat(frame, "_prev", previous).withColumn("_met", F.when(~F.col("_head") & meets, ahead))
 
-    row = F.struct(*[F.col(c) for c in df.columns])
+    wanted = [c for c in df.columns if c != order]
+    row = F.struct(*[F.col(c) for c in wanted])
     summary = frame.groupBy(*keys, "_slice").agg(
         F.min_by(row, "_rank").alias("_first"), F.max_by(back, "_rank").alias("_last"),
         F.min_by("_met", F.when(F.col("_met").isNotNull(), F.col("_rank"))).alias("_inner"),
@@ -73,7 +78,7 @@ def with_neighbours(
     slices = Window.partitionBy(*keys).orderBy("_slice")
     summary = summary.withColumn("_before", F.lag("_last").over(slices))
     first = summary.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_slice", "_before", "_inner", "_first")
-    first = flat(first.select("*", *[F.col(f"_first.{c}").alias(c) for c in df.columns]), "_before", previous)
+    first = flat(first.select("*", *[F.col(f"_first.{c}").alias(c) for c in wanted]), "_before", previous)
     first = first.withColumn("_onset", F.coalesce(F.when(meets, ahead), F.col("_inner")))
     names = ", ".join(f"`_key{i}`" for i in range(len(keys)))
     first = first.withColumn("_after", next_met(first, "_onset", f"PARTITION BY {names} ORDER BY `_slice`"))
