@@ -35,7 +35,9 @@ PATTERN = regex.compile(r"""'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 UNIT = regex.compile(r"\s*\S+|\s+")
 SPACE = regex.compile(r"\s*")
 RARE = re.compile(f"[{RARE_SPACE}]")
-LIMIT, SHORT = 700_000, 14
+LIMIT, SHORT = 700_000, 8
+#: Lengths at which the states of all shorter prefixes are kept together, to start from.
+FRONTS = (6, 4)
 _counters: dict[str, PrefixCounter] = {}
 
 
@@ -79,7 +81,8 @@ class PrefixCounter:
         self.sound_memo: dict[int, bool] = {}
         self.edges: tuple[dict, dict] = ({}, {})
         self.short: dict[bytes, tuple[int, int]] = {b"": (0, -1)}
-        self.words: dict[str, bytes] = {}
+        self.fronts: dict[bytes, tuple[list[int], list[int]]] = {}
+        self.pieces: dict[str, list[int]] = {}
         self.units: dict[str, tuple[bytes, int]] = {}
 
     def edge(self, token: int, side: int) -> list[tuple[int, float]]:
@@ -135,8 +138,13 @@ class PrefixCounter:
 
     def word(self, text: bytes) -> list[int]:
         """Counts at every prefix of one pre-token."""
-        counts, lasts, short = [0], [-1], self.short
-        for end in range(1, len(text) + 1):
+        short, fronts, size = self.short, self.fronts, len(text)
+        counts, lasts, begin = [0], [-1], 1
+        for front in FRONTS:
+            if front <= size and (known := fronts.get(text[:front])) is not None:
+                counts, lasts, begin = known[0].copy(), known[1].copy(), front + 1
+                break
+        for end in range(begin, size + 1):
             state = short.get(text[:end]) if end <= SHORT else None
             if state is None:
                 state = self.step(text, end, counts, lasts)
@@ -146,8 +154,25 @@ class PrefixCounter:
                     short[text[:end]] = state
             counts.append(state[0])
             lasts.append(state[1])
+            if end in FRONTS:
+                if len(fronts) > self.limit // 4:
+                    fronts.clear()
+                fronts[text[:end]] = counts.copy(), lasts.copy()
         return counts[1:]
 
+    def piece(self, text: str) -> list[int]:
+        """``word`` of a pre-token, kept: units differ more than the words, digits and marks in them."""
+        counts = self.pieces.get(text)
+        if counts is None:
+            counts = self.word(text.encode())
+            if text in ("'re", "'ve", "'ll"):
+                counts = [1, 2, counts[2]]
+            if len(text) <= 32:
+                if len(self.pieces) > self.limit:
+                    self.pieces.clear()
+                self.pieces[text] = counts
+        return counts
+
     def unit(self, text: str) -> list[int]:
         """Counts at every byte prefix of a unit, each as if the text ended there.
 
@@ -156,7 +181,9 @@ class PrefixCounter:
         """
         space = SPACE.match(text)[0]
         body, out, base, skip = text[len(space) :], [], 0, 0
-        if space:
+        if space == " " and body:  # as most are
+            body, out, skip = text, self.piece(space).copy(), 1
+        elif space:
             out = self.word(space.encode())
             if not body:
                 return out
@@ -167,11 +194,12 @@ class PrefixCounter:
             else:
                 base += self.word(space[-1].encode())[-1]
         for piece in PATTERN.findall(body):
-            counts = self.word(piece.encode())
-            if piece in ("'re", "'ve", "'ll"):
-                counts = [1, 2, counts[2]]
-            out += [base + c for c in counts[skip:]]
-            base, skip = base + counts[-1], 0
+            counts = self.piece(piece)
+            if skip:
+                counts = counts[1:]
+                skip = 0
+            out += [base + c for c in counts] if base else counts
+            base += counts[-1] if counts else 1
         return out
 
     def counts(self, text: str) -> np.ndarray:
