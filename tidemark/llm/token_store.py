@@ -5,7 +5,8 @@ are small. Four ranks share a control byte (two bits each: the number of bytes l
 and the data bytes follow separately, little-endian. A decoder looks the control byte up
 in a table of the four lengths and gathers the bytes with numpy; it never branches by id.
 
-A file is a row of blocks in ascending ``doc_id`` order; files are in order of their names.
+A file is a row of blocks in ascending ``doc_id`` order; files are in order of the numbers in
+their names (task, then file of the task).
 
     block  magic "TMK1", documents u32, ids u32, control bytes u32, data bytes u32,
            per document: doc_id i64, has_id u8, ids u32 (three arrays),
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, shared_path, ship_package, stored, texts
+from tidemark.llm.common import shared_path, ship_package, small, stored, texts
 from tidemark.llm.tokens import encoder
 
 MAGIC = b"TMK1"
@@ -102,67 +103,73 @@ def unpack_blocks(content: bytes) -> Iterator[tuple[list[int | None], np.ndarray
         at = end + 5
 
 
-def tokenised(documents: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
-    """(doc_id, n_tokens, ids): 16-bit ids, compressed. A null text is empty."""
+def tokenised(documents: DataFrame, tokenizer: str, end_id: int | None) -> tuple[DataFrame, np.ndarray]:
+    """Stored (doc_id, n_tokens, ids): 16-bit ids, compressed; and how often each id occurs. A null text is empty.
+
+    Ids are counted as they are made: a task ends with a row of its counts (n_tokens = -1). The
+    driver gets one row per id of the vocabulary at most.
+    """
     import zstandard
 
     tail = b"" if end_id is None else int(end_id).to_bytes(2, "little")
+    vocabulary = encoder(tokenizer).size
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, press = encoder(tokenizer).encode, zstandard.ZstdCompressor(level=1).compress
-        ids = [encode(t) + tail for t in texts(batch)]
-        planes = (np.frombuffer(x, np.uint8).reshape(-1, 2).T.tobytes() for x in ids)
-        return pa.record_batch({
-            "doc_id": batch.column("doc_id"), "n_tokens": pa.array([len(x) // 2 for x in ids], pa.int64()),
-            "ids": pa.array([press(x) for x in planes], pa.binary()),
-        })
-
-    return map_batches(documents.select("doc_id", "text"), work, "doc_id long, n_tokens long, ids binary")
-
-
-def unpressed(value: bytes, count: int) -> np.ndarray:
-    import zstandard
-
-    raw = zstandard.ZstdDecompressor().decompress(value, max_output_size=max(1, 2 * count))
-    return np.frombuffer(raw, np.uint8).reshape(2, -1).T.copy().view("<u2").ravel()
-
+        seen = np.zeros(vocabulary, np.int64)
 
-def id_ranks(tokens: DataFrame, vocabulary: int) -> np.ndarray:
-    """The id of every rank: most frequent first, ties to the smaller id.
+        def out(docs: pa.Array, counts: list[int], values: list[bytes]) -> pa.RecordBatch:
+            return pa.record_batch({"doc_id": docs, "n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(values, pa.binary())})
 
-    The driver gets one row per id of the vocabulary at most.
-    """
+        for batch in small(batches):
+            ids = [encode(t) + tail for t in texts(batch)]
+            seen += np.bincount(np.frombuffer(b"".join(ids), "<u2"), minlength=vocabulary)
+            planes = (np.frombuffer(x, np.uint8).reshape(-1, 2).T.tobytes() for x in ids)
+            yield out(batch.column("doc_id"), [len(x) // 2 for x in ids], [press(x) for x in planes])
+        yield out(pa.array([None], pa.int64()), [-1], [press(seen.astype("<u8").tobytes())])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(vocabulary, np.int64)
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, seen = zstandard.ZstdDecompressor().decompress, np.zeros(vocabulary, np.int64)
         for batch in batches:
-            rows = zip(batch.column("ids").to_pylist(), batch.column("n_tokens").to_pylist())
-            if parts := [unpressed(value, count) for value, count in rows]:
-                seen += np.bincount(np.concatenate(parts), minlength=vocabulary)
+            for value in batch.column("ids").to_pylist():
+                seen += np.frombuffer(unpack(value), "<u8").astype(np.int64)
         some = np.flatnonzero(seen)
         yield pa.record_batch({"id": pa.array(some, pa.int64()), "n": pa.array(seen[some], pa.int64())})
 
-    counted = tokens.select("ids", "n_tokens").mapInArrow(work, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    ship_package(documents.sparkSession)
+    rows = stored(documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary"), "token-ids")
     total = np.zeros(vocabulary, np.int64)
-    for row in counted.collect():
+    for row in rows.where("n_tokens = -1").mapInArrow(counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         total[row["id"]] = row["n"]
-    return np.argsort(-total, kind="stable").astype("<u4")
+    return rows.where("n_tokens >= 0"), total
+
+
+def unpressed(values: list[bytes], counts: list[int]) -> Iterator[np.ndarray]:
+    """The ids of each value again."""
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    for value, count in zip(values, counts):
+        raw = np.frombuffer(unpack(value, max_output_size=max(1, 2 * count)), np.uint8)
+        yield raw[:count] | raw[count:].astype("<u2") << 8
 
 
 def write_store(documents: DataFrame, tokenizer: str, end_id: int | None, path: str) -> None:
     """Encode every whole text of ``documents`` (doc_id, text) into files below ``path``.
 
     Null texts are empty; documents without doc_id come first; rows that share a doc_id
-    stand side by side, in order of their ids. An empty table writes no block.
+    stand side by side, in order of their ids. An empty table writes no block. Files are in order
+    of the numbers in their names.
     """
     spark = documents.sparkSession
     ship_package(spark)
     vocabulary = encoder(tokenizer).size
-    tokens = stored(tokenised(documents, tokenizer, end_id), "token-ids")
-    order = id_ranks(tokens, vocabulary)
+    tokens, seen = tokenised(documents, tokenizer, end_id)
+    # The id of every rank: most frequent first, ties to the smaller id.
+    order = np.argsort(-seen, kind="stable").astype("<u4")
     rank_of = np.empty(vocabulary, "<u4")
     rank_of[order] = np.arange(vocabulary)
-    total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
+    total = int(seen.sum())
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, counts, parts, held = [], [], [], 0
@@ -172,11 +179,11 @@ def write_store(documents: DataFrame, tokenizer: str, end_id: int | None, path:
             return pa.record_batch({"block": pa.array([block], pa.binary())})
 
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids")))
-            for doc, count, value in rows:
+            names, sizes, values = (batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids"))
+            for doc, count, ids in zip(names, sizes, unpressed(values, sizes)):
                 docs.append(doc)
                 counts.append(count)
-                parts.append(rank_of[unpressed(value, count)])
+                parts.append(rank_of[ids])
                 held += count
                 if held >= BLOCK_IDS:
                     yield out()
@@ -247,7 +254,9 @@ def digest_store(spark: SparkSession, path: str) -> DataFrame:
         _flat(_files(spark, path), work, "doc_id long, file string, before long, n_tokens long, ids_crc32 long"), "token-rows"
     )
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    # By the numbers in the name (task, file of the task): they outgrow their digits.
+    numbers = [F.regexp_extract("file", pattern, 1).cast("long") for pattern in (r"part-(\d+)-", r"-c(\d+)\.[a-z]+$")]
+    earlier = Window.orderBy(*numbers).rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("file", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("first"))
     return rows.join(starts, "file").select(
         "doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
