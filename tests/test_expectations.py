@@ -65,12 +65,12 @@ def test_aggregate_suite_and_missing_column(spark):
     assert rows(E.agg_orders_daily_suite().validate(again).where("position = 9"), "unexpected_count") == [(2,)]
 
 
-def test_suite_is_one_scan_per_kind(spark, sf_dir):
-    """One pass for all column checks, one more per uniqueness check."""
+def test_suite_is_one_scan(spark, sf_dir):
+    """One pass for all checks, uniqueness included."""
     from tidemark.sources.replay import bulk_fact
 
     plan = E.fact_orders_suite().validate(bulk_fact(spark, sf_dir))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [") == 2
+    assert plan.count("Relation [") == 1
 
 
 def test_report_file(spark, tmp_path):

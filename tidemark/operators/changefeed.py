@@ -69,3 +69,22 @@ def merge_deltas(counts: DataFrame, delta: DataFrame, group: Sequence[str] = GRO
         not_matched=[Insert({**{g: f"s.{g}" for g in group}, "order_cnt": "s.delta_cnt"})],
         null_safe=True, source_unique=True,
     )
+
+
+def counts_after(merged: Merged, group: Sequence[str] = GROUP) -> DataFrame:
+    """Counts of the target before a merge, kept up by the merge's changes: both read off its one join.
+
+    The same as ``merge_deltas`` of the old counts and the merge's ``deltas``: groups that
+    fall to 0 stay, and changes that cancel out add no group.
+    """
+    act = F.col("_act")
+
+    def row(image: str, seed: int, delta: int):
+        return F.struct(*[F.col(f"{image}.{c}").alias(c) for c in group], F.lit(seed).cast("bigint").alias("_seed"), F.lit(delta).cast("bigint").alias("_delta"))
+
+    emitted = (
+        F.when(act == "keep", F.array(row("_before", 1, 0))).when(act == "delete", F.array(row("_before", 1, -1)))
+        .when(act == "insert", F.array(row("_after", 0, 1))).when(act == "update", F.array(row("_before", 1, -1), row("_after", 0, 1)))
+    )
+    summed = merged.joined.select(F.inline(emitted)).groupBy(*group).agg(F.sum("_seed").alias("_seed"), F.sum("_delta").alias("_delta"))
+    return summed.where("_seed > 0 OR _delta <> 0").select(*group, (F.col("_seed") + F.col("_delta")).alias("order_cnt"))

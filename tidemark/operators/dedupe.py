@@ -49,3 +49,10 @@ def latest_per_key(
         window = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order])
         return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").select(*columns)
     raise ValueError(f"unknown dedupe method {method!r}")
+
+
+def latest_two(df: DataFrame, keys: Sequence[str], order: Sequence[Column], earlier: Column, columns: Sequence[str]) -> DataFrame:
+    """Per key the latest row of all (``now``) and the latest of those that meet ``earlier`` (``before``), by one aggregate."""
+    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    row = F.struct(*columns)
+    return df.groupBy(*keys).agg(F.max_by(row, rank).alias("now"), F.max_by(row, F.when(earlier, rank)).alias("before"))

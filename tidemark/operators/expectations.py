@@ -1,8 +1,8 @@
 """Data-quality suites, compiled to aggregates.
 
-All row counts, null, regex, set, range and distinct-count checks of a suite come
-out of one aggregate pass. Each uniqueness check is one more grouped count. The
-result is a small DataFrame, one row per check; nothing is collected.
+All checks of a suite come out of one pass: counts of rows, nulls and breaches are
+summed along with the groups that uniqueness and distinct counts need. The result is a
+small DataFrame, one row per check; nothing is collected.
 """
 
 from __future__ import annotations
@@ -71,6 +71,7 @@ def unique_count_between(column: str, low: int | None = None, high: int | None =
     return Expectation("expect_column_unique_value_count_to_be_between", (column,), low=low, high=high)
 
 
+_DISTINCT = "expect_column_unique_value_count_to_be_between"
 _UNIQUE = ("expect_column_values_to_be_unique", "expect_compound_columns_to_be_unique")
 _TABLE = ("expect_table_row_count_to_be_between", "expect_column_to_exist")
 
@@ -105,17 +106,56 @@ class Suite:
     checks: tuple[Expectation, ...]
 
     def validate(self, df: DataFrame) -> DataFrame:
-        """One row per check; ``position`` is its place in the suite."""
+        """One row per check; ``position`` is its place in the suite.
+
+        One scan and one shuffle: the key columns of the uniqueness and distinct-count checks
+        are grouping sets of one aggregate, and all other checks are counted along with the first.
+        """
         numbered = list(enumerate(self.checks, start=1))
         absent = {n for n, c in numbered if any(col not in df.columns for col in c.columns)}
-        parts = []
-        shared = [(n, c) for n, c in numbered if n in absent or c.kind not in _UNIQUE]
-        if shared:
-            parts.append(self._one_pass(df, shared, absent))
+        measures, sets = {}, {}
         for n, check in numbered:
-            if check.kind in _UNIQUE and n not in absent:
-                parts.append(self._uniqueness(df, n, check))
-        return reduce(DataFrame.unionByName, parts)
+            if n in absent or check.kind in _TABLE:
+                continue
+            if check.kind in (*_UNIQUE, _DISTINCT):
+                sets.setdefault(tuple(dict.fromkeys(check.columns)), []).append((n, check))
+                continue
+            measures[f"_u{n}"] = F.count_if(_unexpected(check))
+            measures[f"_m{n}"] = F.count_if(F.col(check.columns[0]).isNull())
+        counted = [F.count(F.lit(1)).alias("_n"), *[m.alias(name) for name, m in measures.items()]]
+        totals = self._by_sets(df, sets, counted, list(measures)) if sets else df.agg(*counted)
+        return totals.select(F.inline(F.array(*[self._outcome(n, c, n in absent) for n, c in numbered])))
+
+    def _by_sets(self, df: DataFrame, sets: dict, counted: list[Column], measures: list[str]) -> DataFrame:
+        columns = list(dict.fromkeys(c for key in sets for c in key))
+        grouped = df.groupingSets([[F.col(c) for c in key] for key in sets], *columns).agg(*counted, F.grouping_id().alias("_set"))
+        # The bit of a column is set where the grouping set lacks it, the last column's being the lowest.
+        ids = {key: sum(1 << (len(columns) - 1 - k) for k, c in enumerate(columns) if c not in key) for key in sets}
+        total = lambda met, value: F.coalesce(F.sum(F.when(met, value)), F.lit(0).cast("bigint"))
+        first = F.col("_set") == ids[next(iter(sets))]
+        out = [total(first, F.col(name)).alias(name) for name in ("_n", *measures)]
+        for key, checks in sets.items():
+            mine = F.col("_set") == ids[key]
+            # A row is left out only when all of its key columns are NULL.
+            missing = reduce(Column.__and__, [F.col(c).isNull() for c in key])
+            for n, check in checks:
+                if check.kind == _DISTINCT:
+                    out.append(F.count_if(mine & ~missing).alias(f"_d{n}"))
+                else:
+                    out.append(total(mine & missing, F.col("_n")).alias(f"_m{n}"))
+                    out.append(total(mine & ~missing & (F.col("_n") > 1), F.col("_n")).alias(f"_u{n}"))
+        return grouped.agg(*out)
+
+    def _outcome(self, n: int, check: Expectation, absent: bool) -> Column:
+        if check.kind == "expect_column_to_exist" or absent:
+            return self._row(n, check, F.lit(not absent))
+        if check.kind == "expect_table_row_count_to_be_between":
+            return self._row(n, check, _within(F.col("_n"), check), observed_value=F.col("_n"))
+        if check.kind == _DISTINCT:
+            seen = F.col(f"_d{n}")
+            return self._row(n, check, _within(seen, check), observed_value=seen, element_count=F.col("_n"))
+        bad = F.col(f"_u{n}")
+        return self._row(n, check, bad == 0, element_count=F.col("_n"), missing_count=F.col(f"_m{n}"), unexpected_count=bad)
 
     def _row(self, position: int, check: Expectation, success: Column, **counts: Column) -> Column:
         def count(name: str) -> Column:
@@ -128,52 +168,6 @@ class Suite:
             count("unexpected_count"), success.alias("success"),
         )
 
-    def _one_pass(self, df: DataFrame, shared, absent: set[int]) -> DataFrame:
-        aggregates = [F.count(F.lit(1)).alias("_n")]
-        for n, check in shared:
-            if n in absent or check.kind in _TABLE:
-                continue
-            value = F.col(check.columns[0])
-            if check.kind == "expect_column_unique_value_count_to_be_between":
-                aggregates.append(F.count_distinct(value).alias(f"_d{n}"))
-                continue
-            aggregates.append(F.count_if(_unexpected(check)).alias(f"_u{n}"))
-            aggregates.append(F.count_if(value.isNull()).alias(f"_m{n}"))
-        rows = []
-        for n, check in shared:
-            if check.kind == "expect_column_to_exist":
-                rows.append(self._row(n, check, F.lit(n not in absent)))
-            elif n in absent:
-                rows.append(self._row(n, check, F.lit(False)))
-            elif check.kind == "expect_table_row_count_to_be_between":
-                total = F.col("_n")
-                rows.append(self._row(n, check, _within(total, check), observed_value=total))
-            elif check.kind == "expect_column_unique_value_count_to_be_between":
-                seen = F.col(f"_d{n}")
-                rows.append(self._row(n, check, _within(seen, check), observed_value=seen,
-                                      element_count=F.col("_n")))
-            else:
-                bad = F.col(f"_u{n}")
-                rows.append(self._row(n, check, bad == 0, element_count=F.col("_n"),
-                                      missing_count=F.col(f"_m{n}"), unexpected_count=bad))
-        return df.agg(*aggregates).select(F.inline(F.array(*rows)))
-
-    def _uniqueness(self, df: DataFrame, position: int, check: Expectation) -> DataFrame:
-        # A row is left out only when all of its key columns are NULL.
-        missing = reduce(Column.__and__, [F.col(c).isNull() for c in check.columns])
-        zero = F.lit(0).cast("bigint")
-        totals = (
-            df.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("_c"))
-            .agg(
-                F.coalesce(F.sum("_c"), zero).alias("_n"),
-                F.coalesce(F.sum(F.when(missing, F.col("_c"))), zero).alias("_m"),
-                F.coalesce(F.sum(F.when(~missing & (F.col("_c") > 1), F.col("_c"))), zero).alias("_u"),
-            )
-        )
-        row = self._row(position, check, F.col("_u") == 0, element_count=F.col("_n"),
-                        missing_count=F.col("_m"), unexpected_count=F.col("_u"))
-        return totals.select(F.inline(F.array(row)))
-
     def unexpected_values(self, df: DataFrame) -> DataFrame:
         """Every unexpected value with its count, for the checks on single values.
 

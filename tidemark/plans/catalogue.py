@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rules import STATE_PATTERN, customer_rule, order_rule, split_valid
 from tidemark.functions.scalars import event_date, try_bigint
-from tidemark.operators.changefeed import deltas, merge_deltas
+from tidemark.operators.changefeed import counts_after, deltas, merge_deltas
 from tidemark.operators.dedupe import delete_wins_order, latest_per_key, stream_order
 from tidemark.operators.dml import insert_rows, update_where
 from tidemark.operators.expectations import (
@@ -286,8 +286,7 @@ def agg_orders_daily(spark, sf_dir):
 def agg_orders_daily_next(spark, sf_dir):
     """Counts seeded before the newest micro-batch, then kept up from its changes."""
     earlier, newest = _around_last_batch(spark, sf_dir, _valid_orders(spark, sf_dir))
-    before = tables.fact_state(earlier)
-    return merge_deltas(daily_counts(before), deltas(tables.fact_merge(before, newest).changes())).rows()
+    return counts_after(tables.fact_merge(tables.fact_state(earlier), newest))
 
 
 def agg_orders_daily_seed(spark, sf_dir):
@@ -324,14 +323,26 @@ def mart_orders_by_state(spark, sf_dir):
     return marts.mart_orders_by_state(_fact(spark, sf_dir), _dim(spark, sf_dir))
 
 
+def mart_daily_orders_next(spark, sf_dir):
+    """The mart of before the newest micro-batch, kept up from that batch of orders and customers."""
+    dim, customers = _dim_and_newest(spark, sf_dir)
+    earlier, newest = _around_last_batch(spark, sf_dir, _valid_orders(spark, sf_dir))
+    fact = _stored(spark, tables.fact_state(earlier))
+    merged = tables.fact_merge(fact, newest)
+    moves = marts.customer_moves(compare_with_current(dim, latest_per_key(customers, ["customer_id"], delete_wins_order())))
+    deltas_ = marts.mart_deltas(merged.changes(), dim, merged.rows(), moves)
+    return marts.merge_mart(marts.mart_daily_orders(fact, dim), deltas_).rows()
+
+
 def orders_enriched(spark, sf_dir):
-    """Orders of before the newest micro-batch, then upserted with the fact of now."""
-    earlier, _ = _around_last_batch(spark, sf_dir, _valid_orders(spark, sf_dir))
-    dim = _dim(spark, sf_dir)
-    before = marts.enrich_orders(tables.fact_state(earlier), dim)
-    now = marts.enrich_orders(_fact(spark, sf_dir), dim)
-    # The history plan leaves one current version per customer.
-    return marts.orders_enriched_merge(before, now, source_unique=True).rows()
+    """Orders of before the newest micro-batch, then upserted with the fact of now.
+
+    Whole rows by key: what is there now replaces what was, and what is gone stays. Both states
+    come off one aggregate and get their places by one join.
+    """
+    states = tables.fact_states(_valid_orders(spark, sf_dir), F.col("batch_no") < _last_batch(spark, sf_dir))
+    upserted = states.select(F.coalesce("now", "before").alias("row")).where("row IS NOT NULL").select("row.*")
+    return marts.enrich_orders(upserted, _dim(spark, sf_dir))
 
 
 def mart_daily_orders_bulk(spark, sf_dir):
@@ -343,7 +354,8 @@ def mart_orders_by_state_bulk(spark, sf_dir):
 
 
 def orders_enriched_bulk(spark, sf_dir):
-    return marts.enrich_orders(replay.bulk_fact(spark, sf_dir), replay.bulk_dim(spark, sf_dir))
+    fact = replay.bulk_fact(spark, sf_dir)
+    return marts.enrich_orders(fact, replay.bulk_dim(spark, sf_dir), marts.heavy_customers(fact))
 
 
 # --- row changes and counts -------------------------------------------------------
@@ -480,7 +492,7 @@ BATCH_QUERIES: dict[str, Query] = {
         scd2_close, scd2_open, dim_customers_scd2, dim_customers_scd2_merge, dim_customers_every_change,
         dim_customers_late, dim_current, change_feed, change_feed_merge, change_deltas, agg_orders_daily,
         agg_orders_daily_next, agg_orders_daily_seed, fact_daily_counts, reconcile_cdc,
-        mart_daily_orders, mart_orders_by_state, orders_enriched, mart_daily_orders_bulk,
+        mart_daily_orders, mart_daily_orders_next, mart_orders_by_state, orders_enriched, mart_daily_orders_bulk,
         mart_orders_by_state_bulk, orders_enriched_bulk, dml_insert, dml_update, table_row_counts,
         suite_silver_customers, suite_fact_orders, suite_agg_orders_daily, suite_bulk_orders,
         suite_unexpected_values, suite_statistics, scalar_json, scalar_cast, scalar_predicates,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.envelope import META, parse_envelope
 from tidemark.functions.scalars import event_date, is_delete
 from tidemark.operators.changefeed import change_history
-from tidemark.operators.dedupe import delete_wins_order, latest_per_key, stream_order
+from tidemark.operators.dedupe import delete_wins_order, latest_per_key, latest_two, stream_order
 from tidemark.operators.merge import Delete, Insert, Merged, StateMerged, Update, apply_merge, merge_latest
 from tidemark.operators.neighbours import SLICE
 from tidemark.schemas import CUSTOMERS, DELETE_OP, FACT_ORDERS, ORDERS, POSITION, UPSERT_OPS, CdcTableSpec
@@ -118,6 +118,17 @@ def fact_state(valid: DataFrame) -> DataFrame:
     return live.select(*[F.col("ts_ms").alias(c) if c == "event_ts_ms" else F.col(c) for c in FACT_COLUMNS])
 
 
+def fact_states(valid: DataFrame, earlier: Column) -> DataFrame:
+    """(order_id, before, now): the fact of the earlier events and that of all, side by side off one aggregate.
+
+    An order that is not there is NULL on that side.
+    """
+    both = latest_two(valid, ["order_id"], delete_wins_order(), earlier, FACT_INPUT)
+    row = lambda side: F.struct(*[F.col(f"{side}.{'ts_ms' if c == 'event_ts_ms' else c}").alias(c) for c in FACT_COLUMNS])
+    live = lambda side: F.when(F.col(side).isNotNull() & ~is_delete(F.col(f"{side}.op")), row(side))
+    return both.select("order_id", live("before").alias("before"), live("now").alias("now"))
+
+
 def fact_merge(target: DataFrame, valid: DataFrame, guard: str | None = None) -> Merged:
     """Apply one micro-batch of valid order events; a row may move to another day."""
     if guard not in (None, "event_time"):
