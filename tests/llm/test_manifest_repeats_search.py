@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from check import compare, connect
-from tidemark.llm import merkle, ranked_search, repeats
+from tidemark.llm import common, merkle, ranked_search, repeats
 from tidemark.llm.common import Scratch
 
 NEW = ("op11_merkle", "op12_repeats", "op13_search")
@@ -168,8 +168,8 @@ def shared_passages(seed):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_repeats_against_every_window(spark, seed, monkeypatch):
     if seed == 3:  # keys of three rows count as hot
-        monkeypatch.setattr(repeats, "FEW", 2)
-        monkeypatch.setattr(repeats, "HOT", 10**6)
+        monkeypatch.setattr(common, "FEW", 2)
+        monkeypatch.setattr(common, "HOT", 10**6)
     rows = shared_passages(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     for name in ("row", "seed", "at", "many", "high", "low", "spans", "stretches", "first", "n"):

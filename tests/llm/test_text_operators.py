@@ -293,3 +293,16 @@ def test_query_runs_no_python(spark, sf_dir):
     df = url_lists.op5_url_lists(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
     plan = df._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan)
+
+
+def test_parity_bits_never_part_what_links():
+    """Bits that differ are tokens of one set only, so sets that link differ in (n + m) / 9 bits at most."""
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        n = int(rng.integers(5, 900))
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        b = np.concatenate([a[int(rng.integers(0, n // 4 + 1)) :], rng.integers(0, 1 << 63, int(rng.integers(0, n // 8 + 1))).astype(np.uint64)])
+        apart = sum(bin(x ^ y).count("1") for x, y in zip(ngram_join.parity(a), ngram_join.parity(b)))
+        assert apart <= len(np.setxor1d(a, b))
+        if ngram_join.similar(np.unique(a), np.unique(b)):
+            assert 9 * apart <= len(a) + len(b)

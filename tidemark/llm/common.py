@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SHIPPED = "tidemark.llm.shipped"
 
@@ -90,6 +91,22 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Entries at most in a broadcast table of keys that stand out; rows of a key that are no burden to a task.
+HOT, FEW = 20_000, 1_000
+
+
+def looked_up(rows: DataFrame, known: DataFrame, keys: list[str], total: int, count: str = "n") -> DataFrame:
+    """``rows`` joined with ``known``, whose keys are unique and whose ``count`` tells how many of ``total`` rows have that key.
+
+    At most HOT keys can have more than ``total`` / HOT rows: they are broadcast. No task of the
+    shuffle gets a key with more.
+    """
+    above = max(total // HOT, FEW)
+    hot = F.broadcast(known.where(F.col(count) > above))
+    rest = rows.join(hot.select(keys), keys, "left_anti").join(known.where(F.col(count) <= above), keys)
+    return rows.join(hot, keys).unionByName(rest)
+
+
 def small_batches(batch: pa.RecordBatch, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` in pieces of about ``limit`` bytes, so that what is made of its texts stays small."""
     rows = max(1, min(batch.num_rows, batch.num_rows * limit // max(1, batch.get_total_buffer_size())))

@@ -9,19 +9,24 @@ the number of nodes. Every round is written to the shared folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(node, root) of every node with an edge in (a, b); root is the smallest node of its component.
 
+    ``keep`` writes a round's edges (default: to a folder of their own).
+
     Loops, repeated and null edges are ignored; no edges give no rows.
     """
+    keep = keep or (lambda df: stored(df, "edges"))
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, before = stored(edges, "edges"), None
+    edges, before = keep(edges), None
     while True:
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if state == before or not state["n"]:
@@ -36,4 +41,4 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")
         )
-        edges = stored(small.where("u <> v").distinct(), "edges")
+        edges = keep(small.where("u <> v").distinct())

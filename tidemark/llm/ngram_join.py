@@ -15,12 +15,13 @@ end, and ties go by a hash of the token.
 3. Those pairs are verified, and components formed. In further rounds each member outside
    the largest component of its token is paired with another hub inside.
 4. What is left to decide are pairs across components: per token, the members outside its
-   largest component meet the others. All of them that pass the size and position filters
-   are verified, so no link is lost, but a large group of near copies never lists its inner
+   largest component meet the others. All of them that pass the size, position and parity
+   filters are verified, so no link is lost, but a large group of near copies never lists its inner
    pairs.
 
 Verification brings the two (compressed) texts together, checks the prefixes of the other
-orders, and then intersects the sets. A token that stands out in the counts is dealt by
+orders, and then intersects the sets. The parity filter needs 512 bits of either set and comes
+before any text is moved: bits that differ are tokens only one set has. A token that stands out in the counts is dealt by
 slices of documents; their hubs are paired in turn.
 """
 
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship_package, small, stored, texts
+from tidemark.llm.common import Scratch, looked_up, ship_package, small, stored, texts
 from tidemark.llm.components import components
 
 WORDS, ORDERS, BUCKETS, SLICE_ROWS = 5, 3, 1 << 14, 20_000
@@ -44,6 +45,8 @@ HUB_ROUNDS = 2
 NUMERATOR, DENOMINATOR = 4, 5
 #: Bytes of text whose words are hashed in one go.
 CHUNK = 500_000
+#: Bits that tell sets apart.
+PARITY = 512
 
 _random = np.random.default_rng(20240101)
 _BYTE = _random.integers(0, 1 << 64, 256, np.uint64)
@@ -129,16 +132,26 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return DENOMINATOR * both >= NUMERATOR * (len(a) + len(b) - both)
 
 
-def measured(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Stored (doc_id, n, high, low): size and digest of each row's set; and the bucket counts of all orders."""
+def parity(tokens: np.ndarray) -> bytes:
+    """For each of PARITY buckets, whether an odd number of a set's tokens fall into it.
+
+    Where two sets' bits differ there is at least one token that only one of them has.
+    """
+    odd = np.bincount((mix(tokens ^ _PLACE[0]) % np.uint64(PARITY)).astype(np.int64), minlength=PARITY).astype(np.uint8) & 1
+    return np.packbits(odd).tobytes()
+
+
+def measured(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, np.ndarray]:
+    """Kept (doc_id, n, high, low, parity): size and digests of each row's set; and the bucket counts of all orders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((ORDERS, BUCKETS), np.int64)
         for batch in small(batches):
-            raw, sizes, digests, held, many = [t.encode() for t in texts(batch)], [], [], [], 0
+            raw, sizes, digests, bits, held, many = [t.encode() for t in texts(batch)], [], [], [], [], 0
             for tokens in shingle_sets(raw):
                 sizes.append(len(tokens))
                 digests.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
+                bits.append(parity(tokens))
                 held.append(tokens)
                 many += len(tokens)
                 if many > 1_000_000 or len(sizes) == len(raw):
@@ -149,14 +162,16 @@ def measured(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
             pairs = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             yield pa.record_batch([
                 pa.array([True] * len(raw)), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]),
-            ], names=["row", "doc_id", "n", "high", "low"])
+                pa.array(np.frombuffer(b"".join(bits), "<i8").reshape(-1, PARITY // 64).tolist(), pa.list_(pa.int64())),
+            ], names=["row", "doc_id", "n", "high", "low", "parity"])
         order, slot = np.nonzero(counts)
         yield pa.record_batch([
             pa.array(np.zeros(len(order), bool)), pa.array(order, pa.int64()), pa.array(counts[order, slot]), pa.array(slot, pa.int64()), pa.array(order, pa.int64()),
-        ], names=["row", "doc_id", "n", "high", "low"])
+            pa.nulls(len(order), pa.list_(pa.int64())),
+        ], names=["row", "doc_id", "n", "high", "low", "parity"])
 
     ship_package(documents.sparkSession)
-    both = stored(documents.select("doc_id", "text").mapInArrow(run, "row boolean, doc_id long, n long, high long, low long"), "shingle-sizes")
+    both = scratch.keep(documents.select("doc_id", "text").mapInArrow(run, "row boolean, doc_id long, n long, high long, low long, parity array<long>"))
     counts = np.zeros((ORDERS, BUCKETS), np.int64)
     # One number per order and bucket, however many documents there are.
     for r in both.where("not row").groupBy(F.col("low").alias("o"), F.col("high").alias("b")).agg(F.sum("n").alias("n")).collect():
@@ -215,8 +230,14 @@ def may_link(a: str, b: str):
     return sizes & ((NUMERATOR + DENOMINATOR) * rest >= NUMERATOR * (n + m))
 
 
-def verified(pairs: DataFrame, packed: DataFrame, ranks: np.ndarray) -> DataFrame:
-    """Stored (a, b) of the pairs that link. ``packed`` (doc_id, packed): compressed texts."""
+def may_agree(a: str, b: str):
+    """Parity filter on structs (n, parity): of two sets that link, at most (n + m) / 9 tokens are in one of them only."""
+    apart = sum((F.bit_count(F.col(f"{a}.parity")[k].bitwiseXOR(F.col(f"{b}.parity")[k])) for k in range(PARITY // 64)), F.lit(0))
+    return (NUMERATOR + DENOMINATOR) * apart <= (DENOMINATOR - NUMERATOR) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
+def verified(pairs: DataFrame, packed: DataFrame, ranks: np.ndarray, scratch: Scratch) -> DataFrame:
+    """Kept (a, b) of the pairs that link. ``packed`` (doc_id, packed): compressed texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -236,7 +257,7 @@ def verified(pairs: DataFrame, packed: DataFrame, ranks: np.ndarray) -> DataFram
     left = packed.select(F.col("doc_id").alias("a"), F.col("packed").alias("packed_a"))
     right = packed.select(F.col("doc_id").alias("b"), F.col("packed").alias("packed_b"))
     met = pairs.hint("merge").join(left.hint("merge"), "a").hint("merge").join(right.hint("merge"), "b")
-    return stored(met.select("a", "b", "packed_a", "packed_b").mapInArrow(run, "a long, b long"), "links")
+    return scratch.keep(met.select("a", "b", "packed_a", "packed_b").mapInArrow(run, "a long, b long"))
 
 
 def packed_texts(documents: DataFrame) -> DataFrame:
@@ -250,58 +271,70 @@ def packed_texts(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, packed binary")
 
 
-def ngram_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, n, high, low) of all documents, and (node, root) of the nodes in components of several."""
-    rows, counts = measured(documents)
+def ngram_links(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, n, high, low) of all documents; the sets among them (n, high, low, node, copies);
+    and (node, root) of the nodes in components of several.
+
+    ``node`` is the smallest doc_id with that set.
+    """
+    rows, counts = measured(documents, scratch)
     ranks = np.stack([np.unique(c, return_inverse=True)[1] for c in counts])
     known = rows.where("n > 0 and doc_id is not null")
-    nodes = known.groupBy("n", "high", "low").agg(F.min("doc_id").alias("node"))
-    node_of = stored(known.join(nodes, ["n", "high", "low"]).select("doc_id", "node").distinct(), "nodes")
+    nodes = scratch.keep(known.groupBy("n", "high", "low").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")))
+    node_of = scratch.keep(looked_up(known, nodes, ["n", "high", "low"], rows.count(), "copies").select("doc_id", "node").distinct())
+    # Rows that share a doc_id may have several sets; the parity filter leaves such a node alone.
+    sketch = known.join(nodes.select("node").distinct(), F.col("doc_id") == F.col("node"), "left_semi").groupBy("doc_id").agg(
+        F.max(F.struct("n", "parity")).alias("s"), F.count_distinct("high", "low").alias("sets")
+    ).select(F.col("doc_id").alias("node"), F.when(F.col("sets") == 1, F.col("s.parity")).alias("parity"))
 
     group = Window.partitionBy("token", "salt").orderBy(F.xxhash64("token", "doc_id"), "doc_id")
     me = F.struct("doc_id", "n", "pos")
-    shared = stored(
+    shared = scratch.keep(
         postings(documents, counts, ranks).select(
             "token", "salts", me.alias("me"), F.lag(me).over(group).alias("before"), F.lead("doc_id").over(group).alias("after"),
             F.first(me).over(group.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("hub"),
-        ).where("before is not null or after is not null or salts > 1"),
-        "shared-tokens",
+        ).where("before is not null or after is not null or salts > 1")
     )
     heads = shared.where("salts > 1 and before is null").select("me", F.lag("me").over(Window.partitionBy("token").orderBy("me.doc_id")).alias("other"))
     first = shared.select("me", F.explode(F.array("before", "hub")).alias("other")).union(heads).where("other is not null and me.doc_id <> other.doc_id")
     first = first.where(may_link("me", "other")).select(F.col("me.doc_id").alias("x"), F.col("other.doc_id").alias("y")).distinct()
     named = lambda side, new: node_of.select(F.col("doc_id").alias(side), F.col("node").alias(new))
     first = first.join(named("x", "p"), "x").join(named("y", "q"), "y").where("p <> q")
-    first = stored(first.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct(), "pairs")
+    first = scratch.keep(first.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
 
     # Only nodes with a shared token can be asked for.
     wanted = shared.select(F.col("me.doc_id").alias("doc_id")).distinct().join(node_of.where("doc_id = node"), "doc_id", "left_semi")
-    packed = stored(packed_texts(documents).join(wanted, "doc_id", "left_semi"), "packed-texts")
-    links = verified(first, packed, ranks)
+    packed = scratch.keep(packed_texts(documents).join(wanted, "doc_id", "left_semi"))
+    scratch.release()
+    links = verified(first, packed, ranks, scratch)
 
     asked = first
     for turn in range(HUB_ROUNDS + 1):
         members = shared.select("token", F.col("me.doc_id").alias("doc_id"), "me.n", "me.pos").join(node_of, "doc_id").groupBy("token", "node").agg(
             F.min(F.struct("pos", "n")).alias("at")
         )
-        members = members.join(components(links), "node", "left").select(
+        members = members.join(components(links, scratch.keep), "node", "left").select(
             "token", F.coalesce("root", "node").alias("root"), F.struct(F.col("node").alias("doc_id"), "at.n", "at.pos").alias("me")
         )
         hub = F.max_by("me", F.xxhash64("token", "me.doc_id", F.lit(turn)))
         parts = members.groupBy("token", "root").agg(F.count("*").alias("n"), hub.alias("hub"))
         largest = parts.groupBy("token").agg(F.max(F.struct("n", "root", "hub")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
         largest = largest.select("token", F.col("top.root").alias("top"), F.col("top.hub").alias("hub"))
-        open_ = stored(members.join(largest, "token"), "open-tokens")
-        outside = open_.where("root <> top").select("token", "hub", F.col("root").alias("root_x"), F.col("me").alias("x"))
+        open_ = scratch.keep(members.join(largest, "token"))
         if turn < HUB_ROUNDS:
-            pairs = outside.withColumnRenamed("hub", "y").where(may_link("x", "y"))
+            pairs = open_.where("root <> top").select(F.col("me").alias("x"), F.col("hub").alias("y")).where(may_link("x", "y"))
         else:  # what is left, all of it
-            inside = open_.select("token", F.col("root").alias("root_y"), "top", F.col("me").alias("y"))
-            pairs = outside.join(inside, "token").where("root_x <> root_y and (root_y = top or x.doc_id < y.doc_id)").where(may_link("x", "y"))
+            seen = open_.join(sketch, F.col("me.doc_id") == F.col("node"), "left").withColumn("me", F.struct("me.doc_id", "me.n", "me.pos", "parity"))
+            outside = seen.where("root <> top").select("token", F.col("root").alias("root_x"), F.col("me").alias("x"))
+            inside = seen.select("token", F.col("root").alias("root_y"), "top", F.col("me").alias("y"))
+            pairs = outside.join(inside, "token").where("root_x <> root_y and (root_y = top or x.doc_id < y.doc_id)")
+            pairs = pairs.where(may_link("x", "y") & F.coalesce(may_agree("x", "y"), F.lit(True)))
         pairs = pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
-        pairs = stored(pairs.join(asked, ["a", "b"], "left_anti"), "pairs")
-        links, asked = links.union(verified(pairs, packed, ranks)), asked.union(pairs)
-    return rows, components(links)
+        pairs = scratch.keep(pairs.join(asked, ["a", "b"], "left_anti"))
+        scratch.release(open_)
+        links, asked = links.union(verified(pairs, packed, ranks, scratch)), asked.union(pairs)
+    scratch.release(shared, packed)
+    return rows, nodes, components(links, scratch.keep)
 
 
 def ngram_components(documents: DataFrame) -> DataFrame:
@@ -311,12 +344,14 @@ def ngram_components(documents: DataFrame) -> DataFrame:
     texts, and texts of blanks, have no shingles and link with nothing. Rows that share a
     doc_id are one document. A row without doc_id links with nothing and has no component.
     """
-    rows, roots = ngram_links(documents)
-    nodes = rows.where("n > 0 and doc_id is not null").groupBy("n", "high", "low").agg(F.min("doc_id").alias("node"))
-    classes = nodes.join(roots, "node", "left").select("n", "high", "low", F.coalesce("root", "node").alias("root"))
-    return rows.join(classes, ["n", "high", "low"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("root")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+    with Scratch(documents.sparkSession, "ngram-join") as scratch:
+        rows, nodes, roots = ngram_links(documents, scratch)
+        classes = nodes.join(roots, "node", "left").select("n", "high", "low", "copies", F.coalesce("root", "node").alias("component_id"))
+        with_set = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+        found = looked_up(rows.where(with_set), classes, ["n", "high", "low"], rows.count(), "copies")
+        alone = rows.where(~with_set).withColumn("component_id", F.col("doc_id"))
+        out = ("doc_id", F.col("n").alias("n_shingles"), "component_id")
+        return stored(found.select(*out).union(alone.select(*out)), "ngram-classes")
 
 
 def op9_ngram_join(spark: SparkSession, documents: DataFrame) -> DataFrame:

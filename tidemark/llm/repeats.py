@@ -18,8 +18,8 @@ fourteen is an anchor. A stretch is all windows of a text with the same anchor,
 
 A text is read three times and shuffled twice by row number, both times in tables that are
 deleted afterwards. A key that stands out (an anchor, a window in a third of all texts) is
-counted by partial sums and looked up in a broadcast table of HOT entries at most, the rest by
-a shuffle whose keys are small.
+counted by partial sums and looked up in a broadcast table of bounded size, the rest by a
+shuffle whose keys are small.
 """
 
 from __future__ import annotations
@@ -31,16 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, ship_package, small, stored, texts
+from tidemark.llm.common import Scratch, looked_up, ship_package, small, stored, texts
 from tidemark.llm.ngram_join import mix, powers
 
 SPAN, GRAM = 35, 8
 #: Grams in a window.
 REACH = SPAN - GRAM + 1
-#: Entries at most in a broadcast table of keys that stand out.
-HOT = 20_000
-#: Rows of a key that are no burden to a task.
-FEW = 1_000
 #: Bytes of text whose words are hashed in one go.
 CHUNK = 500_000
 
@@ -176,18 +172,6 @@ def windows(documents: DataFrame) -> DataFrame:
     return documents.select("row", "text", "stretches").mapInArrow(run, "high long, low long, row long, at int")
 
 
-def looked_up(rows: DataFrame, known: DataFrame, keys: list[str], total: int) -> DataFrame:
-    """``rows`` joined with ``known``, whose keys are unique and whose ``n`` counts rows, of ``total``, with that key.
-
-    At most HOT keys can have more than ``total`` / HOT rows: they are broadcast. No task of the
-    shuffle gets a key with more.
-    """
-    above = max(total // HOT, FEW)
-    hot = F.broadcast(known.where(F.col("n") > above))
-    rest = rows.join(hot.select(keys), keys, "left_anti").join(known.where(F.col("n") <= above), keys)
-    return rows.join(hot, keys).unionByName(rest)
-
-
 def repeats(scratch: Scratch, documents: DataFrame) -> DataFrame:
     """(row, at, until): words of (row, text), numbered from 0, that windows with a twin cover; may overlap."""
     found = scratch.keep(seeds(documents))
@@ -201,6 +185,7 @@ def repeats(scratch: Scratch, documents: DataFrame) -> DataFrame:
     members = looked_up(classes.drop("n"), split, ["seed"], total)
     members = members.select("first.*").groupBy("row").agg(F.collect_list(F.struct("at", "many")).alias("stretches"))
     each = scratch.keep(windows(documents.join(members, "row")))
+    del members, split
     scratch.release(found, classes)
     total = each.count()
     twins = scratch.keep(each.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1"))
