@@ -95,13 +95,13 @@ def page_captures(pages: DataFrame) -> DataFrame:
 
 
 def host_entries(pages: DataFrame) -> DataFrame:
-    """Dated entries about the pages' hosts and their parents, drawn from digits of a digest of the name.
+    """Dated entries about the pages' hosts and all domains above them of two labels or more, drawn from digits of a digest of the name.
 
     Names with a first digit below 6 are added on a day of the year to one of three lists;
     two in three are removed later, and half of those come back.
     """
     hosts = pages.select(url_host(F.col("url")).alias("host")).where("host is not null").distinct()
-    names = hosts.select(F.explode(F.array("host", F.regexp_replace("host", "^[^.]*[.]", ""))).alias("pattern")).where("pattern like '%.%.%'").distinct()
+    names = hosts.select(F.explode(parent_domains(F.col("host"))).alias("pattern")).where("pattern like '%.%'").distinct()
     digit = lambda at, many: F.conv(F.substring(F.md5("pattern"), at, many), 16, 10).cast("long")
     names = names.where(digit(1, 1) < 6).select("pattern", (digit(2, 1) % 3).alias("l"), (digit(3, 4) % 300).alias("d"), (digit(7, 2) + 1).alias("gap"), (digit(9, 1) % 3).alias("r"))
     name = F.element_at(F.array(F.lit("ads"), F.lit("malware"), F.lit("spam")), (F.col("l") + 1).cast("int"))
@@ -126,8 +126,9 @@ WITH c AS (
   FROM pages
 ), hosts AS (SELECT DISTINCT host FROM c WHERE host IS NOT NULL),
 names AS (
-  SELECT DISTINCT pattern FROM (SELECT host AS pattern FROM hosts UNION ALL SELECT regexp_replace(host, '^[^.]*[.]', '') FROM hosts)
-  WHERE pattern LIKE '%.%.%'
+  SELECT DISTINCT pattern FROM (
+    SELECT unnest(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))) AS pattern FROM (SELECT string_split(host, '.') AS labels FROM hosts)
+  ) WHERE pattern LIKE '%.%'
 ), drawn AS (
   SELECT pattern, ['ads', 'malware', 'spam'][CAST(('0x' || substr(md5(pattern), 2, 1)) AS BIGINT) % 3 + 1] AS list_name,
          CAST(('0x' || substr(md5(pattern), 3, 4)) AS BIGINT) % 300 AS d, CAST(('0x' || substr(md5(pattern), 7, 2)) AS BIGINT) + 1 AS gap,
