@@ -135,11 +135,9 @@ def test_neighbours_of_lengths_that_differ(spark, scale):
     assert sum(len(got[q] & set(np.argsort(-scores[q])[:20].tolist())) for q in got) >= 0.95 * 20 * len(got)
 
 
-@pytest.mark.parametrize("few", [cross_polytope.FEW, 0])
 @pytest.mark.parametrize("n", [10, 20, 25])
-def test_no_query_loses_rows_of_a_small_table(spark, monkeypatch, n, few):
-    """With ``few`` 0 the vectors are hashed, and the queries that found too few are asked again."""
-    monkeypatch.setattr(cross_polytope, "FEW", few)
+def test_no_query_loses_rows_of_a_small_table(spark, monkeypatch, n):
+    """Few vectors are hashed like many, and the queries that found too few are asked again."""
     monkeypatch.setattr(cross_polytope, "BLOCK", 7)
     x = np.random.default_rng(n).standard_normal((n, 64))
     x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
@@ -172,3 +170,21 @@ def test_components(spark, edges):
             if a in root and b in root:
                 root[a] = root[b] = min(root[a], root[b])
     assert got == root
+
+
+@pytest.mark.parametrize("width", [3, 16, 40])
+def test_short_vectors_find_their_near_copies(spark, width):
+    """Codes have as many bits, however few coordinates there are: planted pairs of cosine 0.94 to 0.97 are found."""
+    rng = np.random.default_rng(width)
+    base = rng.standard_normal((150, width))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.standard_normal((150, width))
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.94, 0.97, (150, 1))
+    every = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * side])
+    df = spark.createDataFrame([(i, v.tolist(), "a") for i, v in enumerate(every)], "vec_id long, embedding array<double>, label string")
+    links = {r["vec_id"]: r["n_links"] for r in itq.itq_links(df).collect()}
+    near = every @ every.T >= 0.93
+    want = near.sum(axis=1) - 1
+    assert len(links) == 300 and sum(links.values()) >= 0.9 * want.sum() and all(links[i] <= want[i] for i in range(len(every)))

@@ -10,8 +10,8 @@ them, so nothing is capped.
 
 Directions are hashed, as a bucket can tell angles only. A long vector reaches a large inner
 product at a wide angle, so vectors longer than LONGER times the median take no hash: every
-query meets them all, in blocks. So does it with the others while they are FEW. A query that
-found fewer than it should is compared with every vector.
+query meets them all, in blocks. A query that found fewer than it should is compared with
+every vector. Tables of any size go the same way.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from tidemark.llm.common import ship_package, stored
 from tidemark.llm.vectors import common_length, matrix, usable
 
 TABLES, PROBES, BLOCK, SEED = 8, 16, 16_384, 11
-#: Coordinates for which PROBES holds (more have as many more); length over the median that takes no hash; vectors too few to hash.
-PROBED_SIZE, LONGER, FEW = 64, 1.05, 1_024
+#: Coordinates for which PROBES holds (more have as many more); length over the median that takes no hash.
+PROBED_SIZE, LONGER = 64, 1.05
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -125,7 +125,6 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     total, median = base.agg(F.count("*"), F.percentile_approx(length, 0.5)).first()
     hashes = length <= F.lit(LONGER * (median or 0.0))
-    few = base.where(hashes).limit(FEW + 1).count() <= FEW
     turn = Rotations(max(width, 1), tables)
     many = -(-probes * max(turn.size, PROBED_SIZE) // PROBED_SIZE)
     kind = dict(base.dtypes)["embedding"]
@@ -185,15 +184,12 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
 
     asking = base.where(is_query)
     whole, whole_queries = base.select("vec_id", "embedding", everything), asking.select("vec_id", "embedding", everything)
-    if few:
-        best = top(met(whole, whole_queries))
-    else:
-        members = hashed(base.where(hashes), query=False).union(whole.where(~hashes))
-        best = stored(top(met(members, hashed(asking, query=True).union(whole_queries))), "search-best")
-        enough = best.where(F.size("best") >= min(k, total - 1))
-        short = stored(whole_queries.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti"), "search-short")
-        if not short.isEmpty():
-            best = enough.union(top(met(whole, short)))
+    members = hashed(base.where(hashes), query=False).union(whole.where(~hashes))
+    best = stored(top(met(members, hashed(asking, query=True).union(whole_queries))), "search-best")
+    enough = best.where(F.size("best") >= min(k, total - 1))
+    short = stored(whole_queries.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti"), "search-short")
+    if not short.isEmpty():
+        best = enough.union(top(met(whole, short)))
     return best.select("query_id", F.posexplode("best").alias("p", "b")).select(
         "query_id", (F.col("p") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score")
     )

@@ -22,8 +22,8 @@ from tidemark.llm.common import map_batches, ship_package, stored
 from tidemark.llm.components import components
 from tidemark.llm.vectors import common_length, matrix, usable
 
-#: Vectors the rotation is fitted on at most; bits of a substring; rows of a block.
-SAMPLE, SUBSTRING, BLOCK = 20_000, 8, 1024
+#: Vectors the rotation is fitted on at most; bits of a code, of that of a vector of fewer coordinates, and of a substring; rows of a block.
+SAMPLE, BITS, NARROW_BITS, SUBSTRING, BLOCK = 20_000, 64, 160, 8, 1024
 
 
 def learn_rotation(sample: np.ndarray, bits: int, rounds: int = 30, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -64,9 +64,14 @@ def itq_links(vectors: DataFrame, threshold: float = 0.93, sample: int = SAMPLE)
     if not rows:
         return base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     data = np.array([r["embedding"] for r in rows], np.float64)
-    bits = max(SUBSTRING, min(64, width // SUBSTRING * SUBSTRING))
-    mean, projection = learn_rotation(data / np.linalg.norm(data, axis=1, keepdims=True), bits)
-    projection = np.pad(projection, ((0, 0), (0, bits - projection.shape[1])))
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    # Vectors of fewer coordinates than BITS get more bits from further rotations, unlearnt, as learning would end at the same ones.
+    bits, parts, made = BITS if width >= BITS else NARROW_BITS, [], 0
+    while made < bits:
+        mean, part = learn_rotation(data, min(width, bits - made), 0 if made else 30, seed=7 + made)
+        parts.append(part)
+        made += part.shape[1]
+    projection = np.concatenate(parts, axis=1)
     tables = bits // SUBSTRING
 
     def codes(batch: pa.RecordBatch) -> pa.RecordBatch:
