@@ -440,7 +440,7 @@ ORACLE: dict[str, str] = {
 }
 
 for streamed, same in {
-    "mart_daily_orders_next": "mart_daily_orders", "quarantine_stream": "quarantine_customers", "mart_by_name": "mart_daily_orders",
+    "reconcile_tree": "reconcile", "mart_daily_orders_next": "mart_daily_orders", "quarantine_stream": "quarantine_customers", "mart_by_name": "mart_daily_orders",
     "bronze_ingest": "bronze_projection", "silver_customers_stream": "silver_customers",
     "fact_orders_stream": "fact_orders", "agg_orders_daily_stream": "agg_orders_daily",
     "agg_orders_daily_native": "agg_orders_daily", "agg_orders_daily_snapshot": "agg_orders_daily",

@@ -9,7 +9,7 @@ from helpers import rows
 from tidemark.operators.changefeed import counts_after, deltas, merge_deltas
 from tidemark.operators.dedupe import delete_wins_order, latest_per_key, latest_two
 from tidemark.operators.expectations import agg_orders_daily_suite, compound_unique, fact_orders_suite, not_null, row_count_between, unique, unique_count_between, Suite
-from tidemark.operators.reconcile import daily_counts
+from tidemark.operators.reconcile import daily_counts, reconcile, reconcile_tree
 from tidemark.operators.scd2 import compare_with_current, scd2_batch
 from tidemark.plans import marts, tables
 from tidemark.schemas import DIM_CUSTOMERS, FACT_ORDERS
@@ -124,3 +124,22 @@ def test_several_keys_in_one_suite(spark):
     ]
     empty = rows(suite.validate(df.limit(0)), "position", "element_count", "success")
     assert empty == [(1, 0, True), (2, 0, True), (3, 0, False), (4, 0, True), (5, None, False), (6, None, False), (7, 0, True)]
+
+
+def test_checksums_find_what_the_join_finds(spark):
+    import datetime
+
+    rng = random.Random(4)
+    days = [None, *[datetime.date(2025, 1, d) for d in range(1, 25)]]
+    fact = spark.createDataFrame([(f"o{i}", "c", rng.choice(("a", "b", None)), 1, rng.choice(days)) for i in range(500)], FACT_ORDERS)
+    good = kept(spark, daily_counts(fact))
+    assert reconcile_tree(fact, good).count() == 0 and reconcile_tree(fact, good.withColumn("order_cnt", F.col("order_cnt") * 1)).columns == reconcile(fact, good).columns
+    for spoilt in (
+        good.where("order_status IS NOT NULL"), good.withColumn("order_cnt", F.expr("CASE WHEN order_status = 'a' AND day(event_date) = 3 THEN 99 ELSE order_cnt END")),
+        good.union(spark.createDataFrame([(None, "extra", 4)], good.schema)), good.limit(0), good.withColumn("order_cnt", F.expr("CASE WHEN order_status = 'b' THEN NULL ELSE order_cnt END")),
+        # two groups swap a unit: the number of orders stays the same
+        good.withColumn("order_cnt", F.expr("order_cnt + CASE WHEN order_status = 'a' AND day(event_date) = 5 THEN 1 WHEN order_status = 'b' AND day(event_date) = 5 THEN -1 ELSE 0 END")),
+    ):
+        for fan, levels in ((64, 2), (2, 3)):
+            assert rows(reconcile_tree(fact, spoilt, fan, levels)) == rows(reconcile(fact, spoilt))
+    assert rows(reconcile_tree(fact.limit(0), good)) == rows(reconcile(fact.limit(0), good))

@@ -265,3 +265,25 @@ def test_a_late_upsert_does_not_revive_a_deleted_row(spark, tmp_path):
         run(house.start_bronze(source, once=True))
         run(house.start_silver(once=True))
     assert rows(house.silver.read(), "customer_id") == [("b",)]
+
+
+def test_rejects_are_stored_once(spark, tmp_path):
+    """Replays, new checkpoints and offsets that come again add nothing; equal rows of other offsets, and rows without position, stay."""
+    from tidemark.sources.reports import quarantine
+
+    def batch(*rows_):
+        return spark.createDataFrame(rows_, "op string, kafka_partition int, kafka_offset bigint")
+
+    def seen():
+        return rows(spark.read.schema("op string, kafka_partition int, kafka_offset bigint").json(root), "op", "kafka_partition", "kafka_offset")
+
+    root, far = str(tmp_path / "rejects"), 5 << 20
+    assert not quarantine(batch(("x", 0, 1)).limit(0), root, "job:a", 0)
+    assert quarantine(batch(("x", 0, 1), ("x", 0, 2), ("y", 1, 1), ("y", 1, far)), root, "job:a", 0)
+    want = [("x", 0, 1), ("x", 0, 2), ("y", 1, 1), ("y", 1, far)]
+    assert seen() == want
+    quarantine(batch(("x", 0, 1), ("x", 0, 2), ("y", 1, 1), ("y", 1, far)), root, "job:a", 0)
+    quarantine(batch(("x", 0, 1), ("y", 1, far), ("z", 0, 3)), root, "job:b", 0)
+    assert seen() == sorted([*want, ("z", 0, 3)], key=repr)
+    quarantine(batch(("n", None, None), ("n", None, None)), root, "job:b", 1)
+    assert len(seen()) == 7

@@ -17,7 +17,7 @@ from tidemark.operators.expectations import (
     agg_orders_daily_suite, fact_orders_suite, silver_customers_suite, statistics,
 )
 from tidemark.operators.neighbours import SLICE
-from tidemark.operators.reconcile import daily_counts, reconcile
+from tidemark.operators.reconcile import daily_counts, reconcile, reconcile_tree
 from tidemark.operators.scd2 import (
     OPENS, close_set, close_versions, compare_with_current, current_versions, history_merge,
     open_versions, scd2_batch, scd2_history,
@@ -300,10 +300,19 @@ def fact_daily_counts(spark, sf_dir):
 def reconcile_counts(spark, sf_dir):
     """Checked against counts spoilt on purpose: one status gone, one a unit too high."""
     fact = replay.bulk_fact(spark, sf_dir)
-    spoilt = daily_counts(fact).where("order_status <> 'F'").withColumn(
+    return reconcile(fact, _spoilt_counts(fact))
+
+
+def _spoilt_counts(fact):
+    return daily_counts(fact).where("order_status <> 'F'").withColumn(
         "order_cnt", F.expr("order_cnt + CASE WHEN order_status = 'P' THEN 1 ELSE 0 END"),
     )
-    return reconcile(fact, spoilt)
+
+
+def reconcile_by_tree(spark, sf_dir):
+    """The same differences, found by checksums of ranges of groups."""
+    fact = replay.bulk_fact(spark, sf_dir)
+    return reconcile_tree(fact, _spoilt_counts(fact))
 
 
 def reconcile_cdc(spark, sf_dir):
@@ -500,3 +509,4 @@ BATCH_QUERIES: dict[str, Query] = {
     )
 }
 BATCH_QUERIES["reconcile"] = reconcile_counts
+BATCH_QUERIES["reconcile_tree"] = reconcile_by_tree

@@ -5,22 +5,39 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators.expectations import Suite, report
 from tidemark.sources import files
 
 
+#: Offsets of one quarantine folder: what a batch has to look through for rejects it may repeat.
+OFFSETS = 1 << 20
+
+
 def quarantine(rejected: DataFrame, root: str, stream: str, batch_id: int) -> bool:
-    """Write a batch's rejected rows to a folder of its own.
+    """Store a batch's rejected rows of one topic, each event once whatever comes twice.
+
+        <root>/slice=S/stream=.../batch_id=B/    S: offsets by OFFSETS
 
-    A new checkpoint is a new stream that counts its batches from 0 again, so the folder
-    bears both names. A replay rewrites it, and a clean batch leaves none behind.
+    A replay rewrites its own folders. A new checkpoint is a new stream that counts its batches
+    from 0 again and brings everything once more: rows whose partition and offset another
+    batch has stored are left out, for which only the slices of this batch's offsets are read.
+    Equal rows of different offsets are different events and all stay; rows without position
+    can't be told apart and stay too. Gives whether there was any reject.
     """
-    folder = f"{root}/stream={stream.rpartition(':')[2]}/batch_id={batch_id}"
-    if rejected.isEmpty():
-        files.delete(rejected.sparkSession, folder)
+    spark, mine = rejected.sparkSession, stream.rpartition(":")[2]
+    position = ["kafka_partition", "kafka_offset"]
+    slice_ = F.coalesce(F.call_function("div", F.col("kafka_offset"), F.lit(OFFSETS).cast("bigint")), F.lit(-1).cast("bigint"))
+    placed = rejected.withColumns({"slice": slice_, "stream": F.lit(mine), "batch_id": F.lit(batch_id).cast("bigint")})
+    slices = [r[0] for r in placed.select("slice").distinct().collect()]  # one number per million offsets of a batch
+    if not slices:
         return False
-    rejected.write.mode("overwrite").json(folder)
+    if files.list_names(spark, root):
+        held = spark.read.schema("kafka_partition int, kafka_offset bigint, slice bigint, stream string, batch_id bigint").json(root)
+        others = held.where(F.col("slice").isin(slices) & ~((F.col("stream") == mine) & (F.col("batch_id") == batch_id)))
+        placed = placed.join(others.select(*position).distinct(), position, "left_anti").select(*placed.columns)
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slice", "stream", "batch_id").json(root)
     return True
 
 
