@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED = "tidemark.llm.shipped"
@@ -91,6 +91,15 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def set_aside(df: DataFrame, used: list[str], **made: Column) -> tuple[DataFrame, list[Column]]:
+    """The columns in use, those made of the others, and all others in one struct ``aside``, where no name can
+    clash with an operator's own; and how to get the columns of ``df`` back."""
+    rest = [c for c in df.columns if c not in used]
+    aside = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None)
+    back = [F.col(f"aside.`{c}`").alias(c) if c in rest else F.col(f"`{c}`") for c in df.columns]
+    return df.select(*used, *[c.alias(name) for name, c in made.items()], aside.alias("aside")), back
+
+
 #: Entries at most in a broadcast table of keys that stand out; rows of a key that are no burden to a task.
 HOT, FEW = 20_000, 1_000
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ship_package, small, stored
+from tidemark.llm.common import set_aside, ship_package, small, stored
 from tidemark.llm.url_lists import url_host
 
 #: Documents of each language the trigram model is fitted on at most; slots of a trigram's hash; pseudo-counts.
@@ -216,18 +216,19 @@ def keep_identified(documents: DataFrame, model: TrigramModel, accept: float = A
         return documents
     columns = documents.columns
     source = F.col("source").cast("string") if "source" in columns else F.lit(None).cast("string")
-    claims = [F.col("lang")] if "lang" in columns else []
+    claim = F.col("lang") if "lang" in columns else F.lit(None).cast("string")
     read = text_posteriors(documents.select(source.alias("of"), "text"), model, whole=True).where("exists(text_fits, x -> x)")
     levels = stored(read.groupBy("of").agg(*[F.sum(F.exp(F.col("text_log")[i])).alias(f"h{i}") for i in range(n)]), "source-shares")
     even = even_shares(levels, n)
     prior = F.array(*smoothed([F.col(f"h{i}") for i in range(n)], [F.lit(e) for e in even]))
     priors = levels.where("of is not null").select("of", prior.alias("of_prior"))
-    rows = text_posteriors(documents, model, whole=True).withColumn("of", source).join(priors, "of", "left")
-    score = fused(F.coalesce("of_prior", F.array(*map(F.lit, even))), F.col("text_log"), claims, model.languages)
+    rows, given = set_aside(documents, ["text"], of=source, claim=claim)
+    rows = text_posteriors(rows, model, whole=True).join(priors, "of", "left")
+    score = fused(F.coalesce("of_prior", F.array(*map(F.lit, even))), F.col("text_log"), [F.col("claim")], model.languages)
     best = F.array_max("fused_score")
     fits = F.element_at("text_fits", F.array_position("fused_score", best).cast("int"))
     sure = 1 / F.aggregate("fused_score", F.lit(0.0), lambda a, s: a + F.exp(s - best)) >= accept
-    return rows.where("text_log is not null").withColumn("fused_score", score).where(sure & fits).select(*(f"`{c}`" for c in columns))
+    return rows.where("text_log is not null").withColumn("fused_score", score).where(sure & fits).select(*given)
 
 
 def smoothed(sums: list[Column], parent: list[Column]) -> list[Column]:

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import set_aside
+
 #: Seconds of a period of the join key.
 PERIOD = 30 * 86_400
 
@@ -67,7 +69,8 @@ def listed_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     as they are. Columns named host, active_entries or blocked are replaced.
     """
     clash = [c for c in ("host", "active_entries", "blocked") if c in captures.columns]
-    rows = captures.drop(*clash).withColumn("host", url_host(F.col("url")))
+    captures = captures.drop(*clash)
+    rows, given = set_aside(captures, ["url", "fetched_at"], host=url_host(F.col("url")))
     hosts = rows.where(F.col("host").isNotNull()).select("host").distinct()
     period = lambda at: F.floor(F.unix_timestamp(at) / PERIOD)
     last = captures.agg(F.max(period(F.col("fetched_at")))).first()[0]
@@ -82,7 +85,7 @@ def listed_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
         "left",
     )
     active = F.coalesce(F.col("active_entries"), F.lit(0)).cast("long")
-    return out.select(*rows.columns, active.alias("active_entries"), (active > 0).alias("blocked"))
+    return out.select(*given, "host", active.alias("active_entries"), (active > 0).alias("blocked"))
 
 
 # The tables carry no fetch dates and no lists, so the query derives both from them.
