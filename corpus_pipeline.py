@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import set_aside, stored, table
 from tidemark.llm.language import fit_trigrams, keep_identified
 from tidemark.llm.ngram_join import ngram_components
 from tidemark.llm.packing import op10_packing
@@ -36,8 +36,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     first = ngram_components(docs).where("doc_id = component_id").select("doc_id").distinct()
     order = Window.partitionBy("doc_id").orderBy("text")
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(order)).where("_copy = 1").drop("_copy")
-    return kept.select(docs.columns).union(docs.where("doc_id is null"))
+    rows, given = set_aside(docs, ["doc_id", "text"])
+    kept = rows.join(first, "doc_id", "left_semi").withColumn("copy", F.row_number().over(order)).where("copy = 1")
+    return kept.select(*given).union(docs.where("doc_id is null"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
