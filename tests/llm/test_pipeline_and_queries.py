@@ -1,13 +1,15 @@
+import datetime as dt
 import random
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from llm_cases import SCHEMA, documents, prose
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tidemark.llm import language
+from tidemark.llm import language, url_lists
 from tidemark.llm.queries import QUERIES
 
 
@@ -111,3 +113,21 @@ def test_empty_corpus(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_named_like_the_operators_own(spark, corpus):
+    """Stages and the list join hand on columns whose names they use themselves."""
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").where("doc_id is null or doc_id < 60 or doc_id > 1000")
+    own = ("of", "of_prior", "text_log", "text_fits", "fused_score", "claim", "aside", "copy", "_copy", "component_id", "n_shingles", "predicted", "given", "row")
+    for name in own:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))))
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        kept = stage(spark, docs, corpus)
+        assert kept.columns == docs.columns
+        assert kept.count() > 0 and kept.exceptAll(docs).isEmpty(), name
+    captures = spark.createDataFrame([("http://a.b.c/x", dt.datetime(2024, 1, 5))], "url string, fetched_at timestamp")
+    names = ("_period", "seg_from", "seg_to", "_host", "_seg_period", "pattern", "aside", "step", "at")
+    captures = captures.withColumns({n: F.lit(n) for n in names})
+    entries = spark.createDataFrame([("l", "b.c", dt.datetime(2024, 1, 1), "add")], "list_name string, pattern string, dated_at timestamp, action string")
+    row = url_lists.listed_captures(captures, entries).first()
+    assert row["blocked"] and row["host"] == "a.b.c" and [row[n] for n in names] == list(names)
