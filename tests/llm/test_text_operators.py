@@ -306,3 +306,49 @@ def test_parity_bits_never_part_what_links():
         assert apart <= len(np.setxor1d(a, b))
         if ngram_join.similar(np.unique(a), np.unique(b)):
             assert 9 * apart <= len(a) + len(b)
+
+
+def plain_score(net, text):
+    """One window after the other, one word after the other: the worst window's logit."""
+    w = {k: v.astype(float) for k, v in net.weights.items()}
+    sigma = lambda x: 1 / (1 + np.exp(-x))
+    h = toxicity.HIDDEN
+
+    def word_input(word):
+        word = word.strip(toxicity.MARKS) or "."
+        padded, slots = f" {word} ", []
+        for k in range(len(word)):
+            a, b, c = (ord(x) for x in padded[k : k + 3])
+            mixed = (a * 0x9E3779B1) ^ (b * 0x85EBCA77) ^ (c * 0xC2B2AE3D)
+            slots.append((mixed ^ mixed >> 13) % toxicity.CHAR_SLOTS)
+        return np.concatenate([w["word"][net.words.get(word, 0)], np.mean([w["char"][s] for s in slots], axis=0)])
+
+    def states(inputs, d):
+        state, out = np.zeros(h), []
+        for x in inputs:
+            gates = x @ w[f"{d}W"] + w[f"{d}b"]
+            zr = sigma(gates[: 2 * h] + state @ w[f"{d}U"])
+            candidate = np.tanh(gates[2 * h :] + (zr[h:] * state) @ w[f"{d}V"])
+            state = (1 - zr[:h]) * state + zr[:h] * candidate
+            out.append(state)
+        return out
+
+    words, worst = text.lower().split(), -np.inf
+    for start in range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE) if words else ():
+        inputs = [word_input(x) for x in words[start : start + toxicity.WINDOW]]
+        both = [np.concatenate(pair) for pair in zip(states(inputs, "f"), states(inputs[::-1], "b")[::-1])]
+        attention = np.exp([np.tanh(s @ w["A"]) @ w["a"] for s in both])
+        context = sum(share * s for share, s in zip(attention / attention.sum(), both))
+        worst = max(worst, context @ w["o"] + w["p"][0])
+    return worst
+
+
+def test_scores_equal_a_plain_pass_over_every_window():
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{i}" for i in range(40)] + ["ça", "日本", "...", "don't!", "x"]
+    net = toxicity.Network.fresh({w: float(rng.normal()) for w in vocabulary[:30]}, {i: 0.4 for i in range(0, toxicity.CHAR_SLOTS, 7)})
+    net.weights["p"][:] = 0.3
+    sizes = (0, 1, 2, 31, 33, 63, 64, 65, 95, 96, 97, 128, 129, 200)
+    all_texts = [" ".join(rng.choice(vocabulary, n)) for n in sizes]
+    got, want = net.scores(all_texts), np.array([plain_score(net, t) for t in all_texts])
+    assert got[0] == want[0] == -np.inf and np.allclose(got[1:], want[1:], atol=2e-3)
