@@ -19,7 +19,7 @@ cdc AS (
         CASE WHEN event_type = 'error' THEN NULL ELSE 'u_' || user_id END AS customer_unique_id,
         CASE WHEN event_type = 'error' THEN NULL ELSE 'city_' || (k % 7) END AS customer_city,
         CASE WHEN event_type = 'error' THEN NULL WHEN k % 10 = 0 THEN 'XXX'
-             ELSE substr('SPRJMGPRBA', CAST(1 + 2 * (k % 5) AS INTEGER), 2) END AS customer_state
+             ELSE ['SP', 'RJ', 'MG', 'PR', 'BA'][CAST(1 + k % 5 AS INTEGER)] END AS customer_state
  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
 ),
 valid AS (

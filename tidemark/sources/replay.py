@@ -16,12 +16,13 @@ from tidemark.schemas import CAPTURED, CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS,
 from tidemark.sources.bronze import project_bronze
 
 EVENTS_PER_BATCH = 1000
+SPREAD = 32 << 20  # bytes of a table's files to a partition of JSON
 
 OP = """CASE event_type WHEN 'signup' THEN 'c' WHEN 'view' THEN 'r' WHEN 'error' THEN 'd' ELSE 'u' END AS op"""
 STATUS = """CASE event_type WHEN 'signup' THEN 'created' WHEN 'click' THEN 'approved'
     WHEN 'view' THEN 'shipped' WHEN 'purchase' THEN 'delivered' END AS order_status"""
 STATE = """CASE WHEN k % 10 = 0 THEN 'XXX'
-    ELSE substring('SPRJMGPRBA', cast(1 + 2 * (k % 5) AS int), 2) END AS customer_state"""
+    ELSE element_at(array('SP', 'RJ', 'MG', 'PR', 'BA'), cast(1 + k % 5 AS int)) END AS customer_state"""
 
 
 @lru_cache(maxsize=64)
@@ -35,10 +36,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table dealt out to the shuffle partitions before its rows are turned into JSON:
-    a file of one row group can't be split, and the narrow rows cost less than the JSON."""
-    many = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return table(spark, sf_dir, name).repartition(many, key)
+    """A table dealt out before its rows are turned into JSON: a file of one row group can't be
+    split, and the narrow rows cost less than the JSON. Partitions grow in number with the files."""
+    rows = table(spark, sf_dir, name)
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    many = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, -(-int(size) // SPREAD))
+    return rows.repartition(many, key)
 
 
 def batch_no() -> Column:
