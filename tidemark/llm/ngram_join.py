@@ -302,28 +302,30 @@ def ngram_links(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, Data
     first = first.join(named("x", "p"), "x").join(named("y", "q"), "y").where("p <> q")
     first = scratch.keep(first.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
 
-    # Only nodes with a shared token can be asked for.
-    wanted = shared.select(F.col("me.doc_id").alias("doc_id")).distinct().join(node_of.where("doc_id = node"), "doc_id", "left_semi")
+    # The sets that hold each shared token. Only their nodes can be asked for.
+    members = scratch.keep(
+        shared.select("token", F.col("me.doc_id").alias("doc_id"), "me.n", "me.pos").join(node_of, "doc_id").groupBy("token", "node").agg(
+            F.min(F.struct("pos", "n")).alias("at")
+        )
+    )
+    scratch.release(shared)
+    wanted = members.select(F.col("node").alias("doc_id")).distinct()
     packed = scratch.keep(packed_texts(documents).join(wanted, "doc_id", "left_semi"))
     scratch.release()
-    links = verified(first, packed, ranks, scratch)
-
-    asked = first
+    roots, asked = components(verified(first, packed, ranks, scratch), scratch.keep), first
     for turn in range(HUB_ROUNDS + 1):
-        members = shared.select("token", F.col("me.doc_id").alias("doc_id"), "me.n", "me.pos").join(node_of, "doc_id").groupBy("token", "node").agg(
-            F.min(F.struct("pos", "n")).alias("at")
-        )
-        members = members.join(components(links, scratch.keep), "node", "left").select(
+        placed = members.join(roots, "node", "left").select(
             "token", F.coalesce("root", "node").alias("root"), F.struct(F.col("node").alias("doc_id"), "at.n", "at.pos").alias("me")
         )
         hub = F.max_by("me", F.xxhash64("token", "me.doc_id", F.lit(turn)))
-        parts = members.groupBy("token", "root").agg(F.count("*").alias("n"), hub.alias("hub"))
+        parts = placed.groupBy("token", "root").agg(F.count("*").alias("n"), hub.alias("hub"))
         largest = parts.groupBy("token").agg(F.max(F.struct("n", "root", "hub")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
         largest = largest.select("token", F.col("top.root").alias("top"), F.col("top.hub").alias("hub"))
-        open_ = scratch.keep(members.join(largest, "token"))
+        open_ = placed.join(largest, "token")
         if turn < HUB_ROUNDS:
             pairs = open_.where("root <> top").select(F.col("me").alias("x"), F.col("hub").alias("y")).where(may_link("x", "y"))
         else:  # what is left, all of it
+            open_ = scratch.keep(open_)
             seen = open_.join(sketch, F.col("me.doc_id") == F.col("node"), "left").withColumn("me", F.struct("me.doc_id", "me.n", "me.pos", "parity"))
             outside = seen.where("root <> top").select("token", F.col("root").alias("root_x"), F.col("me").alias("x"))
             inside = seen.select("token", F.col("root").alias("root_y"), "top", F.col("me").alias("y"))
@@ -331,10 +333,15 @@ def ngram_links(documents: DataFrame, scratch: Scratch) -> tuple[DataFrame, Data
             pairs = pairs.where(may_link("x", "y") & F.coalesce(may_agree("x", "y"), F.lit(True)))
         pairs = pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
         pairs = scratch.keep(pairs.join(asked, ["a", "b"], "left_anti"))
-        scratch.release(open_)
-        links, asked = links.union(verified(pairs, packed, ranks, scratch)), asked.union(pairs)
-    scratch.release(shared, packed)
-    return rows, nodes, components(links, scratch.keep)
+        asked = asked.union(pairs)
+        scratch.release()
+        if pairs.isEmpty():
+            continue
+        links = verified(pairs, packed, ranks, scratch)
+        if not links.isEmpty():  # a component is as good as all its links
+            roots = components(roots.toDF("a", "b").union(links), scratch.keep)
+    scratch.release(members, packed)
+    return rows, nodes, roots
 
 
 def ngram_components(documents: DataFrame) -> DataFrame:
