@@ -172,3 +172,22 @@ def test_empty_tables(spark, nothing):
         prefix_counts.op8_token_counts(spark, nothing, BYTE), packing.op10_packing(spark, nothing, BYTE),
     ):
         assert df.count() == 0
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_plain_words_take_the_librarys_model_only(libraries, path, monkeypatch):
+    ours = type(encoder(path))(path)
+    rng = np.random.default_rng(5)
+    letters = list("abzAZsTtrevmld'''éèßàÿÀÞöø09.,!-~$×÷") + ["\n", "\n\n", "'ll", " ", " "]
+    for text in ["x " + "".join(rng.choice(letters, 200)) for _ in range(60)]:
+        assert np.frombuffer(ours.encode(text), "<u2").tolist() == libraries[path].encode(text, add_special_tokens=False).ids
+
+    class FirstWordOnly:
+        def encode(self, text, add_special_tokens):
+            assert text == "x"
+            return libraries[path].encode(text, add_special_tokens=add_special_tokens)
+
+    ours = type(encoder(path))(path)
+    monkeypatch.setattr(ours, "tokenizer", FirstWordOnly())
+    text = "x Straßen, l'été\nc'est 2024! aren't $$$ end."
+    assert np.frombuffer(ours.encode(text), "<u2").tolist() == libraries[path].encode(text, add_special_tokens=False).ids

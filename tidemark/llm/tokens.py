@@ -8,9 +8,12 @@ the library, and the ids of a text are those of its chunks in a row. That is exa
 * word BPE: white space is dropped, and its normalisation (composition, lower case)
   never looks across white space.
 
-Texts with anything else (special strings, rare white space, runs of spaces) go whole
-through the library. Caches live as long as the Python worker and are emptied at
-``limit`` chunks, so memory is bounded.
+A chunk of plain characters is cut into the pieces of the library's pattern here, and each
+piece goes through the library's model alone: most distinct chunks occur once or twice, and
+the library's bookkeeping of a text costs more than its model. All other chunks go through
+the library one by one, and texts with anything else (special strings, rare white space, runs
+of spaces) whole. Caches live as long as the Python worker and are emptied at ``limit``
+chunks, so memory is bounded.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Callable
 
 import numpy as np
 
@@ -27,6 +31,13 @@ RARE_SPACE = r"\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u2
 #: the pattern of the word tokenizer (fixed value).
 PLAIN = re.compile("[!-~ß-öø-ÿ]+")
 WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: The same for the byte-level tokenizer, whose words may be led by a space (fixed value).
+OPEN = re.compile("[\n!-~À-ÖØ-öø-ÿ]+")
+LED = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^ \nA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\n+(?![^\n])|\n+")
+#: The character by which a byte-level vocabulary writes each byte: visible ones of Latin-1 stand for
+#: themselves, the others follow from 256 on.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_CHARS = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - _SHOWN))}
 LIMIT = 600_000
 
 _encoders: dict[tuple, ChunkEncoder] = {}
@@ -53,72 +64,72 @@ class ChunkEncoder:
         if size > 1 << 16:
             raise ValueError(f"{size} ids do not fit 16 bits")
         self.size, self.limit = size, limit
-        self.names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([f"[{RARE_SPACE}]", *map(re.escape, special)]))
-        self.cache: dict = {}
+        self.model, self.two = self.tokenizer.model.tokenize, [i.to_bytes(2, "little") for i in range(size)]
+        self.cache, self.inner = Learnt(self.learn), Learnt(self.piece)
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
+    def piece(self, text: str) -> bytes:
+        """The ids of one piece of the library's pattern."""
+        if text.isascii():  # visible but for these two
+            text = text.replace(" ", "Ġ").replace("\n", "Ċ")
+        else:
+            text = text.encode().decode("latin-1").translate(BYTE_CHARS)
+        return b"".join([self.two[t.id] for t in self.model(text)])
+
     def joined(self, chunks: list) -> bytes:
-        """The ids of ``chunks`` in a row; those not met before are learnt together."""
-        found = list(map(self.cache.get, chunks))
-        if None in found:
-            missing = {c for c, ids in zip(chunks, found) if ids is None}
-            if len(self.cache) + len(missing) > self.limit:
-                self.cache, missing = {}, set(chunks)
-            self.learn(list(missing))
-            found = list(map(self.cache.__getitem__, chunks))
-        return b"".join(found)
-
-    def joined_ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
-
-    def keep(self, chunks: list, ids: np.ndarray, ends: np.ndarray) -> None:
-        raw, at = ids.tobytes(), 0
-        for chunk, end in zip(chunks, (2 * ends).tolist()):
-            self.cache[chunk] = raw[at:end]
-            at = end
+        """The ids of ``chunks`` in a row; those not met before are learnt."""
+        if len(self.cache) + len(self.inner) + len(chunks) > self.limit:
+            self.cache.clear()
+            self.inner.clear()
+        return b"".join(map(self.cache.__getitem__, chunks))
 
 
-class ByteEncoder(ChunkEncoder):
-    """Byte-level BPE whose pattern lets one space lead a word. Keys leave that space out."""
+class Learnt(dict):
+    """Ids by chunk; a chunk that is not there is learnt."""
 
-    def __init__(self, path: str, limit: int = LIMIT):
-        super().__init__(path, limit)
-        self.leads = np.array([name.startswith("Ġ") for name in self.names])
+    def __init__(self, learn: Callable[[str | bytes], bytes]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, chunk: str | bytes) -> bytes:
+        ids = self[chunk] = self.learn(chunk)
+        return ids
+
+
+class ByteEncoder(ChunkEncoder):
+    """Byte-level BPE whose pattern lets one space lead a word. Keys leave that space out; those that begin with a line end have none."""
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if "  " in text or " \n" in text or "\n " in text or "\t" in text or "\r" in text or self.whole.search(text):
             return self.library(text)
+        if "\n" in text:  # a run of line ends starts a chunk of its own
+            text = text.replace("\n", " \n")
+            while "\n \n" in text:
+                text = text.replace("\n \n", "\n\n")
         first, *rest = text.split(" ")
         head = self.library(first) if first else b""
         return head + self.joined(rest) if rest else head
 
-    def learn(self, chunks: list[str]) -> None:
-        if "" in chunks:
-            chunks.remove("")
-            self.cache[""] = self.library(" ")
-        if not chunks:
-            return
-        ids = self.joined_ids(" " + " ".join(chunks))
-        starts = np.flatnonzero(self.leads[ids])
-        if len(starts) == len(chunks) and starts[0] == 0:
-            self.keep(chunks, ids, np.append(starts[1:], len(ids)))
-        else:
-            self.cache.update((c, self.library(" " + c)) for c in chunks)
+    def learn(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            return self.piece(f" {chunk}")
+        text = chunk if chunk.startswith("\n") else f" {chunk}"
+        if not OPEN.fullmatch(chunk):
+            return self.library(text)
+        first, *rest = LED.findall(text)
+        head = self.cache.get(first[1:]) if rest and first[0] == " " else None  # not kept on its own: most words before a mark occur once
+        return (head or self.piece(first)) + b"".join(map(self.inner.__getitem__, rest))
 
 
 class WordEncoder(ChunkEncoder):
     """Word BPE in lower case whose last piece of a word is marked."""
 
-    def __init__(self, path: str, limit: int = LIMIT):
-        super().__init__(path, limit)
-        self.ends = np.array([name.endswith("</w>") for name in self.names])
-
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
@@ -126,21 +137,12 @@ class WordEncoder(ChunkEncoder):
             return self.library(text)
         return self.joined(text.encode().lower().split())
 
-    def learn(self, chunks: list[bytes]) -> None:
-        plain, words, counts = [], [], []
-        for chunk in chunks:
-            text = chunk.decode()
-            if PLAIN.fullmatch(text):
-                plain.append(chunk)
-                words.append(text)
-                counts.append(1 if chunk.isalpha() else len(WORDS.findall(text)))
-            else:
-                self.cache[chunk] = self.library(text)
-        if not plain:
-            return
-        ids = self.joined_ids(" ".join(words))
-        ends, last = np.flatnonzero(self.ends[ids]) + 1, np.cumsum(counts)
-        if len(ends) == last[-1]:
-            self.keep(plain, ids, ends[last - 1])
-        else:
-            self.cache.update((c, self.library(w)) for c, w in zip(plain, words))
+    def learn(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        if chunk.isalpha():
+            return self.piece(text)
+        if not PLAIN.fullmatch(text):
+            return self.library(text)
+        first, *rest = WORDS.findall(text)
+        head = self.cache.get(first.encode()) if rest else None  # not kept on its own: most words before a mark occur once
+        return (head or self.piece(first)) + b"".join(map(self.inner.__getitem__, rest))
