@@ -287,3 +287,22 @@ def test_rejects_are_stored_once(spark, tmp_path):
     assert seen() == sorted([*want, ("z", 0, 3)], key=repr)
     quarantine(batch(("n", None, None), ("n", None, None)), root, "job:b", 1)
     assert len(seen()) == 7
+
+
+def test_bronze_takes_mixed_topics_and_stores_them_small(spark, tmp_path):
+    """Rows of more topics than a task keeps files open for, mixed in one file: each is there once, in the log's codec."""
+    from tidemark.sources import files
+    from tidemark.sources.bronze import LOG_CODEC
+
+    root, before = str(tmp_path), spark.conf.getAll
+    rows_ = [(b"k", f"v{n}".encode(), f"shop.public.t{n % 12}", 0, n) for n in range(600)]
+    landed = spark.createDataFrame(rows_, "key binary, value binary, topic string, partition int, offset bigint")
+    landed = landed.withColumns({"timestamp": F.current_timestamp(), "timestampType": F.lit(0)}).select(*KAFKA.fieldNames())
+    landed.coalesce(1).write.parquet(f"{root}/landing")
+    house = Lakehouse(spark, root, buckets=2)
+    run(house.start_bronze(CdcSource("files", path=f"{root}/landing"), once=True))
+    assert rows(house.bronze(), "kafka_offset", "topic", "v") == sorted([(n, t, v.decode()) for _, v, t, _, n in rows_], key=repr)
+    for n in range(12):
+        names = [x for x in files.list_names(spark, f"{house.bronze_path}/topic=shop.public.t{n}") if x.startswith("part-")]
+        assert len(names) == 1 and f".{LOG_CODEC}." in names[0]
+    assert spark.conf.getAll == before
