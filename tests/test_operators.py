@@ -444,3 +444,30 @@ def test_events_in_order_leave_closed_versions_alone(spark):
     assert plan.where("_opens").count() == 201
     kept = state.where("NOT is_current").drop("_partition", "_offset").exceptAll(plan.drop("_partition", "_offset"))
     assert kept.isEmpty()
+
+
+@pytest.mark.parametrize("slice_ms", [1 << 3, None])
+def test_a_history_is_shuffled_once_whatever_comes_twice(spark, slice_ms):
+    """Repeated events count once in the sort of the history itself, without an aggregate of their own before it."""
+    from tidemark.operators.scd2 import history_state
+
+    data = [("c", 10, "a", "u", "x", "SP", 0, 1), ("u", 30, "a", "u", "y", "SP", 0, 2), ("u", 30, "a", "u", "y", "SP", 1, 2), ("d", 40, "a", None, None, None, 0, 3)]
+    twice = spark.createDataFrame([*data, *data, ("u", 30, "a", "u", "w", "SP", 0, 2), ("u", None, "b", "u", "n", "SP", None, None)], EVENTS)
+    events_ = twice.withColumnsRenamed({"kafka_partition": "_partition", "kafka_offset": "_offset"})
+    state = history_state(events_, slice_ms=slice_ms)
+    assert rows(state, "customer_id", "_partition", "_offset", "customer_city", "effective_end_ts_ms", "_opens") == sorted([
+        ("a", 0, 1, "x", 30, True), ("a", 0, 2, "y", 40, True), ("a", 1, 2, "y", None, False), ("a", 0, 3, None, None, False),
+        ("b", None, None, "n", None, True),
+    ], key=repr)
+    plan = state._jdf.queryExecution().optimizedPlan().toString()
+    assert "max(struct" not in plan
+
+
+def test_keys_are_cut_only_where_one_has_many_rows(spark):
+    from tidemark.operators.scd2 import TIME_SLICE, slice_for
+
+    batch = spark.createDataFrame([("u", t, k, "u", "x", "SP", 0, t) for t in range(6) for k in "ab"], EVENTS)
+    empty = spark.createDataFrame([], HISTORY_STATE)
+    state = spark.createDataFrame(history_merge(empty, batch).collect(), HISTORY_STATE)
+    assert slice_for(empty, batch, few=5) == TIME_SLICE and slice_for(empty, batch, few=6) is None
+    assert slice_for(state, batch, few=11) == TIME_SLICE and slice_for(state, batch, few=12) is None
