@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
+from tidemark.functions.rules import customer_rule, split_valid
 from tidemark.operators.changefeed import change_history, deltas, merge_deltas
-from tidemark.operators.dedupe import delete_wins_order, latest_per_key, stream_order
+from tidemark.operators.dedupe import delete_wins_order, latest_or_rejected, latest_per_key, stream_order
 from tidemark.operators.dml import insert_rows, update_changes, update_where
 from tidemark.operators.merge import Delete, Insert, MergeConflict, Update, apply_merge
 from tidemark.operators.neighbours import with_neighbours
@@ -49,6 +50,24 @@ def test_latest_per_key_ties(spark, method):
     assert rows(by_delete.where("customer_id = 'b'"), "op") == [("d",)]
 
 
+def test_latest_or_rejected_loses_no_reject(spark):
+    """Equal rejects, rejects of a valid key, without key, op or position: all stay, beside one valid row per key."""
+    df = events(
+        spark,
+        ev("c", 5, "a", off=2), ev("u", 5, "a", city="later", off=3), ev("u", 9, "a", state="XXX", off=4),
+        ev("d", 6, "a", off=1), ev("u", 7, None, off=5), ev("u", 7, None, off=5), ev(None, 7, "b", off=6),
+        ev("u", 8, "b", state="YYY", part=None, off=None), ev("u", 8, "b", state="YYY", part=None, off=None),
+        ev("c", None, "c", off=7), ev("u", None, "c", city="next", off=8),
+    ).repartition(3)
+    valid, rejected = split_valid(df, customer_rule())
+    kept = latest_or_rejected(df, customer_rule(), ["customer_id"], stream_order())
+    assert kept.columns == df.columns
+    kept_valid, kept_rejected = split_valid(kept, customer_rule())
+    assert rows(kept_rejected) == rows(rejected) and kept_rejected.count() == 6
+    assert rows(kept_valid) == rows(latest_per_key(valid, ["customer_id"], stream_order()))
+    assert rows(kept_valid, "customer_id", "op", "customer_city") == [("a", "d", None), ("c", "u", "next")]
+
+
 def test_latest_per_key_cuts_before_the_shuffle(spark):
     df = events(spark, ev("c", 1, "a"))
     plan = latest_per_key(df, ["customer_id"], stream_order())._jdf.queryExecution().executedPlan().toString()

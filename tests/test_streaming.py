@@ -306,3 +306,36 @@ def test_bronze_takes_mixed_topics_and_stores_them_small(spark, tmp_path):
         names = [x for x in files.list_names(spark, f"{house.bronze_path}/topic=shop.public.t{n}") if x.startswith("part-")]
         assert len(names) == 1 and f".{LOG_CODEC}." in names[0]
     assert spark.conf.getAll == before
+
+
+def test_a_batch_is_held_by_key(spark, sf_dir, tmp_path, monkeypatch):
+    """Customers and orders keep the latest valid event per key of a micro-batch and all rejects, in few partitions."""
+    from tidemark.streaming import jobs
+
+    held = []
+
+    def split(batch, rule):
+        held.append((batch.count(), batch.rdd.getNumPartitions()))
+        return split_valid(batch, rule)
+
+    monkeypatch.setattr(jobs, "split_valid", split)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        house = Lakehouse(spark, str(tmp_path), buckets=2)
+        land(spark, f"{tmp_path}/landing", sf_dir, 0, BATCHES)
+        run(house.start_bronze(CdcSource("files", path=f"{tmp_path}/landing"), once=True))
+        run(house.start_silver(once=True))
+        run(house.start_fact(once=True))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for (valid, rejected), key, job, (rows_held, partitions) in zip(
+        expected(spark, sf_dir), ("customer_id", "order_id"), ("customers", "fact_orders"), held, strict=True,
+    ):
+        assert rows_held == valid.select(key).distinct().count() + rejected.count() < BATCHES * 1000
+        assert partitions < 64
+        kept = spark.read.json(f"{tmp_path}/quarantine/{job}")
+        assert rows(kept, "kafka_partition", "kafka_offset") == rows(rejected, "kafka_partition", "kafka_offset")
+    (customers, _), (orders, _) = expected(spark, sf_dir)
+    assert rows(house.silver.read()) == rows(tables.silver_state(customers))
+    assert rows(house.fact.read()) == rows(tables.fact_state(orders))
+    assert rows(house.fact.log.read(), "_change_type", "order_id") == rows(house.fact.read().select(F.lit("insert").alias("_change_type"), "order_id"))
